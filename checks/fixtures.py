@@ -2,84 +2,75 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lorewell.config import CorpusConfig
-from lorewell.functions.text import token_count
-from lorewell.plans.evaluation import rating
-from lorewell.schemas import ASSESSMENT_LOG, RANK_CUTOFFS, RANK_METRICS, TEXT_METRICS, rank_metric_name
+from lorewell.schemas import ASSESSMENT_LOG, RANK_CUTOFFS, REQUEST_LOG, rank_metric_name
+from lorewell.sources.scratch import scratch_path
+from lorewell.sources.tables import spread_small
 
 VERSIONS = ["models:/app/1", "models:/app/2", "models:/app/3"]
 # The test pages hold their text in <article> and use h1.
 PAGE_CONFIG = CorpusConfig(container=("article", None, None), header="h1")
 START_SECONDS = 1704067200
 
-EVENTS_SCHEMA = T.StructType(
-    [
-        T.StructField("event_id", T.LongType()),
-        T.StructField("ts", T.TimestampNTZType()),
-        T.StructField("user_id", T.LongType()),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("value", T.DoubleType()),
-        T.StructField("props", T.StringType()),
-    ]
-)
+SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "benchmark": "item_id bigint, text string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table with its declared schema, so no file is read to infer it."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _version(doc_id: Column) -> Column:
-    return F.concat(F.lit("models:/app/"), (doc_id % 3 + 1).cast("string"))
+RATING_TYPE = "struct<bool_value:boolean,double_value:double>"
 
 
-def _ts(doc_id: Column) -> Column:
-    return F.timestamp_seconds(F.lit(START_SECONDS) + doc_id * 60)
+def _hundredth(factor: int) -> str:
+    return f"CAST(doc_id * {factor} % 101 AS DOUBLE) / 100"
 
 
-def _hundredth(doc_id: Column, factor: int) -> Column:
-    return (doc_id * factor % 101).cast("double") / 100
-
-
-def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def request_log(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """One request per document; its text is the output."""
-    doc_id = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select(
-        F.struct(
-            doc_id.cast("string").alias("request_id"),
-            F.array().cast("array<struct<role:string,content:string>>").alias("messages"),
-            _ts(doc_id).alias("ts"),
-        ).alias("request"),
-        F.struct(
-            _version(doc_id).alias("app_version_id"),
-            (F.col("n_chars") * 0.25).cast("double").alias("latency_ms"),
-        ).alias("trace"),
-        F.col("text").alias("output"),
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    return (spread_small(docs) if spread else docs).selectExpr(
+        f"""named_struct('request_id', CAST(doc_id AS STRING),
+            'messages', CAST(array() AS array<struct<role:string,content:string>>),
+            'ts', timestamp_seconds({START_SECONDS} + doc_id * 60)) AS request""",
+        """named_struct('app_version_id', concat('models:/app/', CAST(doc_id % 3 + 1 AS STRING)),
+            'latency_ms', n_chars * 0.25D) AS trace""",
+        "text AS output",
     )
 
 
-def _assessments(
-    df: DataFrame, step: str, source: str,
-    text: dict[str, Column] | None = None, ranks: dict[str, Column] | None = None,
-) -> DataFrame:
-    doc_id = F.col("doc_id")
-    text, ranks = text or {}, ranks or {}
-    names = [rank_metric_name(m, k) for k in RANK_CUTOFFS for m in RANK_METRICS]
-    rows = df.select(
-        doc_id.cast("string").alias("request_id"),
-        F.lit(step).alias("step_id"),
-        F.struct(F.lit(source).alias("type")).alias("source"),
-        F.struct(F.struct(*[text.get(m, rating()).alias(m) for m in TEXT_METRICS]).alias("ratings")).alias(
-            "text_assessment"
-        ),
-        F.struct(F.struct(*[rating(score=ranks.get(n)).alias(n) for n in names]).alias("ratings")).alias(
-            "retrieval_assessment"
-        ),
-        _ts(doc_id).alias("ts"),
+def _rating(verdict: str = "NULL", score: str = "NULL") -> str:
+    return f"named_struct('bool_value', CAST({verdict} AS BOOLEAN), 'double_value', CAST({score} AS DOUBLE))"
+
+
+def _assessments(df: DataFrame, step: str, source: str, column: str, ratings: dict[str, str]) -> DataFrame:
+    """Assessment rows with the given ratings in `column`; the rest is null."""
+    fields = []
+    for f in ASSESSMENT_LOG[column].dataType["ratings"].dataType.names:
+        fields.append(f"'{f}', " + ratings.get(f, f"CAST(NULL AS {RATING_TYPE})"))
+    halves = {
+        c: f"CAST(NULL AS {ASSESSMENT_LOG[c].dataType.simpleString()}) AS {c}"
+        for c in ("text_assessment", "retrieval_assessment")
+    }
+    halves[column] = f"named_struct('ratings', named_struct({', '.join(fields)})) AS {column}"
+    return df.selectExpr(
+        "CAST(doc_id AS STRING) AS request_id",
+        f"'{step}' AS step_id",
+        f"named_struct('type', '{source}') AS source",
+        *halves.values(),
+        f"timestamp_seconds({START_SECONDS} + doc_id * 60) AS ts",
     )
-    return rows.select([F.col(f.name).cast(f.dataType) for f in ASSESSMENT_LOG.fields])
 
 
 def assessment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,30 +79,49 @@ def assessment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     Some verdicts and some scores are missing, so that the null rules matter.
     """
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    doc_id = F.col("doc_id")
-    latency = rating(score=F.col("n_chars") * 0.25)
-    tokens = rating(score=token_count("text"))
+    texts = spread_small(docs.select("doc_id", "text"))
+    latency = {"latency": _rating(score="n_chars * 0.25D")}
+    tokens = {"token_count": _rating(score=r"regexp_count(text, '\\S+')")}
     verdicts = {
-        "harmful": rating(
-            F.when(doc_id % 11 != 0, F.col("toxic") == 1),
-            F.when(doc_id % 7 != 0, _hundredth(doc_id, 37)),
+        "harmful": _rating(
+            "CASE WHEN doc_id % 11 <> 0 THEN toxic = 1 END",
+            f"CASE WHEN doc_id % 7 <> 0 THEN {_hundredth(37)} END",
         ),
-        "relevant_to_question_and_context": rating(
-            F.when(doc_id % 5 != 0, F.col("quality") == 1), _hundredth(doc_id, 53)
+        "relevant_to_question_and_context": _rating(
+            "CASE WHEN doc_id % 5 <> 0 THEN quality = 1 END", _hundredth(53)
         ),
-        "faithful_to_context": rating(doc_id * 29 % 101 >= 50, _hundredth(doc_id, 29)),
+        "faithful_to_context": _rating("doc_id * 29 % 101 >= 50", _hundredth(29)),
+    }
+    ranks = {
+        rank_metric_name(metric, k): _rating(
+            score=f"CASE WHEN doc_id % {k + 1} <> 0 THEN {_hundredth(base + k)} END"
+        )
+        for k in RANK_CUTOFFS
+        for metric, base in (("recall", 31), ("precision", 41), ("ndcg", 61))
     }
-    ranks = {}
-    for k in RANK_CUTOFFS:
-        known = doc_id % (k + 1) != 0
-        ranks[rank_metric_name("recall", k)] = F.when(known, _hundredth(doc_id, 31 + k))
-        ranks[rank_metric_name("precision", k)] = F.when(known, _hundredth(doc_id, 41 + k))
-        ranks[rank_metric_name("ndcg", k)] = F.when(known, _hundredth(doc_id, 61 + k))
     return (
-        _assessments(docs, "s0", "automatic", {"latency": latency})
-        .unionByName(_assessments(docs, "s1", "automatic", {"token_count": tokens}))
-        .unionByName(_assessments(labels, "s2", "human", verdicts))
-        .unionByName(_assessments(labels, "s3", "automatic", None, ranks))
+        _assessments(docs, "s0", "automatic", "text_assessment", latency)
+        .unionByName(_assessments(texts, "s1", "automatic", "text_assessment", tokens))
+        .unionByName(_assessments(labels, "s2", "human", "text_assessment", verdicts))
+        .unionByName(_assessments(labels, "s3", "automatic", "retrieval_assessment", ranks))
+    )
+
+
+_written: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def log_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both logs as stored tables, written once per application and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _written:
+        paths = scratch_path(spark, "request-log"), scratch_path(spark, "assessment-log")
+        request_log(spark, sf_dir, spread=True).write.parquet(paths[0])
+        assessment_log(spark, sf_dir).write.parquet(paths[1])
+        _written[key] = paths
+    request_path, assessment_path = _written[key]
+    return (
+        spark.read.schema(REQUEST_LOG).parquet(request_path),
+        spark.read.schema(ASSESSMENT_LOG).parquet(assessment_path),
     )
 
 
@@ -129,13 +139,17 @@ def multi_version_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select(
+    return spread_small(table(spark, sf_dir, "pages")).select(
         F.col("url").alias("doc_uri"), F.col("html").alias("html_content")
     )
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir).select(
         F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("doc_uri"),
         F.col("text").alias("content"),
     )
@@ -188,7 +202,7 @@ def as_payloads(events: DataFrame) -> DataFrame:
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream."""
     return (
-        spark.readStream.schema(EVENTS_SCHEMA)
+        spark.readStream.schema(SCHEMAS["events"])
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
     )

@@ -29,7 +29,7 @@ def _round(df: DataFrame, *names: str) -> DataFrame:
 
 
 def _logs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return fx.request_log(spark, sf_dir), fx.assessment_log(spark, sf_dir)
+    return fx.log_tables(spark, sf_dir)
 
 
 # --- projections, filters, joins ------------------------------------------------
@@ -240,13 +240,13 @@ def page_chunks(spark, sf_dir):
 
 
 def token_count(spark, sf_dir):
-    return fx.table(spark, sf_dir, "documents").select(
+    return fx.texts(spark, sf_dir).select(
         "doc_id", text.token_count("text").cast("bigint").alias("n_tokens")
     )
 
 
 def strip_text(spark, sf_dir):
-    return fx.table(spark, sf_dir, "documents").select(
+    return fx.texts(spark, sf_dir).select(
         "doc_id", F.md5(text.strip("text")).alias("stripped_md5")
     )
 
@@ -409,7 +409,7 @@ def metric_latency(spark, sf_dir):
 
 
 def metric_token_count(spark, sf_dir):
-    return fx.request_log(spark, sf_dir).select(
+    return fx.request_log(spark, sf_dir, spread=True).select(
         F.col("request.request_id").alias("request_id"),
         metrics.output_tokens("output").alias("token_count"),
     )
@@ -445,13 +445,13 @@ def answer_token_f1(spark, sf_dir):
 
 
 def harmful_terms(spark, sf_dir):
-    return fx.table(spark, sf_dir, "documents").select(
+    return fx.texts(spark, sf_dir).select(
         "doc_id", F.round(metrics.harm_share("text"), 6).alias("harm")
     )
 
 
 def run_eval_long(spark, sf_dir):
-    rated = evaluation.ratings_long(evaluation.run_eval(fx.request_log(spark, sf_dir)))
+    rated = evaluation.ratings_long(evaluation.run_eval(fx.request_log(spark, sf_dir, spread=True)))
     return rated.select(
         "request_id", "metric",
         F.coalesce(F.col("bool_value").cast("int"), F.lit(-1)).alias("verdict"),

@@ -10,7 +10,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from .text import _col
+from .text import _col, let
 
 # Fixed patterns for markup that carries no text, for tags that end a line, and
 # for the character references decoded on the JVM side.
@@ -81,8 +81,11 @@ def container_body(
         kept = F.when(depth > 0, acc["kept"] + 1).otherwise(acc["kept"])
         return F.struct(depth.alias("depth"), kept.alias("kept"))
 
-    kept = F.aggregate(pieces, start, step, lambda acc: acc["kept"])
-    return F.array_join(F.slice(pieces, F.lit(1), kept), "")
+    def inside(p: Column) -> Column:
+        kept = F.aggregate(p, start, step, lambda acc: acc["kept"])
+        return F.array_join(F.slice(p, F.lit(1), kept), "")
+
+    return let(pieces, inside)
 
 
 def markup_to_text(markup: Column | str) -> Column:
@@ -90,7 +93,7 @@ def markup_to_text(markup: Column | str) -> Column:
 
     Character references are left as they are.
     """
-    c = F.regexp_replace(_col(markup), r"\s+", " ")
+    c = F.regexp_replace(_col(markup), r"\s{2,}|[\t\n\x0B\f\r]", " ")
     c = F.regexp_replace(c, LINE_BREAK_TAG, "\n")
     c = F.regexp_replace(c, ANY_TAG, "")
     c = F.regexp_replace(c, r" *\n\s*", "\n")
@@ -123,10 +126,7 @@ def sections(body: Column | str, header: str) -> Column:
     whole_header = rf"(?is)^<{name}(?:\s[^>]*)?>(.*?)</{name}\s*>"
 
     def describe(part: Column) -> Column:
-        has_header = part.rlike(whole_header)
-        title = F.when(
-            has_header, F.regexp_replace(markup_to_text(F.regexp_extract(part, whole_header, 1)), r"\s+", " ")
-        ).otherwise("")
+        title = F.regexp_replace(markup_to_text(F.regexp_extract(part, whole_header, 1)), r"\s+", " ")
         content = markup_to_text(F.regexp_replace(part, whole_header, ""))
         return F.struct(title.alias("header"), content.alias("text"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
@@ -17,6 +18,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` evaluated once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def version_number(uri: Column | str) -> Column:
     """Text after the last slash of a version URI."""
     return F.substring_index(_col(uri), "/", -1)

@@ -116,9 +116,14 @@ def chunk_pages(
         )
 
     body = markup.container_body(html_col, *config.container)
-    cut = pages.withColumn("_body", body).filter(F.col("_body") != "")
-    cut = cut.withColumn("_sections", markup.sections("_body", config.header))
+    found = markup.sections(body, config.header)
     keep = [c for c in pages.columns if c != html_col]
+    # `inline` hands on one finished value per page; as plain columns, the
+    # optimizer would repeat the parse for the filter and for each field.
+    cut = pages.select(
+        *keep,
+        F.inline(F.filter(F.array(F.struct(found.alias("_sections"))), lambda r: F.size(r["_sections"]) > 0)),
+    )
     cut = cut.select(
         *keep, chunks_of(F.col("_sections.header"), F.col("_sections.text")).alias("_chunks")
     )

@@ -31,17 +31,23 @@ def top_joined(
     left_order: Sequence[Column],
     right_order: Sequence[Column],
     k: int,
+    n_groups: int | None = None,
     rank: str = "row_num",
 ) -> DataFrame:
     """First `k` rows per `group` of `left JOIN right`, without the full join.
 
     `group` is a right-hand column. Rows are ordered by the left columns, then
-    by the key, then by the right columns. At most `k` left rows of one key and
-    `k` right rows of one (key, group) can reach the result, so both sides are
-    cut to those first; a key that holds a third of the log shrinks to `k`
-    rows before anything is shuffled.
+    by the key, then by the right columns. The left side is cut to `k` rows per
+    key and ranked against the distinct (key, group) pairs, all narrow. A
+    repeated pair can only push rows out, so these winners hold every left row
+    of the result; only they look up the wide right rows. With at most
+    `n_groups` groups there are `k * n_groups` winners, and they are broadcast.
     """
     few_left = top_per_group(left, [key], left_order, k, "_l").drop("_l")
-    few_right = top_per_group(right, [key, group], right_order, k, "_r").drop("_r")
-    order = [*left_order, F.col(key).asc(), *right_order]
-    return top_per_group(few_left.join(few_right, key), [group], order, k, rank)
+    pairs = right.select(key, group).distinct()
+    by_left = [*left_order, F.col(key).asc()]
+    winners = top_per_group(few_left.join(pairs, key), [group], by_left, k, "_w").drop("_w")
+    if n_groups is not None:
+        winners = F.broadcast(winners)
+    matched = right.join(winners, [key, group])
+    return top_per_group(matched, [group], [*by_left, *right_order], k, rank)

@@ -10,7 +10,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import AnswerConfig
 from ..functions import chat
 from ..operators import metrics
-from ..schemas import ASSESSMENT_LOG, RANK_CUTOFFS, RANK_METRICS, TEXT_METRICS, rank_metric_name
+from ..schemas import (
+    ASSESSMENT_LOG,
+    RANK_CUTOFFS,
+    RANK_METRICS,
+    RATING,
+    TEXT_METRICS,
+    rank_metric_name,
+)
 from ..sources.scratch import freeze
 from ..sources.tables import WriteModes, write_table
 from .answering import answer_batch
@@ -21,13 +28,30 @@ AGREEMENT_THRESHOLD = 0.5
 
 
 def rating(verdict: Column | None = None, score: Column | None = None) -> Column:
-    none_bool, none_double = F.lit(None).cast("boolean"), F.lit(None).cast("double")
     return F.struct(
-        (none_bool if verdict is None else verdict).alias("bool_value"),
-        (none_double if score is None else score.cast("double")).alias("double_value"),
+        (F.lit(None).cast("boolean") if verdict is None else verdict).alias("bool_value"),
+        (F.lit(None) if score is None else score).cast("double").alias("double_value"),
     )
 
 
+def text_assessment(ratings: dict[str, Column]) -> Column:
+    """The text half of an assessment; metrics not given are null."""
+    if not ratings:
+        return F.lit(None).cast(ASSESSMENT_LOG["text_assessment"].dataType)
+    missing = F.lit(None).cast(RATING)
+    return F.struct(F.struct(*[ratings.get(m, missing).alias(m) for m in TEXT_METRICS]).alias("ratings"))
+
+
+def retrieval_assessment(scores: dict[str, Column]) -> Column:
+    """The retrieval half, from scores by metric name; null without any."""
+    if not scores:
+        return F.lit(None).cast(ASSESSMENT_LOG["retrieval_assessment"].dataType)
+    missing = F.lit(None).cast(RATING)
+    names = [rank_metric_name(m, k) for k in RANK_CUTOFFS for m in RANK_METRICS]
+    entries = [(rating(score=scores[n]) if n in scores else missing).alias(n) for n in names]
+    return F.struct(F.struct(*entries).alias("ratings"))
+
+
 def offline_predictions(
     dataset: DataFrame, corpus: DataFrame, version_uri: str,
     config: AnswerConfig = AnswerConfig(), **models,
@@ -94,21 +118,17 @@ def run_eval(
             raise ValueError(f"unknown metric {metric}")
         rows = metrics.apply_judge(rows, judge, f"_judge_{metric}", columns)
         ratings[metric] = F.col(f"_judge_{metric}")
-    text = F.struct(*[ratings.get(m, rating()).alias(m) for m in TEXT_METRICS])
     ranks: dict[str, Column] = {}
     if with_ground_truth:
         ranks = metrics.rank_scores_of_lists("retrieved", "ground_truth.doc_uris")
-    names = [rank_metric_name(m, k) for k in RANK_CUTOFFS for m in RANK_METRICS]
-    retrieval = F.struct(*[rating(score=ranks.get(n)).alias(n) for n in names])
-    assessed = rows.select(
+    return rows.select(
         F.col("request.request_id").alias("request_id"),
         F.lit(step_id).alias("step_id"),
         F.struct(F.lit(source).alias("type")).alias("source"),
-        F.struct(text.alias("ratings")).alias("text_assessment"),
-        F.struct(retrieval.alias("ratings")).alias("retrieval_assessment"),
+        text_assessment(ratings).alias("text_assessment"),
+        retrieval_assessment(ranks).alias("retrieval_assessment"),
         F.col("request.ts").alias("ts"),
     )
-    return assessed.select([F.col(f.name).cast(f.dataType) for f in ASSESSMENT_LOG.fields])
 
 
 def ratings_long(assessments: DataFrame) -> DataFrame:

@@ -189,10 +189,11 @@ def score_examples(
         F.col("output").alias("output_message"),
     )
     score = F.col("score").desc_nulls_last() if descending else F.col("score").asc_nulls_first()
+    n_groups = None if versions is None or ALL_VERSIONS in versions else len(versions)
     left_order = [score, F.col("step_id").asc(), F.col("assessment_source").asc(), F.col("value").asc()]
     return top_joined(
         _rated(assessments, metric), right, "request_id", "rag_version",
-        left_order, [F.col("output_message").asc()], k,
+        left_order, [F.col("output_message").asc()], k, n_groups,
     )
 
 

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Recording the Python call site of every column is slow for wide structs.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
 }
 

@@ -15,6 +15,16 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.read.table(name)
 
 
+def spread_small(scan: DataFrame) -> DataFrame:
+    """Spread a table of few files over all cores before CPU-heavy work.
+
+    `scan` is a plain table read. Tables with at least as many splits as the
+    cluster has cores, so all large ones, are returned as they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def write_table(df: DataFrame, name: str, mode: str) -> None:
     if "/" in name:
         df.write.mode(mode).parquet(name)

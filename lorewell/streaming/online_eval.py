@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.dedup import dedup_assessments
 from ..plans.evaluation import run_eval
 from ..schemas import ASSESSMENT_LOG, REQUEST_LOG
-from ..sources.tables import VersionedTable
+from ..sources.tables import VersionedTable, spread_small
 from .payloads import unpack_payloads
 
 
@@ -45,7 +45,7 @@ def persist_online(
     evaluation = run_eval_with or {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = spread_small(batch).persist()
         try:
             requests, logged, rejects = unpack_payloads(batch)
             assessments = logged.unionByName(run_eval(requests, **evaluation))

@@ -2,20 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ..plans.evaluation import rating
-from ..schemas import (
-    ASSESSMENT_LOG,
-    MESSAGES,
-    PAYLOAD,
-    RANK_CUTOFFS,
-    RANK_METRICS,
-    RATING,
-    TEXT_METRICS,
-    rank_metric_name,
-)
+from ..plans.evaluation import retrieval_assessment
+from ..schemas import MESSAGES, PAYLOAD, RATING, TEXT_METRICS
 
 # Fixed values of the payload column `kind`.
 REQUEST = "request"
@@ -61,50 +52,50 @@ def unpack_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame, DataFram
 
     Rejects are payloads whose JSON cannot be read, whose kind is unknown, or
     that carry no request id. Every payload lands in exactly one of the three.
+    The parsed bodies go through `inline`, so each is parsed once, not once for
+    the check and once for every field.
     """
-    is_request = F.col("kind") == REQUEST
-    is_assessment = F.col("kind") == ASSESSMENT
-    parsed = (
-        payloads.withColumn(
-            "_req", F.when(is_request, F.from_json("request", REQUEST_BODY, PARSE))
-        )
-        .withColumn("_res", F.when(is_request, F.from_json("response", RESPONSE_BODY, PARSE)))
-        .withColumn("_ass", F.when(is_assessment, F.from_json("request", ASSESSMENT_BODY, PARSE)))
-    )
+    has_id = F.col("request_id").isNotNull()
+    is_request, is_assessment = F.col("kind") == REQUEST, F.col("kind") == ASSESSMENT
+    request_body = F.from_json("request", REQUEST_BODY, PARSE)
+    response_body = F.from_json("response", RESPONSE_BODY, PARSE)
+    assessment_body = F.from_json("request", ASSESSMENT_BODY, PARSE)
 
-    def readable(body: str):
-        return F.col(body).isNotNull() & F.col(f"{body}.{CORRUPT}").isNull()
+    def readable(body: Column) -> Column:
+        return body.isNotNull() & body[CORRUPT].isNull()
 
-    good_request = is_request & readable("_req") & readable("_res")
-    good_assessment = is_assessment & readable("_ass")
-    outcome = (
-        F.when(F.col("request_id").isNull(), F.lit("reject"))
-        .when(good_request, F.lit(REQUEST))
-        .when(good_assessment, F.lit(ASSESSMENT))
-        .otherwise(F.lit("reject"))
+    calls = payloads.filter(has_id & is_request).select(
+        "request_id", "ts", "latency_ms",
+        F.inline(
+            F.filter(
+                F.array(F.struct(request_body.alias("req"), response_body.alias("res"))),
+                lambda b: readable(b["req"]) & readable(b["res"]),
+            )
+        ),
     )
-    sorted_out = parsed.withColumn("_outcome", outcome)
-
-    requests = sorted_out.filter(F.col("_outcome") == REQUEST).select(
-        F.struct(
-            F.col("request_id"), F.col("_req.messages").alias("messages"), F.col("ts")
-        ).alias("request"),
-        F.struct(
-            F.col("_req.app_version_id").alias("app_version_id"),
-            F.col("latency_ms"),
-        ).alias("trace"),
-        F.col("_res.output").alias("output"),
+    requests = calls.select(
+        F.struct("request_id", F.col("req.messages").alias("messages"), "ts").alias("request"),
+        F.struct(F.col("req.app_version_id").alias("app_version_id"), "latency_ms").alias("trace"),
+        F.col("res.output").alias("output"),
+    )
+    feedback = payloads.filter(has_id & is_assessment).select(
+        "request_id", "ts",
+        F.inline(
+            F.filter(F.array(F.struct(assessment_body.alias("ass"))), lambda b: readable(b["ass"]))
+        ),
+    )
+    assessments = feedback.select(
+        "request_id",
+        F.col("ass.step_id").alias("step_id"),
+        F.struct(F.col("ass.source").alias("type")).alias("source"),
+        F.struct(F.col("ass.ratings").alias("ratings")).alias("text_assessment"),
+        retrieval_assessment({}).alias("retrieval_assessment"),
+        "ts",
     )
-    names = [rank_metric_name(m, k) for k in RANK_CUTOFFS for m in RANK_METRICS]
-    no_ranks = F.struct(*[rating().alias(n) for n in names])
-    assessments = sorted_out.filter(F.col("_outcome") == ASSESSMENT).select(
-        F.col("request_id"),
-        F.col("_ass.step_id").alias("step_id"),
-        F.struct(F.col("_ass.source").alias("type")).alias("source"),
-        F.struct(F.col("_ass.ratings").alias("ratings")).alias("text_assessment"),
-        F.struct(no_ranks.alias("ratings")).alias("retrieval_assessment"),
-        F.col("ts"),
+    accepted = (
+        F.when(~has_id, F.lit(False))
+        .when(is_request, readable(request_body) & readable(response_body))
+        .when(is_assessment, readable(assessment_body))
+        .otherwise(F.lit(False))
     )
-    assessments = assessments.select([F.col(f.name).cast(f.dataType) for f in ASSESSMENT_LOG.fields])
-    rejects = sorted_out.filter(F.col("_outcome") == "reject").select(*payloads.columns)
-    return requests, assessments, rejects
+    return requests, assessments, payloads.filter(~F.coalesce(accepted, F.lit(False)))
