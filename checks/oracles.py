@@ -135,12 +135,18 @@ def _retrieval_metrics() -> str:
     FROM top JOIN sizes ON top.query_label = sizes.label GROUP BY query_id"""
 
 
-CONTEXTS = f"""{NEIGHBOURS},
-    ctx AS (SELECT query_id, string_agg(d.text, chr(10) || chr(10) ORDER BY rank) AS context,
-                   max(CASE WHEN rank = first_rank THEN d.text END) AS best
-            FROM (SELECT t.*, min(rank) OVER (PARTITION BY query_id) AS first_rank
-                  FROM top t JOIN documents x ON t.chunk_id = x.doc_id) t
-            JOIN documents d ON t.chunk_id = d.doc_id GROUP BY query_id)"""
+# The chunks that can be found are the vectors whose document has a text.
+CONTEXTS = """chunk AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, text
+              FROM embeddings JOIN documents ON vec_id = doc_id),
+    query AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    pairs AS (SELECT q.vec_id AS query_id, c.vec_id AS chunk_id, c.text,
+                     round(list_dot_product(q.v, c.v), 9) AS score
+              FROM query q JOIN chunk c ON q.vec_id <> c.vec_id),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank
+               FROM pairs),
+    ctx AS (SELECT query_id, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context,
+                   max(CASE WHEN rank = 1 THEN text END) AS best
+            FROM placed WHERE rank <= 5 GROUP BY query_id)"""
 
 CHATS = """turns AS (SELECT *, max(turn) OVER (PARTITION BY conv_id) AS last_turn FROM conversations),
     chats AS (SELECT conv_id, count(*) AS n,

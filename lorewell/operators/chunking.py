@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import deque
 from collections.abc import Callable, Iterable
 
 import pandas as pd
@@ -31,14 +32,20 @@ def cut_in_half(text: str, size: int, count: Callable[[str], int]) -> list[str]:
 
 
 def pack(parts: Iterable[str], glue: str, size: int, overlap: int, count) -> list[str]:
-    """Join neighbouring parts up to `size`; repeat up to `overlap` at each cut."""
-    chunks, window, total = [], [], 0
+    """Join neighbouring parts up to `size`; repeat up to `overlap` at each cut.
+
+    The glue counts too, for counters that see it, such as character counts.
+    """
+    between = count(glue)
+    chunks: list[str] = []
+    window: deque[tuple[str, int]] = deque()
+    total = 0
     for part in parts:
-        n = count(part)
-        if window and total + n > size:
+        n = count(part) + between
+        if window and total + n - between > size:
             chunks.append(glue.join(p for p, _ in window))
-            while window and (total > overlap or total + n > size):
-                total -= window.pop(0)[1]
+            while window and (total - between > overlap or total + n - between > size):
+                total -= window.popleft()[1]
         window.append((part, n))
         total += n
     if window:

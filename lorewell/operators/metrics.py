@@ -6,10 +6,9 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import _col, token_count, word_set
-from ..schemas import RANK_CUTOFFS, rank_metric_name
+from ..schemas import RANK_CUTOFFS, RATING, rank_metric_name
 
 # Fixed word list of the default harm rating; callers pass their own.
 HARM_TERMS = (
@@ -74,17 +73,13 @@ def apply_judge(
 ) -> DataFrame:
     """Add a rating struct from `judge`, which maps a frame of `columns` to
     `bool_value` and `double_value` for each row."""
-    rating = T.StructType(
-        [T.StructField("bool_value", T.BooleanType()), T.StructField("double_value", T.DoubleType())]
-    )
 
-    @F.pandas_udf(rating)
-    def rate(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for series in batches:
-            frame = pd.concat(series, axis=1, keys=list(columns))
+    @F.pandas_udf(RATING)
+    def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
             yield judge(frame)[["bool_value", "double_value"]].reset_index(drop=True)
 
-    return df.withColumn(metric, rate(*[F.col(c) for c in columns]))
+    return df.withColumn(metric, rate(F.struct(*columns)))
 
 
 def attach_truth(
