@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 MAX_HOT_KEYS = 64
 SKETCH_ITEMS = 4096
 
+# Rows of a few ids and numbers that may be broadcast, some 100 MB at most.
+BROADCAST_ROWS = 500_000
+
 
 def hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> list:
     """Keys holding at least `min_share` of all rows (runs one key-only job).
@@ -34,27 +37,57 @@ def salted_join(
     salts: int = 32,
     min_share: float = 0.01,
     hot: Sequence | None = None,
+    right_hot: Sequence = (),
 ) -> DataFrame:
-    """Join on `key`, spreading the hot keys of the left side over `salts` tasks.
+    """Join on `key`, spreading hot keys over `salts` tasks.
 
-    Only the right rows of hot keys are repeated, once per salt; every other
-    row is joined as usual. The salt is a hash of the left row, so a retried
-    task assigns the same salt again. `how` is inner, left or left_semi.
+    Rows of a key that is hot on the left get a salt there and are repeated,
+    once per salt, on the right; `right_hot` keys of an inner join the other
+    way round. Every other row is joined as usual. A salt is a hash of its row,
+    so a retried task assigns it again. `how` is inner, left or left_semi.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"salted join cannot do {how!r}")
+    if right_hot and how != "inner":
+        raise ValueError("only an inner join can repeat left rows")
     if hot is None:
         hot = hot_keys(left, key, min_share)
-    if not hot:
+    right_hot = [k for k in right_hot if k not in set(hot)]
+    if not hot and not right_hot:
         return left.join(right, key, how)
-    is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
-    salted_left = left.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.withColumn("_salt", F.explode(copies))
+    left_salts = _salts(left, key, hot, right_hot, salts)
+    right_salts = _salts(right, key, right_hot, hot, salts)
+    salted_left = left.withColumn("_salt", left_salts)
+    salted_right = right.withColumn("_salt", right_salts)
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
 
 
+def _salts(df: DataFrame, key: str, spread: Sequence, repeat: Sequence, salts: int) -> Column:
+    """A salt per row for `spread` keys, all salts for `repeat` keys, else 0."""
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    one = F.lit(0)
+    if spread:
+        salt = F.pmod(row_hash, F.lit(salts)).cast("int")
+        one = F.when(F.col(key).isin(list(spread)), salt).otherwise(one)
+    if not repeat:
+        return one
+    copies = F.sequence(F.lit(0), F.lit(salts - 1))
+    return F.explode(F.when(F.col(key).isin(list(repeat)), copies).otherwise(F.array(one)))
+
+
+def lookup_join(small: DataFrame, large: DataFrame, key: str) -> DataFrame:
+    """Inner join of a narrow list of keys with a wide table.
+
+    Counts the list. Up to BROADCAST_ROWS rows it is broadcast, so the wide
+    rows are not shuffled and frequent keys do no harm; a longer list is
+    joined by shuffle, with its hot keys salted. `small` should be stored or
+    cheap, as it is read more than once.
+    """
+    if small.count() <= BROADCAST_ROWS:
+        return large.join(F.broadcast(small), key)
+    return salted_join(small, large, key)
+
+
 def assessments_with_requests(
     assessments: DataFrame,
     requests: DataFrame,
@@ -72,5 +105,6 @@ def assessments_with_requests(
         *[c.alias(name) for name, c in wanted.items()],
     )
     if salted:
-        return salted_join(assessments, narrow, "request_id")
+        frequent = hot_keys(narrow, "request_id")
+        return salted_join(assessments, narrow, "request_id", right_hot=frequent)
     return assessments.join(narrow, "request_id")

@@ -11,7 +11,7 @@ from ..config import AnswerConfig
 from ..functions import chat
 from ..functions.text import fill_template
 from ..operators.embed import Embedder, embed_text
-from ..operators.joins import salted_join
+from ..operators.joins import lookup_join, salted_join
 from ..operators.knn import nearest
 from ..operators.mmr import mmr_rerank
 from ..sources.scratch import freeze
@@ -41,15 +41,15 @@ def retrieve(
 ) -> DataFrame:
     """`(query_id, rank, score, chunk_id, doc_uri, text)` of each query's chunks.
 
-    The ranks are stored before texts are joined: they are few and dear to
-    compute, and the join looks at them twice to spread popular chunks.
+    The ranks are stored before texts are joined: they are few, narrow and dear
+    to compute, and their number decides how the texts are looked up.
     """
     ranked = nearest(queries, corpus, mmr_fetch if use_mmr else k, **search)
     ranked = freeze(ranked, "ranked")
     if use_mmr:
-        with_vectors = salted_join(ranked, corpus.select("chunk_id", "embedding"), "chunk_id")
+        with_vectors = lookup_join(ranked, corpus.select("chunk_id", "embedding"), "chunk_id")
         ranked = freeze(mmr_rerank(with_vectors, k, mmr_balance), "reranked")
-    found = salted_join(ranked, corpus.select("chunk_id", "doc_uri", "text"), "chunk_id")
+    found = lookup_join(ranked, corpus.select("chunk_id", "doc_uri", "text"), "chunk_id")
     return found.select("query_id", "rank", "score", "chunk_id", "doc_uri", "text")
 
 
@@ -70,14 +70,13 @@ def prepare_questions(
     make_rewriter: Callable[[], TextModel] | None = None,
     rewrite_template: str = "Chat history: {chat_history}\n\nQuestion: {question}",
 ) -> DataFrame:
-    """Question, history and retrieval query of each `(request_id, messages)` row.
+    """Requests with question, history and retrieval query of their `messages`.
 
     The query joins the last turns with the question; `make_rewriter` lets a
     model write it instead.
     """
     prepared = requests.select(
-        "request_id",
-        "messages",
+        "*",
         chat.question("messages").alias("question"),
         chat.render(chat.history("messages")).alias("chat_history"),
     )
@@ -99,21 +98,25 @@ def answer_batch(
     make_rewriter: Callable[[], TextModel] | None = None,
     make_embedder: Callable[[], Embedder] | None = None,
 ) -> DataFrame:
-    """`(request_id, messages, question, context, prompt, output, doc_uris)` rows.
+    """The request rows with question, context, prompt, output and documents.
 
-    `corpus` should be a written chunk table. Without a model the answer is the
-    best passage. Requests for which nothing is found keep an empty context.
+    `requests` has `request_id` and `messages`; other columns are kept.
+    `corpus` should be a written chunk table. Equal queries are embedded and
+    searched once. Without a model the answer is the best passage. Requests for
+    which nothing is found keep an empty context.
     """
-    prepared = freeze(prepare_questions(requests, config, make_rewriter), "questions")
-    queries = embed_text(
-        prepared.filter(F.length("query") > 0).select(F.col("request_id").alias("query_id"), "query"),
-        "query", "query_vector", config.corpus.embed_dim, config.query_instruction, make_embedder,
+    keyed = prepare_questions(requests, config, make_rewriter).withColumn("query_id", F.sha2("query", 256))
+    prepared = freeze(keyed, "questions")
+    asked = prepared.filter(F.length("query") > 0).groupBy("query_id").agg(F.first("query").alias("query"))
+    embedded = embed_text(
+        asked, "query", "query_vector", config.corpus.embed_dim, config.query_instruction, make_embedder,
         config.corpus.embed_batch,
     )
+    queries = freeze(embedded.select("query_id", "query_vector"), "queries")
     found = retrieve(
         queries, corpus, config.k, config.use_mmr, config.mmr_fetch, config.mmr_balance
     )
-    joined = prepared.join(contexts(found).withColumnRenamed("query_id", "request_id"), "request_id", "left")
+    joined = salted_join(prepared, contexts(found), "query_id", "left")
     template = f"{config.system_template}\n\n{config.answer_template}"
     prompt = fill_template(
         template, chat_history="chat_history", context="context", question="question"
@@ -121,5 +124,5 @@ def answer_batch(
     with_prompt = joined.withColumn("prompt", prompt)
     output = F.col("best_text") if make_model is None else text_model(make_model, F.col("prompt"))
     return with_prompt.select(
-        "request_id", "messages", "question", "context", "prompt", output.alias("output"), "doc_uris"
+        *requests.columns, "question", "context", "prompt", output.alias("output"), "doc_uris"
     )

@@ -60,9 +60,8 @@ def offline_predictions(
 
     Adds the retrieved documents and the ground truth, which `run_eval` reads.
     """
-    answers = answer_batch(dataset.select("request_id", "messages"), corpus, config, **models)
-    truth = dataset.select("request_id", "ground_truth")
-    return answers.join(truth, "request_id").select(
+    answers = answer_batch(dataset.select("request_id", "messages", "ground_truth"), corpus, config, **models)
+    return answers.select(
         F.struct(
             "request_id", "messages", F.lit(None).cast("timestamp").alias("ts")
         ).alias("request"),

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.joins import BROADCAST_ROWS
+from .scratch import freeze
+
 
 def index_delta(current: DataFrame, wanted: DataFrame, key: str = "chunk_id") -> DataFrame:
     """Keys to add to and to retire from `current` so that it holds `wanted`.
@@ -19,7 +22,18 @@ def index_delta(current: DataFrame, wanted: DataFrame, key: str = "chunk_id") ->
 
 
 def sync_index(current: DataFrame, wanted: DataFrame, key: str = "chunk_id") -> DataFrame:
-    """The index after the update: kept rows stay as they are, new rows come in."""
-    kept = current.join(wanted.select(key).distinct(), key, "left_semi")
-    added = wanted.join(current.select(key).distinct(), key, "left_anti")
+    """The index after the update: kept rows stay as they are, new rows come in.
+
+    Only keys are compared by shuffle. While the difference is short it is
+    broadcast, and the wide rows of neither side move.
+    """
+    delta = freeze(index_delta(current, wanted, key), "delta")
+    sizes = {r["action"]: r["count"] for r in delta.groupBy("action").count().collect()}
+
+    def keys(action: str) -> DataFrame:
+        found = delta.filter(F.col("action") == action).select(key)
+        return F.broadcast(found) if sizes.get(action, 0) <= BROADCAST_ROWS else found
+
+    kept = current.join(keys("retire"), key, "left_anti")
+    added = wanted.join(keys("add"), key, "left_semi").dropDuplicates([key])
     return kept.unionByName(added.select(*current.columns))

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from ..operators.joins import salted_join
+from ..operators.joins import lookup_join
 
 
 class NoPagesError(ValueError):
@@ -20,7 +20,7 @@ def pages_from_snapshot(
 ) -> DataFrame:
     """Contents of the listed pages; failed pages (null or absent) are left out."""
     present = snapshot.select(url_col, html_col).filter(F.col(html_col).isNotNull())
-    return salted_join(urls.select(url_col), present, url_col)
+    return lookup_join(urls.select(url_col), present, url_col)
 
 
 def fetch_pages(

@@ -15,6 +15,12 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.read.table(name)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(jpath)
+
+
 def spread_small(scan: DataFrame) -> DataFrame:
     """Spread a table of few files over all cores before CPU-heavy work.
 
@@ -69,14 +75,9 @@ class VersionedTable:
         self.root = root.rstrip("/")
         self.pointer = f"{self.root}/pointer"
 
-    def _exists(self, path: str) -> bool:
-        jpath = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        fs = jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(jpath)
-
     def version(self) -> int:
         """Current version, 0 when nothing was written."""
-        if not self._exists(self.pointer):
+        if not path_exists(self.spark, self.pointer):
             return 0
         rows = self.spark.read.schema(self.POINTER).parquet(self.pointer)
         return rows.agg(F.max("version")).first()[0] or 0
@@ -100,6 +101,63 @@ class VersionedTable:
         return version
 
 
+class VersionedPartitions:
+    """A partitioned table of which single partitions can be replaced by a query
+    over themselves.
+
+    A write puts the new contents of some partitions into a new folder. One
+    append to a pointer table then makes all of them current together and notes
+    `mark`, the position in the source up to which the table is complete. One
+    writer at a time.
+    """
+
+    POINTER = T.StructType(
+        [
+            T.StructField("part", T.StringType()),
+            T.StructField("version", T.LongType()),
+            T.StructField("mark", T.LongType()),
+        ]
+    )
+
+    def __init__(self, spark: SparkSession, root: str, column: str, schema: T.StructType):
+        self.spark, self.column, self.schema = spark, column, schema
+        self.data, self.pointer = f"{root.rstrip('/')}/data", f"{root.rstrip('/')}/pointer"
+
+    def _pointers(self) -> DataFrame:
+        if not path_exists(self.spark, self.pointer):
+            return self.spark.createDataFrame([], self.POINTER)
+        return self.spark.read.schema(self.POINTER).parquet(self.pointer)
+
+    def mark(self) -> int | None:
+        return self._pointers().agg(F.max("mark")).first()[0]
+
+    def read(self, parts: list[str] | None = None) -> DataFrame:
+        """Current rows of all or of the given partitions, in one scan.
+
+        The list of partitions is read first; it is as long as their number.
+        """
+        current = self._pointers().filter(F.col("part").isNotNull())
+        if parts is not None:
+            current = current.filter(F.col("part").isin(parts))
+        latest = current.groupBy("part").agg(F.max("version").alias("v")).collect()
+        if not latest:
+            return self.spark.createDataFrame([], self.schema)
+        paths = [f"{self.data}/version={r['v']}/{self.column}={r['part']}" for r in latest]
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def replace(self, df: DataFrame, mark: int) -> None:
+        """Make `df` the contents of every partition it has rows for."""
+        version = (self._pointers().agg(F.max("version")).first()[0] or 0) + 1
+        path = f"{self.data}/version={version}"
+        df.write.mode("overwrite").partitionBy(self.column).parquet(path)
+        kind = T.StructType([*self.schema.fields, T.StructField(self.column, T.StringType())])
+        written = self.spark.read.schema(kind).parquet(path).select(F.col(self.column).alias("part"))
+        row = written.distinct().select(
+            "part", F.lit(version).cast("long").alias("version"), F.lit(mark).cast("long").alias("mark")
+        )
+        row.coalesce(1).write.mode("append").parquet(self.pointer)
+
+
 class WriteModes:
     """Append to or replace evaluation logs, by the dataset version last used."""
 

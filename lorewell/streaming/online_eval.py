@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import dedup_assessments
 from ..plans.evaluation import run_eval
 from ..schemas import ASSESSMENT_LOG, REQUEST_LOG
-from ..sources.tables import VersionedTable, spread_small
+from ..sources.tables import VersionedPartitions, spread_small
 from .payloads import unpack_payloads
 
 
@@ -69,12 +70,35 @@ def read_log(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*[f.name for f in schema.fields])
 
 
+def deduplicated_log(spark: SparkSession, root: str) -> VersionedPartitions:
+    """The published assessment log, partitioned by day."""
+    return VersionedPartitions(spark, root, "day", ASSESSMENT_LOG)
+
+
 def publish_deduplicated(
     spark: SparkSession, assessment_path: str, root: str, granularity: str = "hour"
 ) -> int:
-    """Deduplicate the whole assessment log into the next published version."""
-    log = read_log(spark, assessment_path, ASSESSMENT_LOG)
-    return VersionedTable(spark, root).overwrite(dedup_assessments(log, granularity))
+    """Bring the published log up to date; returns the number of days rewritten.
+
+    Equals deduplicating the whole log, but touches only days with new rows:
+    the latest of old and new is the latest of the old winner and the new. The
+    period of `granularity` therefore has to lie within one day.
+    """
+    if granularity not in ("minute", "hour", "day"):
+        raise ValueError(f"cannot publish by {granularity}")
+    store = deduplicated_log(spark, root)
+    batched = ASSESSMENT_LOG.fields + [T.StructField("batch", T.LongType())]
+    log = spark.read.schema(T.StructType(batched)).parquet(assessment_path)
+    done = store.mark()
+    new = log if done is None else log.filter(F.col("batch") > done)
+    day = F.coalesce(F.date_format("ts", "yyyy-MM-dd"), F.lit("unknown"))
+    found = new.groupBy(day.alias("day")).agg(F.max("batch").alias("last")).collect()
+    if not found:
+        return 0
+    old = store.read([r["day"] for r in found])
+    merged = dedup_assessments(old.unionByName(new.drop("batch")), granularity)
+    store.replace(merged.withColumn("day", day), max(r["last"] for r in found))
+    return len(found)
 
 
 def run_online_eval(
@@ -92,7 +116,7 @@ def run_online_eval(
     publish_deduplicated(spark, assessments, f"{root}/deduplicated")
     return (
         read_log(spark, requests, REQUEST_LOG),
-        VersionedTable(spark, f"{root}/deduplicated").read(),
+        deduplicated_log(spark, f"{root}/deduplicated").read(),
     )
 
 
