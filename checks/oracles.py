@@ -135,6 +135,51 @@ def _retrieval_metrics() -> str:
     FROM top JOIN sizes ON top.query_label = sizes.label GROUP BY query_id"""
 
 
+def _truth_metrics() -> str:
+    columns = []
+    for k in RANK_CUTOFFS:
+        hits = f"sum(CASE WHEN rank <= {k} AND t.doc IS NOT NULL THEN 1.0 ELSE 0.0 END)"
+        gain = f"sum(CASE WHEN rank <= {k} AND t.doc IS NOT NULL THEN 1.0 / log2(rank + 1) ELSE 0.0 END)"
+        ideal = " + ".join(
+            f"(CASE WHEN n >= {i} THEN 1.0 / log2({i + 1}) ELSE 0.0 END)" for i in range(1, k + 1)
+        )
+        columns += [
+            f"round(CAST({hits} AS DOUBLE) / {k}, 6) AS retrieval_precision_at_{k}",
+            f"round(CAST({hits} AS DOUBLE) / max(n), 6) AS retrieval_recall_at_{k}",
+            f"round({gain} / max({ideal}), 6) AS retrieval_ndcg_at_{k}",
+        ]
+    return f"""WITH {NEIGHBOURS},
+    truth AS (SELECT vec_id AS query_id, vec_id + 1 AS doc FROM e
+              UNION SELECT vec_id, vec_id + 2 FROM e
+              UNION SELECT query_id, chunk_id FROM top WHERE rank = 1),
+    sizes AS (SELECT query_id, count(*) AS n FROM truth GROUP BY query_id)
+    SELECT top.query_id, {', '.join(columns)}
+    FROM top JOIN sizes ON top.query_id = sizes.query_id
+    LEFT JOIN truth t ON top.query_id = t.query_id AND top.chunk_id = t.doc
+    GROUP BY top.query_id"""
+
+
+def _mmr(fetch: int, k: int, balance: float) -> str:
+    """Greedy re-ranking, one step per kept row."""
+    steps = ["picked1 AS (SELECT query_id, chunk_id, score, v, 1 AS rank FROM cand WHERE place = 1)"]
+    for i in range(2, k + 1):
+        before = " UNION ALL ".join(f"SELECT * FROM picked{j}" for j in range(1, i))
+        steps.append(f"""picked{i} AS (
+            SELECT query_id, chunk_id, score, v, {i} AS rank FROM (
+                SELECT c.query_id, c.chunk_id, c.score, c.v, row_number() OVER (PARTITION BY c.query_id ORDER BY
+                       {balance} * c.score - {1 - balance} * max(list_dot_product(c.v, p.v)) DESC, c.place) AS best
+                FROM cand c JOIN ({before}) p ON c.query_id = p.query_id
+                GROUP BY c.query_id, c.chunk_id, c.score, c.v, c.place
+                HAVING count(*) FILTER (WHERE p.chunk_id = c.chunk_id) = 0)
+            WHERE best = 1)""")
+    union = " UNION ALL ".join(f"SELECT * FROM picked{j}" for j in range(1, k + 1))
+    return f"""WITH {NEIGHBOURS},
+    cand AS (SELECT query_id, chunk_id, score, rank AS place, v
+             FROM placed JOIN e ON chunk_id = vec_id WHERE rank <= {fetch}),
+    {', '.join(steps)}
+    SELECT query_id, chunk_id, round(score, 6) AS score, rank FROM ({union})"""
+
+
 # The chunks that can be found are the vectors whose document has a text.
 CONTEXTS = """chunk AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, text
               FROM embeddings JOIN documents ON vec_id = doc_id),
@@ -278,6 +323,9 @@ ORACLES = {
     "score_quantiles": _quantiles("harmful"),
     "relevant_score_quantiles": _quantiles("relevant"),
     "faithful_score_quantiles": _quantiles("faithful"),
+    "report_over_view": f"""WITH {_rated('harmful')}
+        SELECT version_number AS rag_version, count(*) AS n_rows, round(avg(CAST(value AS DOUBLE)), 6) AS true_share
+        FROM rated WHERE value IS NOT NULL GROUP BY version_number""",
     "latency_quantiles": """SELECT lang, count(*) AS n_scores,
             round(quantile_cont(CAST(n_chars AS DOUBLE), 0.01), 6) AS p01,
             round(quantile_cont(CAST(n_chars AS DOUBLE), 0.5), 6) AS p50,
@@ -326,6 +374,8 @@ ORACLES = {
     "knn_exact_top5": KNN,
     "knn_grouped_top5": KNN,
     "retrieval_metrics": _retrieval_metrics(),
+    "truth_metrics": _truth_metrics(),
+    "mmr_rerank": _mmr(20, 5, 0.5),
     "rag_context": f"WITH {CONTEXTS} SELECT query_id, md5(context) AS context_md5 FROM ctx",
     "extractive_answer": f"WITH {CONTEXTS} SELECT query_id, md5(best) AS answer_md5 FROM ctx",
     "rag_prompt": f"""WITH {CONTEXTS}, {CHATS} SELECT conv_id, md5({_prompt()}) AS prompt_md5
@@ -364,6 +414,10 @@ ORACLES = {
             FROM events)
         SELECT user_id, event_type, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:00:00') AS hour, event_id, value
         FROM ranked WHERE rn = 1""",
+    "versioned_overwrite": """WITH ranked AS (SELECT *, row_number() OVER (
+                PARTITION BY user_id, event_type, date_trunc('hour', ts) ORDER BY ts DESC, event_id DESC) AS rn
+            FROM events)
+        SELECT user_id, event_type, event_id, value FROM ranked WHERE rn = 1""",
     "payload_unpack": f"""SELECT concat('r', CAST(event_id AS VARCHAR)) AS request_id,
             event_type || ' ' || props AS question, {STAMP} AS ts, {VERSION_OF_USER} AS app_version_id,
             round(value * 10, 6) AS latency_ms, props AS output

@@ -12,7 +12,7 @@ from lorewell.operators.embed import embed_text
 from lorewell.operators.mmr import mmr_rerank
 from lorewell.operators.versions import distinct_versions, select_versions
 from lorewell.plans import answering, corpus, evaluation, reports
-from lorewell.sources import docstore, pages as page_source, sitemap
+from lorewell.sources import docstore, pages as page_source, sitemap, tables
 from lorewell.sources.index import index_delta
 from lorewell.sources.scratch import freeze, scratch_path
 from lorewell.streaming import online_eval, payloads
@@ -131,6 +131,27 @@ def _examples(metric):
     return run
 
 
+def score_quantiles_approx(spark, sf_dir):
+    return reports.score_distribution(*_logs(spark, sf_dir), FAITHFUL, exact=False)
+
+
+def report_over_view(spark, sf_dir):
+    """A report in SQL over registered views, as a notebook user would write it."""
+    requests, assessments = _logs(spark, sf_dir)
+    tables.register_view(requests, "request_log_view")
+    tables.register_view(assessments, "assessment_log_view")
+    return spark.sql(
+        """
+        SELECT substring_index(r.trace.app_version_id, '/', -1) AS rag_version,
+               count(*) AS n_rows,
+               round(avg(CAST(a.text_assessment.ratings.harmful.bool_value AS INT)), 6) AS true_share
+        FROM assessment_log_view a JOIN request_log_view r ON r.request.request_id = a.request_id
+        WHERE a.text_assessment.ratings.harmful.bool_value IS NOT NULL
+        GROUP BY 1
+        """
+    )
+
+
 def latency_quantiles(spark, sf_dir):
     docs = fx.table(spark, sf_dir, "documents")
     counted = docs.groupBy("lang", F.col("n_chars").cast("double").alias("chars")).agg(
@@ -321,7 +342,7 @@ def knn_lsh(spark, sf_dir):
 def mmr_rerank_query(spark, sf_dir):
     candidates = freeze(_neighbours(spark, sf_dir, k=20), "candidates")
     with_vectors = candidates.join(fx.vectors(spark, sf_dir).drop("label"), "chunk_id")
-    return mmr_rerank(with_vectors, 5, 0.5)
+    return _round(mmr_rerank(with_vectors, 5, 0.5), "score")
 
 
 def retrieval_metrics(spark, sf_dir):
@@ -337,6 +358,17 @@ def retrieval_metrics(spark, sf_dir):
     return _round(scored, *[c for c in scored.columns if c != "query_id"])
 
 
+def truth_metrics(spark, sf_dir):
+    """Against a truth table: each vector's relevant ones are the next two and its best."""
+    ranked = freeze(_neighbours(spark, sf_dir), "ranked").withColumnRenamed("chunk_id", "doc_uri")
+    ids = _self_queries(spark, sf_dir).select("query_id")
+    following = ids.select("query_id", F.explode(F.array(F.col("query_id") + 1, F.col("query_id") + 2)).alias("doc_uri"))
+    truth = following.unionByName(ranked.filter("rank = 1").select("query_id", "doc_uri"))
+    marked = metrics.attach_truth(ranked, truth)
+    scored = metrics.rank_metrics(marked, metrics.truth_totals(truth))
+    return _round(scored, *[c for c in scored.columns if c != "query_id"])
+
+
 def _retrieved(spark, sf_dir):
     return answering.retrieve(
         _self_queries(spark, sf_dir), fx.vector_corpus(spark, sf_dir), 5, exclude_same_id=True
@@ -459,17 +491,23 @@ def run_eval_long(spark, sf_dir):
     )
 
 
-def offline_predictions(spark, sf_dir):
-    """Whole conversations answered from the page corpus."""
+def _eval_dataset(spark, sf_dir):
+    """Conversations as questions; a question's own text is its true answer."""
     chats = messages.assemble_messages(fx.table(spark, sf_dir, "conversations"))
-    dataset = chats.select(
+    return chats.select(
         F.col("conv_id").cast("string").alias("request_id"), "messages",
         F.struct(
             chat.question("messages").alias("answer"), F.array().cast("array<string>").alias("doc_uris")
         ).alias("ground_truth"),
     )
+
+
+def offline_predictions(spark, sf_dir):
+    """Whole conversations answered from the page corpus."""
     chunks = freeze(corpus.build_corpus(fx.pages(spark, sf_dir), fx.PAGE_CONFIG), "corpus")
-    log = evaluation.offline_predictions(dataset, chunks, "models:/app/1", AnswerConfig(corpus=fx.PAGE_CONFIG))
+    log = evaluation.offline_predictions(
+        _eval_dataset(spark, sf_dir), chunks, "models:/app/1", AnswerConfig(corpus=fx.PAGE_CONFIG)
+    )
     return log.select(
         F.col("request.request_id").alias("request_id"),
         F.col("trace.app_version_id").alias("app_version_id"),
@@ -477,6 +515,17 @@ def offline_predictions(spark, sf_dir):
     )
 
 
+def offline_eval(spark, sf_dir):
+    """The whole offline run: predict, rate, write both logs, read the ratings."""
+    chunks = freeze(corpus.build_text_corpus(fx.text_docs(spark, sf_dir)), "corpus")
+    root = scratch_path(spark, "offline")
+    evaluation.run_offline_eval(
+        _eval_dataset(spark, sf_dir), 1, chunks, "models:/app/1",
+        f"{root}/requests", f"{root}/assessments", f"{root}/state", "checks",
+    )
+    return _assessment_rows(tables.read_table(spark, f"{root}/assessments"))
+
+
 # --- online evaluation ---------------------------------------------------------
 
 
@@ -486,6 +535,14 @@ def dedup_hourly(spark, sf_dir):
     return kept.select("user_id", "event_type", F.date_format("hour", HOURS).alias("hour"), "event_id", "value")
 
 
+def versioned_overwrite(spark, sf_dir):
+    """A table replaced by a query over itself: events, then their latest per hour."""
+    store = tables.VersionedTable(spark, scratch_path(spark, "versioned"))
+    store.overwrite(fx.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")))
+    store.overwrite(latest_per_period(store.read(), ["user_id", "event_type"], "ts", ["event_id"]))
+    return store.read().select("user_id", "event_type", "event_id", "value")
+
+
 def payload_unpack(spark, sf_dir):
     events = fx.table(spark, sf_dir, "events")
     requests, _, _ = payloads.unpack_payloads(fx.as_payloads(events))
@@ -604,6 +661,8 @@ QUERIES = {
     "score_quantiles": _quantiles(HARMFUL),
     "relevant_score_quantiles": _quantiles(RELEVANT),
     "faithful_score_quantiles": _quantiles(FAITHFUL),
+    "score_quantiles_approx": score_quantiles_approx,
+    "report_over_view": report_over_view,
     "latency_quantiles": latency_quantiles,
     "topk_harmful": _examples(HARMFUL),
     "bottomk_relevant": _examples(RELEVANT),
@@ -632,6 +691,7 @@ QUERIES = {
     "knn_lsh": knn_lsh,
     "mmr_rerank": mmr_rerank_query,
     "retrieval_metrics": retrieval_metrics,
+    "truth_metrics": truth_metrics,
     "rag_context": rag_context,
     "extractive_answer": extractive_answer,
     "rag_prompt": rag_prompt,
@@ -648,7 +708,9 @@ QUERIES = {
     "harmful_terms": harmful_terms,
     "run_eval_long": run_eval_long,
     "offline_predictions": offline_predictions,
+    "offline_eval": offline_eval,
     "dedup_hourly": dedup_hourly,
+    "versioned_overwrite": versioned_overwrite,
     "payload_unpack": payload_unpack,
     "payload_feedback": payload_feedback,
     "stream_payload_scan": stream_payload_scan,

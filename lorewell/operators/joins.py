@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 # At most this many keys can be reported hot, so the key list on the driver and
 # in the plan has a fixed size.
 MAX_HOT_KEYS = 64
 SKETCH_ITEMS = 4096
 
-# Rows of a few ids and numbers that may be broadcast, some 100 MB at most.
-BROADCAST_ROWS = 500_000
+# Measured size up to which a list is broadcast.
+BROADCAST_BYTES = 64 << 20
 
 
 def hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> list:
@@ -75,15 +76,29 @@ def _salts(df: DataFrame, key: str, spread: Sequence, repeat: Sequence, salts: i
     return F.explode(F.when(F.col(key).isin(list(repeat)), copies).otherwise(F.array(one)))
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the values of a frame of plain columns (runs a job)."""
+    width = F.lit(16)
+    for field in df.schema.fields:
+        kind = field.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        elif isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)):
+            width = width + F.lit(8)
+        else:
+            raise ValueError(f"cannot measure column {field.name} of type {kind.simpleString()}")
+    return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+
+
 def lookup_join(small: DataFrame, large: DataFrame, key: str) -> DataFrame:
     """Inner join of a narrow list of keys with a wide table.
 
-    Counts the list. Up to BROADCAST_ROWS rows it is broadcast, so the wide
-    rows are not shuffled and frequent keys do no harm; a longer list is
-    joined by shuffle, with its hot keys salted. `small` should be stored or
+    Measures the list. Up to BROADCAST_BYTES it is broadcast, so the wide rows
+    are not shuffled and frequent keys do no harm; a larger list is joined by
+    shuffle, with its hot keys salted. `small` should be stored or
     cheap, as it is read more than once.
     """
-    if small.count() <= BROADCAST_ROWS:
+    if measured_bytes(small) <= BROADCAST_BYTES:
         return large.join(F.broadcast(small), key)
     return salted_join(small, large, key)
 

@@ -140,7 +140,10 @@ def nearest(
     left = left.filter(F.col("v").isNotNull())
     right = corpus.select(F.col(chunk_id).alias("chunk_id"), F.col(vector).alias("v"))
     right = right.filter(F.col("v").isNotNull())
-    size = left.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim")).first()
+    id_bytes = F.octet_length(F.col("query_id").cast("string"))
+    size = left.agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim"), F.max(id_bytes).alias("id_bytes")
+    ).first()
     out = T.StructType(
         [
             T.StructField("query_id", left.schema["query_id"].dataType),
@@ -148,7 +151,7 @@ def nearest(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    bytes_per_vector = 8 * (size["dim"] or 1)
+    bytes_per_vector = 8 * (size["dim"] or 1) + (size["id_bytes"] or 0)
     planes = Planes(size["dim"] or 1, *lsh, seed) if lsh else None
     if size["n"] * bytes_per_vector <= broadcast_bytes:
         found = _by_broadcast(left, right, k, out, planes, exclude_same_id)

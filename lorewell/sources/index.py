@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.joins import BROADCAST_ROWS
+from ..operators.joins import BROADCAST_BYTES, measured_bytes
 from .scratch import freeze
 
 
@@ -28,11 +28,9 @@ def sync_index(current: DataFrame, wanted: DataFrame, key: str = "chunk_id") ->
     broadcast, and the wide rows of neither side move.
     """
     delta = freeze(index_delta(current, wanted, key), "delta")
-    sizes = {r["action"]: r["count"] for r in delta.groupBy("action").count().collect()}
-
     def keys(action: str) -> DataFrame:
         found = delta.filter(F.col("action") == action).select(key)
-        return F.broadcast(found) if sizes.get(action, 0) <= BROADCAST_ROWS else found
+        return F.broadcast(found) if measured_bytes(found) <= BROADCAST_BYTES else found
 
     kept = current.join(keys("retire"), key, "left_anti")
     added = wanted.join(keys("add"), key, "left_semi").dropDuplicates([key])

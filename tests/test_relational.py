@@ -155,3 +155,26 @@ def test_pivot_picks_the_first_in_order(spark):
     df = spark.createDataFrame([("a", "x", 2), ("a", "x", 1), ("a", "y", 5), ("b", "y", 7)], "id string, v string, n int")
     wide = reshape.pivot_versions(df, ["id"], "v", ["x", "y"], "n", F.col("n"))
     assert rows(wide) == [("a", 1, 5), ("b", None, 7)]
+
+
+def test_lookup_join_in_both_forms(spark, skewed, monkeypatch):
+    large, small = skewed
+    want = rows(large.join(small, "key"))
+    assert rows(joins.lookup_join(small, large, "key").select("key", "id", "v")) == want
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    assert rows(joins.lookup_join(small, large, "key").select("key", "id", "v")) == want
+
+
+def test_measured_bytes(spark):
+    df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, n int")
+    assert joins.measured_bytes(df) == 2 * (16 + 8) + 3
+    assert joins.measured_bytes(df.limit(0)) == 0
+
+
+def test_salted_join_with_a_hot_right_key(skewed):
+    left, right = skewed
+    want = rows(right.join(left, "key"))
+    got = joins.salted_join(right, left, "key", salts=5, hot=[], right_hot=["hot"])
+    assert rows(got) == want
+    with pytest.raises(ValueError):
+        joins.salted_join(right, left, "key", "left", hot=[], right_hot=["hot"])
