@@ -284,7 +284,7 @@ HARM = f"""len(list_intersect(list_distinct(regexp_extract_all(lower({{0}}), '[a
            [{', '.join(repr(t) for t in HARM_TERMS)}])) / CAST({len(HARM_TERMS)} AS DOUBLE)"""
 
 ORACLES = {
-    "performance_by_version": f"""WITH {REQUESTS}, {PERFORMANCE}
+    "perf_by_version": f"""WITH {REQUESTS}, {PERFORMANCE}
         SELECT version_number AS rag_version, round(avg(latency), 6) AS avg_latency,
                round(avg(token_count), 6) AS avg_token_count
         FROM pf JOIN rl USING (request_id) GROUP BY version_number""",

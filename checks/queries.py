@@ -643,7 +643,7 @@ def stream_dedup_hourly(spark, sf_dir):
 HARMFUL, RELEVANT, FAITHFUL = "harmful", "relevant_to_question_and_context", "faithful_to_context"
 
 QUERIES = {
-    "performance_by_version": performance_by_version,
+    "perf_by_version": performance_by_version,
     "performance_log": performance_log,
     "version_number": version_number,
     "nested_projection": nested_projection,

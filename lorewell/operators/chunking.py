@@ -153,8 +153,9 @@ def sliding_chunks(
     if step <= 0:
         raise ValueError("chunk_overlap must be smaller than chunk_size")
     keep = [c for c in docs.columns if c != text_col]
-    words = docs.select(*keep, tokens(text_col).alias("_words")).filter(F.size("_words") > 0)
-    starts = F.sequence(F.lit(0), F.size("_words") - 1, F.lit(step))
+    words = docs.select(*keep, tokens(text_col).alias("_words"))
+    # No filter on the word count: it would be pushed down and count twice.
+    starts = F.when(F.size("_words") > 0, F.sequence(F.lit(0), F.size("_words") - 1, F.lit(step)))
     windows = F.transform(starts, lambda s: F.slice(F.col("_words"), s + 1, F.lit(size)))
     long_enough = F.filter(
         F.transform(windows, lambda w: F.struct(F.size(w).alias("n"), F.array_join(w, " ").alias("t"))),

@@ -24,7 +24,7 @@ def hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> list:
     """
     row = df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.expr(f"approx_top_k({key}, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
+        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
     ).first()
     floor = max(2, row["n"] * min_share)
     return [t["item"] for t in row["top"] or [] if t["item"] is not None and t["count"] >= floor]

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import SAMPLE_REQUESTS, TOP_EXAMPLES
 from ..functions.text import version_number
 from ..operators import aggregates, reshape
-from ..operators.dedup import dedup_assessments
 from ..operators.joins import assessments_with_requests
 from ..operators.ranking import top_joined, top_per_group
 from ..operators.versions import ALL_VERSIONS, distinct_versions, select_versions
@@ -203,17 +202,16 @@ def review_queue(
 ) -> DataFrame:
     """Requests picked for review, with their latest verdicts, worst first.
 
-    Ratings come from the hourly deduplicated log. `per_version` limits the
-    queue of each version.
+    The verdict is the score with the newest time stamp, so the log may be raw
+    or deduplicated. `per_version` limits the queue of each version.
     """
     metrics = ("harmful", "relevant_to_question_and_context", "faithful_to_context")
-    latest = dedup_assessments(assessments)
     columns = []
     for m in metrics:
         score = F.col(f"text_assessment.ratings.{m}.double_value")
         when = F.when(score.isNotNull(), F.struct(F.col("ts"), F.col("step_id"), score))
         columns.append(F.max_by(score, when).alias(m))
-    scores = latest.groupBy("request_id").agg(*columns)
+    scores = assessments.groupBy("request_id").agg(*columns)
     logged = requests.select(
         F.col("request.request_id").alias("request_id"),
         F.col("trace.app_version_id").alias("app_version_id"),

@@ -146,10 +146,14 @@ class VersionedPartitions:
         return self.spark.read.schema(self.schema).parquet(*paths)
 
     def replace(self, df: DataFrame, mark: int) -> None:
-        """Make `df` the contents of every partition it has rows for."""
+        """Make `df` the contents of every partition it has rows for.
+
+        Rebalancing gathers a partition's rows into few files and still splits
+        a partition that holds most of them.
+        """
         version = (self._pointers().agg(F.max("version")).first()[0] or 0) + 1
         path = f"{self.data}/version={version}"
-        df.write.mode("overwrite").partitionBy(self.column).parquet(path)
+        df.hint("rebalance", self.column).write.mode("overwrite").partitionBy(self.column).parquet(path)
         kind = T.StructType([*self.schema.fields, T.StructField(self.column, T.StringType())])
         written = self.spark.read.schema(kind).parquet(path).select(F.col(self.column).alias("part"))
         row = written.distinct().select(

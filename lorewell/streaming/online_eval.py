@@ -12,17 +12,27 @@ from ..operators.dedup import dedup_assessments
 from ..plans.evaluation import run_eval
 from ..schemas import ASSESSMENT_LOG, REQUEST_LOG
 from ..sources.tables import VersionedPartitions, spread_small
-from .payloads import unpack_payloads
+from .payloads import parse_payloads, split_parsed, unpack_payloads
 
 
-def persist_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append everything new to a Parquet folder and stop; a rerun adds nothing."""
+def _trigger(every: str | None) -> dict:
+    return {"availableNow": True} if every is None else {"processingTime": every}
+
+
+def persist_stream(
+    df: DataFrame, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Append everything new to a Parquet folder and stop; a rerun adds nothing.
+
+    With `every`, such as "5 minutes", the query goes on; a run that takes
+    longer than that delays the next one, so runs never overlap.
+    """
     return (
         df.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**_trigger(every))
         .start()
     )
 
@@ -36,7 +46,7 @@ def online_streams(payloads: DataFrame, **evaluation) -> tuple[DataFrame, DataFr
 
 def persist_online(
     payloads: DataFrame, request_path: str, assessment_path: str, reject_path: str, checkpoint: str,
-    run_eval_with: dict | None = None,
+    run_eval_with: dict | None = None, every: str | None = None,
 ) -> StreamingQuery:
     """One query that reads the payloads once and writes all three logs.
 
@@ -46,21 +56,21 @@ def persist_online(
     evaluation = run_eval_with or {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = spread_small(batch).persist()
+        parsed = parse_payloads(spread_small(batch)).persist()
         try:
-            requests, logged, rejects = unpack_payloads(batch)
+            requests, logged, rejects = split_parsed(parsed)
             assessments = logged.unionByName(run_eval(requests, **evaluation))
             for df, path in (
                 (requests, request_path), (assessments, assessment_path), (rejects, reject_path)
             ):
                 df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         finally:
-            batch.unpersist()
+            parsed.unpersist()
 
     return (
         payloads.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**_trigger(every))
         .start()
     )
 

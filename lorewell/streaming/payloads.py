@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 from ..plans.evaluation import retrieval_assessment
 from ..schemas import MESSAGES, PAYLOAD, RATING, TEXT_METRICS
 
-# Fixed values of the payload column `kind`.
+# Fixed values of the payload column `kind` and of the outcome.
 REQUEST = "request"
 ASSESSMENT = "assessment"
+REJECT = "reject"
 
 CORRUPT = "_corrupt"
 REQUEST_BODY = T.StructType(
@@ -47,43 +48,41 @@ def payload_stream(
     return reader.parquet(path)
 
 
-def unpack_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """`(request log, assessment log, rejects)`; works on batches and streams.
+def parse_payloads(payloads: DataFrame) -> DataFrame:
+    """Payload rows with their `outcome` and parsed bodies `req`, `res`, `ass`.
 
-    Rejects are payloads whose JSON cannot be read, whose kind is unknown, or
-    that carry no request id. Every payload lands in exactly one of the three.
-    The parsed bodies go through `inline`, so each is parsed once, not once for
-    the check and once for every field.
+    The outcome is request, assessment or reject. The bodies go through
+    `inline`, so each is parsed once, not once more for every field read.
     """
-    has_id = F.col("request_id").isNotNull()
     is_request, is_assessment = F.col("kind") == REQUEST, F.col("kind") == ASSESSMENT
-    request_body = F.from_json("request", REQUEST_BODY, PARSE)
-    response_body = F.from_json("response", RESPONSE_BODY, PARSE)
-    assessment_body = F.from_json("request", ASSESSMENT_BODY, PARSE)
-
-    def readable(body: Column) -> Column:
-        return body.isNotNull() & body[CORRUPT].isNull()
-
-    calls = payloads.filter(has_id & is_request).select(
-        "request_id", "ts", "latency_ms",
-        F.inline(
-            F.filter(
-                F.array(F.struct(request_body.alias("req"), response_body.alias("res"))),
-                lambda b: readable(b["req"]) & readable(b["res"]),
-            )
-        ),
+    bodies = F.struct(
+        F.when(is_request, F.from_json("request", REQUEST_BODY, PARSE)).alias("req"),
+        F.when(is_request, F.from_json("response", RESPONSE_BODY, PARSE)).alias("res"),
+        F.when(is_assessment, F.from_json("request", ASSESSMENT_BODY, PARSE)).alias("ass"),
+    )
+    parsed = payloads.select("*", F.inline(F.array(bodies)))
+
+    def readable(body: str) -> Column:
+        return F.col(body).isNotNull() & F.col(body)[CORRUPT].isNull()
+
+    outcome = (
+        F.when(F.col("request_id").isNull(), F.lit(REJECT))
+        .when(is_request & readable("req") & readable("res"), F.lit(REQUEST))
+        .when(is_assessment & readable("ass"), F.lit(ASSESSMENT))
+        .otherwise(F.lit(REJECT))
     )
+    return parsed.withColumn("outcome", outcome)
+
+
+def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """`(request log, assessment log, rejects)` from parsed payloads."""
+    calls = parsed.filter((F.col("kind") == REQUEST) & (F.col("outcome") == REQUEST))
     requests = calls.select(
         F.struct("request_id", F.col("req.messages").alias("messages"), "ts").alias("request"),
         F.struct(F.col("req.app_version_id").alias("app_version_id"), "latency_ms").alias("trace"),
         F.col("res.output").alias("output"),
     )
-    feedback = payloads.filter(has_id & is_assessment).select(
-        "request_id", "ts",
-        F.inline(
-            F.filter(F.array(F.struct(assessment_body.alias("ass"))), lambda b: readable(b["ass"]))
-        ),
-    )
+    feedback = parsed.filter((F.col("kind") == ASSESSMENT) & (F.col("outcome") == ASSESSMENT))
     assessments = feedback.select(
         "request_id",
         F.col("ass.step_id").alias("step_id"),
@@ -92,10 +91,14 @@ def unpack_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame, DataFram
         retrieval_assessment({}).alias("retrieval_assessment"),
         "ts",
     )
-    accepted = (
-        F.when(~has_id, F.lit(False))
-        .when(is_request, readable(request_body) & readable(response_body))
-        .when(is_assessment, readable(assessment_body))
-        .otherwise(F.lit(False))
-    )
-    return requests, assessments, payloads.filter(~F.coalesce(accepted, F.lit(False)))
+    rejects = parsed.filter(F.col("outcome") == REJECT).drop("req", "res", "ass", "outcome")
+    return requests, assessments, rejects
+
+
+def unpack_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """`(request log, assessment log, rejects)`; works on batches and streams.
+
+    Rejects are payloads whose JSON cannot be read, whose kind is unknown, or
+    that carry no request id. Every payload lands in exactly one of the three.
+    """
+    return split_parsed(parse_payloads(payloads))

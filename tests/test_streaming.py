@@ -132,3 +132,36 @@ def test_payload_filter_by_name(spark, tmp_path):
     stream = payload_stream(spark, folder, glob="nothing*.parquet")
     online.run_bounded(online.persist_stream(stream, str(tmp_path / "o"), str(tmp_path / "c")))
     assert stream.isStreaming
+
+
+def test_periodic_trigger(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write(spark, batch_one(), folder)
+    query = online.persist_stream(payload_stream(spark, folder), out, str(tmp_path / "ck"), every="1 second")
+    try:
+        query.processAllAvailable()
+        write(spark, [call("late", minute=5)], folder)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.schema(PAYLOAD).parquet(out).count() == len(batch_one()) + 1
+
+
+def test_publish_touches_only_days_with_new_rows(spark, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "pub")
+
+    def add(batch, rows):
+        _, assessments, _ = unpack_payloads(spark.createDataFrame(rows, PAYLOAD))
+        assessments.write.parquet(f"{log}/batch={batch}")
+
+    day = 24 * 60
+    add(0, [feedback("a", 0.1, 0), feedback("a", 0.2, day), feedback("b", 0.3, day)])
+    assert online.publish_deduplicated(spark, log, root) == 2
+    add(1, [feedback("a", 0.4, day + 10), feedback("c", 0.5, day + 70)])
+    assert online.publish_deduplicated(spark, log, root) == 1
+    assert online.publish_deduplicated(spark, log, root) == 0
+    store = online.deduplicated_log(spark, root)
+    versions = {r["part"]: r["version"] for r in store._pointers().orderBy("version").collect()}
+    assert versions == {"2024-01-01": 1, "2024-01-02": 2}
+    assert tuples(store.read()) == tuples(dedup_assessments(online.read_log(spark, log, ASSESSMENT_LOG)))
+    assert store.read(["2024-01-01"]).count() == 1
