@@ -246,13 +246,68 @@ def _article() -> str:
     for pattern, to, flags in steps:
         out = f"regexp_replace({out}, {pattern}, {to}, 'g{flags}')"
     for reference, char in (
-        ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
-        ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
+        ("&nbsp;?", " "), ("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#39;?", "''"),
+        ("&copy;?", "©"), ("&middot;?", "·"), ("&amp;?", "&"),
     ):
-        out = f"replace({out}, '{reference}', '{char}')"
+        out = f"regexp_replace({out}, '{reference}', '{char}', 'g')"
     return f"SELECT url AS doc_uri, {out} AS article FROM pages"
 
 
+def _page_chunks(size: int, overlap: int, minimum: int) -> str:
+    """Chunks of the test pages, whose one section is the whole article.
+
+    Articles over the limit are packed line by line. A line over the limit
+    ends the run before it and is cut into word windows. Within a run, `c` adds
+    up the tokens and `back` is where a chunk that opens at a line may begin:
+    the earliest line from which the repeated lines fit the overlap and leave
+    room. `walk` follows the open chunk (lines `a` to `i`) through the run.
+    """
+    step = size - overlap
+    return rf"""WITH RECURSIVE art AS ({_article()}),
+    sized AS (SELECT doc_uri, article, {TOKENS.format('article')} AS n FROM art),
+    raw AS (SELECT doc_uri, unnest(string_split(article, chr(10))) AS line,
+                   unnest(range(0, len(string_split(article, chr(10))))) AS seq
+            FROM sized WHERE n > {size}),
+    marked AS (SELECT *, {TOKENS.format('line')} AS n FROM raw WHERE line <> ''),
+    runs AS (SELECT *, sum(CASE WHEN n >= {size} THEN 1 ELSE 0 END)
+                       OVER (PARTITION BY doc_uri ORDER BY seq) AS run FROM marked),
+    lines AS (SELECT doc_uri, run, seq, line, n,
+                     row_number() OVER (PARTITION BY doc_uri, run ORDER BY seq) AS i,
+                     CAST(sum(n) OVER (PARTITION BY doc_uri, run ORDER BY seq) AS BIGINT) AS c,
+                     count(*) OVER (PARTITION BY doc_uri, run) AS last
+              FROM runs WHERE n < {size}),
+    backs AS (SELECT x.doc_uri, x.run, x.i,
+                     coalesce(min(CASE WHEN (x.c - x.n) - (y.c - y.n) <= least({overlap}, {size} - x.n)
+                                       THEN y.i END), x.i) AS back
+              FROM lines x JOIN lines y ON x.doc_uri = y.doc_uri AND x.run = y.run AND y.i < x.i
+              GROUP BY x.doc_uri, x.run, x.i),
+    steps AS (SELECT l.*, coalesce(b.back, l.i) AS back, l.c - l.n AS before
+              FROM lines l LEFT JOIN backs b ON l.doc_uri = b.doc_uri AND l.run = b.run AND l.i = b.i),
+    walk AS (SELECT doc_uri, run, i, i AS a, before AS base, c, last, CAST(NULL AS BIGINT) AS done_a FROM steps WHERE i = 1
+             UNION ALL
+             SELECT s.doc_uri, s.run, s.i,
+                    CASE WHEN s.c - w.base > {size} THEN greatest(w.a, s.back) ELSE w.a END,
+                    CASE WHEN s.c - w.base > {size} THEN f.before ELSE w.base END,
+                    s.c, s.last, CASE WHEN s.c - w.base > {size} THEN w.a END
+             FROM walk w JOIN steps s ON s.doc_uri = w.doc_uri AND s.run = w.run AND s.i = w.i + 1
+             JOIN steps f ON f.doc_uri = s.doc_uri AND f.run = s.run AND f.i = greatest(w.a, s.back)),
+    spans AS (SELECT doc_uri, run, done_a AS a, i - 1 AS b FROM walk WHERE done_a IS NOT NULL
+              UNION ALL SELECT doc_uri, run, a, i FROM walk WHERE i = last),
+    packed AS (SELECT s.doc_uri, min(l.seq) AS first_line, s.b AS then_by, string_agg(l.line, chr(10) ORDER BY l.i) AS text
+               FROM spans s JOIN lines l ON l.doc_uri = s.doc_uri AND l.run = s.run AND l.i BETWEEN s.a AND s.b
+               GROUP BY s.doc_uri, s.run, s.a, s.b),
+    long AS (SELECT doc_uri, seq, regexp_extract_all(line, '\S+') AS w FROM runs WHERE n >= {size}),
+    cuts AS (SELECT doc_uri, seq, w, unnest(range(0, len(w), {step})) AS s FROM long),
+    chunks AS (SELECT doc_uri, 0 AS first_line, 0 AS then_by, article AS text FROM sized WHERE n <= {size}
+               UNION ALL SELECT * FROM packed
+               UNION ALL SELECT doc_uri, seq, s, array_to_string(w[s + 1 : s + {size}], ' ') FROM cuts
+                         WHERE s = 0 OR s + {overlap} < len(w)),
+    kept AS (SELECT *, {TOKENS.format('text')} AS n_tokens FROM chunks)
+    SELECT doc_uri, row_number() OVER (PARTITION BY doc_uri ORDER BY first_line, then_by) - 1 AS pos,
+           md5(text) AS text_md5, n_tokens
+    FROM kept WHERE n_tokens > {minimum}"""
+
+
 def _windows(size: int, overlap: int) -> str:
     step = size - overlap
     return f"""words AS (SELECT concat('doc/', CAST(doc_id AS VARCHAR)) AS doc_uri,
@@ -360,6 +415,7 @@ ORACLES = {
     "doc_store_round_trip": """SELECT url AS doc_uri, md5(html) AS html_md5 FROM pages
         WHERE starts_with(url, 'https://')""",
     "article_text": _article(),
+    "page_chunks": _page_chunks(500, 50, 20),
     "token_count": f"SELECT doc_id, CAST({TOKENS.format('text')} AS BIGINT) AS n_tokens FROM documents",
     "strip_text": r"""SELECT doc_id, md5(regexp_replace(regexp_replace(text,
             '^[\s\pZ\x0B\x{85}\x1c-\x1f]+', ''), '[\s\pZ\x0B\x{85}\x1c-\x1f]+$', '')) AS stripped_md5 FROM documents""",

@@ -257,7 +257,8 @@ def article_text(spark, sf_dir):
 
 
 def page_chunks(spark, sf_dir):
-    return chunking.chunk_pages(fx.pages(spark, sf_dir), fx.PAGE_CONFIG)
+    chunks = chunking.chunk_pages(fx.pages(spark, sf_dir), fx.PAGE_CONFIG)
+    return chunks.select("doc_uri", "pos", F.md5("text").alias("text_md5"), "n_tokens")
 
 
 def token_count(spark, sf_dir):

@@ -22,14 +22,14 @@ LINE_BREAK_TAG = (
 )
 ANY_TAG = r"</?[a-zA-Z!][^>]*>"
 CHARACTER_REFERENCES = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
+    ("&nbsp;?", " "),
+    ("&lt;?", "<"),
+    ("&gt;?", ">"),
+    ("&quot;?", '"'),
+    ("&#39;?", "'"),
+    ("&copy;?", "©"),
+    ("&middot;?", "·"),
+    ("&amp;?", "&"),
 )
 
 
@@ -102,10 +102,13 @@ def markup_to_text(markup: Column | str) -> Column:
 
 
 def decode_references(text: Column | str) -> Column:
-    """Decode the common character references; `&amp;` last, so once only."""
+    """Decode the common character references; `&amp;` last, so once only.
+
+    As in browsers, the closing semicolon may be missing.
+    """
     c = _col(text)
     for reference, char in CHARACTER_REFERENCES:
-        c = F.replace(c, F.lit(reference), F.lit(char))
+        c = F.regexp_replace(c, reference, char)
     return c
 
 

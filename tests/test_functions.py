@@ -80,6 +80,7 @@ def test_tag_names_are_not_prefixes(spark):
 def test_visible_text(spark):
     df = spark.createDataFrame([("<p>a  b<p>c<br>d <b>e</b>f &amp;lt; 1 < 2</p>",)], "h string")
     assert one(df, html.decode_references(html.markup_to_text("h"))) == "a b\nc\nd ef &lt; 1 < 2"
+    assert one(df, html.decode_references(F.lit("x &amp y &lt;"))) == "x & y <"
 
 
 def test_sections(spark):
