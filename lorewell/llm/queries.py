@@ -4,13 +4,61 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import simhash
+from . import decontaminate, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_matches(docs, _table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.col("matches.item_id")))
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+OP3_SQL = r"""
+WITH cut AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+item AS (
+    SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark),
+item_window AS (
+    SELECT DISTINCT item_id, k, array_to_string(list_slice(w, p, p + k - 1), ' ') AS g
+    FROM (SELECT item_id, w, least(len(w), 10) AS k,
+                 unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p
+          FROM item WHERE len(w) > 0)),
+doc_window AS (
+    SELECT doc_id, p, k, array_to_string(list_slice(w, p, p + k - 1), ' ') AS g
+    FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p
+          FROM cut, (SELECT DISTINCT k FROM item_window))),
+found AS (SELECT doc_id, p, k, item_id FROM doc_window JOIN item_window USING (k, g)),
+hit AS (
+    SELECT doc_id, count(DISTINCT pos) AS n_hit
+    FROM (SELECT doc_id, unnest(range(p, p + k)) AS pos FROM found) GROUP BY doc_id),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT cut.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+       CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM cut LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -21,7 +69,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_decontaminate": op3_decontaminate,
     "op7_simhash": op7_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op3_decontaminate": OP3_SQL,
+}
