@@ -4,13 +4,69 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, simhash
+from . import decontaminate, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "n_lost_words", F.sha2("clean_text", 256).alias("clean_sha256"),
+    )
+
+
+OP2_SQL = f"""
+WITH cut AS (
+    SELECT doc_id, text, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '{quality.WORD}') AS w
+    FROM documents),
+base AS (
+    SELECT doc_id, text, w, len(w) AS n_words,
+           coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
+           len(regexp_extract_all(t, '{quality.SYMBOLS}')) AS n_symbols,
+           list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{quality.WORD}')) AS lines
+    FROM cut),
+tri AS (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM base)),
+rep AS (
+    SELECT doc_id, count(DISTINCT pos) AS n_repeat_words
+    FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS pos FROM tri WHERE n > 1) GROUP BY doc_id),
+line AS (
+    SELECT doc_id, no, x, len(regexp_extract_all(x, '{quality.WORD}')) AS lw,
+           len(regexp_extract_all(x, '{quality.SYMBOL_RUN}')) AS runs,
+           len(regexp_extract_all(x, '{quality.SEPARATOR}')) AS seps
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x,
+                 unnest(range(len(string_split(text, chr(10))))) AS no FROM base)),
+judged AS (
+    SELECT *, lw > 0 AND (
+        seps > {quality.SEPARATOR_SHARE} * lw
+        OR NOT regexp_matches(x, '{quality.SENTENCE_END.replace("'", "''")}')
+        OR runs > {quality.SYMBOL_RUN_SHARE} * lw
+        OR (lw <= {quality.NOTICE_WORDS} AND regexp_matches(x, '{quality.STOCK_PHRASES}'))) AS bad
+    FROM line),
+cleaned AS (
+    SELECT doc_id, coalesce(sum(lw) FILTER (bad), 0) AS lost,
+           coalesce(string_agg(x, chr(10) ORDER BY no) FILTER (NOT bad), '') AS clean
+    FROM judged GROUP BY doc_id),
+verdict AS (
+    SELECT base.*, coalesce(n_repeat_words, 0) AS n_repeat, coalesce(lost, 0) AS lost, clean,
+           n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed
+    FROM base LEFT JOIN rep USING (doc_id) LEFT JOIN cleaned USING (doc_id))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND lost <= {quality.MAX_LOST} * n_words AS kept,
+       CAST(lost AS BIGINT) AS n_lost_words,
+       sha256(CASE WHEN text IS NOT NULL THEN clean END) AS clean_sha256
+FROM verdict
+"""
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_matches(docs, _table(spark, sf_dir, "benchmark"))
@@ -69,10 +125,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
     "op7_simhash": op7_simhash,
 }
 
 ORACLES = {
+    "op2_quality": OP2_SQL,
     "op3_decontaminate": OP3_SQL,
 }
