@@ -1,7 +1,7 @@
 """Line-first quality rules, with built-in expressions only.
 
-Every line with a word meets three rules: punctuation (it ends like a sentence
-and is not riddled with runs of symbols), navigation (it is not a row of
+Every line with a word meets three rules: punctuation (it ends like a
+sentence unless it is long, and is not riddled with runs of symbols), navigation (it is not a row of
 separated labels) and boilerplate (it is not a short notice made of stock
 phrases). Lines that fail are removed; a document that loses more than
 `max_lost` of its words is rejected, as is one that fails the base rules (fewer
@@ -24,6 +24,7 @@ from .scratch import column, free_name
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LOST = 0.4
+LONG_LINE = 20
 SYMBOL_RUN_SHARE = 0.3
 SEPARATOR_SHARE = 0.2
 NOTICE_WORDS = 30
@@ -88,7 +89,9 @@ def line_verdict(line: Column) -> Column:
     separators = F.regexp_count(line, F.lit(SEPARATOR))
     rule = (
         F.when(separators > SEPARATOR_SHARE * words, "navigation")
-        .when(~line.rlike(SENTENCE_END) | (runs > SYMBOL_RUN_SHARE * words), "punctuation")
+        .when(
+            ((words < LONG_LINE) & ~line.rlike(SENTENCE_END)) | (runs > SYMBOL_RUN_SHARE * words), "punctuation"
+        )
         .when((words <= NOTICE_WORDS) & line.rlike(STOCK_PHRASES), "boilerplate")
     )
     return F.struct(line.alias("line"), words.alias("words"), F.when(words > 0, rule).alias("rule"))

@@ -4,13 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, quality, simhash
+from . import decontaminate, line_dedup, mixing, quality, sharding, simhash
+from . import words as W
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+N_SHARDS = 40
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard(docs, N_SHARDS).select(
+        "doc_id",
+        sharding.record_size("text").alias("size"),
+        F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -44,7 +60,8 @@ line AS (
 judged AS (
     SELECT *, lw > 0 AND (
         seps > {quality.SEPARATOR_SHARE} * lw
-        OR NOT regexp_matches(x, '{quality.SENTENCE_END.replace("'", "''")}')
+        OR (lw < {quality.LONG_LINE}
+            AND NOT regexp_matches(x, '{quality.SENTENCE_END.replace("'", "''")}'))
         OR runs > {quality.SYMBOL_RUN_SHARE} * lw
         OR (lw <= {quality.NOTICE_WORDS} AND regexp_matches(x, '{quality.STOCK_PHRASES}'))) AS bad
     FROM line),
@@ -115,6 +132,49 @@ FROM cut LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def _sized(docs: DataFrame) -> DataFrame:
+    """Documents with the number of blank-separated words of the text."""
+    return docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(quality.WORD)), F.lit(0)).cast("long"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _sized(_table(spark, sf_dir, "documents")).select("doc_id", "source", "size")
+    mixed = mixing.mix(docs, "size")
+    return mixed.select(
+        "doc_id", "source", "size", "source_size", "target",
+        (F.col("size") * F.col("repeats")).cast("long").alias("taken"), "repeats",
+    )
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_removed_lines", F.sha2("clean_text", 256).alias("clean_sha256")
+    )
+
+
+OP10_SQL = f"""
+WITH line AS (
+    SELECT doc_id, source, text, x, no,
+           regexp_replace(x, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+\\z', '', 'g') AS trimmed
+    FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS x,
+                 unnest(range(len(string_split(text, chr(10))))) AS no FROM documents)),
+boilerplate AS (
+    SELECT trimmed FROM line WHERE trimmed <> ''
+    GROUP BY trimmed
+    HAVING count(DISTINCT source) + count(DISTINCT CASE WHEN source IS NULL THEN 1 END) >= {line_dedup.MIN_SITES}),
+judged AS (SELECT *, trimmed IN (SELECT trimmed FROM boilerplate) AS bad FROM line),
+summed AS (
+    SELECT doc_id, count(*) FILTER (trimmed <> '') AS n_lines, count(*) FILTER (bad) AS n_removed,
+           coalesce(string_agg(x, chr(10) ORDER BY no) FILTER (NOT bad), '') AS clean
+    FROM judged GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed_lines,
+       sha256(CASE WHEN text IS NOT NULL THEN clean END) AS clean_sha256
+FROM documents d LEFT JOIN summed USING (doc_id)
+"""
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -125,12 +185,16 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
     "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
     "op7_simhash": op7_simhash,
+    "op9_mixing": op9_mixing,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLES = {
     "op2_quality": OP2_SQL,
     "op3_decontaminate": OP3_SQL,
+    "op10_line_dedup": OP10_SQL,
 }
