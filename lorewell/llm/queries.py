@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, line_dedup, mixing, quality, sharding, simhash
-from . import words as W
+from . import decontaminate, line_dedup, mixing, quality, sharding, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -132,6 +131,36 @@ FROM cut LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.dedup_substrings(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
+OP5_SQL = f"""
+WITH cut AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{quality.WORD}') AS w FROM documents),
+win AS (
+    SELECT doc_id, p, hash(list_slice(w, p, p + {substring_dedup.K - 1})) AS h,
+           md5(array_to_string(list_slice(w, p, p + {substring_dedup.K - 1}), ' ')) AS g
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - {substring_dedup.K - 2})) AS p FROM cut)),
+later AS (
+    SELECT doc_id, p FROM (
+        SELECT doc_id, p, row_number() OVER (PARTITION BY h, g ORDER BY doc_id, p) AS n FROM win)
+    WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + {substring_dedup.K})) AS pos FROM later),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS pos FROM cut),
+kept AS (
+    SELECT word.doc_id, string_agg(x, ' ' ORDER BY word.pos) AS words, count(*) AS n
+    FROM word ANTI JOIN gone ON word.doc_id = gone.doc_id AND word.pos = gone.pos
+    GROUP BY word.doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(words, '')) AS kept_sha256
+FROM cut LEFT JOIN kept USING (doc_id)
+"""
+
+
 def _sized(docs: DataFrame) -> DataFrame:
     """Documents with the number of blank-separated words of the text."""
     return docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(quality.WORD)), F.lit(0)).cast("long"))
@@ -188,6 +217,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_simhash": op7_simhash,
     "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
@@ -196,5 +226,6 @@ QUERIES = {
 ORACLES = {
     "op2_quality": OP2_SQL,
     "op3_decontaminate": OP3_SQL,
+    "op5_substring_dedup": OP5_SQL,
     "op10_line_dedup": OP10_SQL,
 }
