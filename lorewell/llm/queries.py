@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, line_dedup, mixing, quality, sharding, simhash, substring_dedup
+from ..sources.scratch import scratch_path
+from . import decontaminate, line_dedup, mixing, quality, sharding, simhash, substring_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -161,6 +162,27 @@ FROM cut LEFT JOIN kept USING (doc_id)
 """
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    records = warc.resolve_revisits(warc.read_archives(spark, path, with_payload=False))
+    return records.select(
+        F.col("page_id").cast("long"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long")
+    )
+
+
+OP6_SQL = f"""
+WITH page AS (
+    SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+digest AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS h FROM page),
+first AS (SELECT h, min(page_id) AS first_id FROM digest WHERE n >= {warc.REVISIT_BYTES} GROUP BY h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest,
+       CASE WHEN first_id < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id < page_id THEN first_id END AS refers_to
+FROM digest LEFT JOIN first USING (h)
+"""
+
+
 def _sized(docs: DataFrame) -> DataFrame:
     """Documents with the number of blank-separated words of the text."""
     return docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(quality.WORD)), F.lit(0)).cast("long"))
@@ -218,6 +240,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_warc": op6_warc,
     "op7_simhash": op7_simhash,
     "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
@@ -227,5 +250,6 @@ ORACLES = {
     "op2_quality": OP2_SQL,
     "op3_decontaminate": OP3_SQL,
     "op5_substring_dedup": OP5_SQL,
+    "op6_warc": OP6_SQL,
     "op10_line_dedup": OP10_SQL,
 }
