@@ -71,7 +71,8 @@ def dedup_lines(
         names[name] = free_name(name, taken)
         taken.append(names[name])
     removed = removed.select(F.col("t").alias(names["text_key"]), F.col("gone").alias(names["gone"]))
-    joined = docs.join(removed, F.xxhash64(text) == column(names["text_key"]), "left")
+    # Always a sort-merge join: the removed positions grow with the documents.
+    joined = docs.join(removed.hint("merge"), F.xxhash64(text) == column(names["text_key"]), "left")
     gone = column(names["gone"])
     lines = F.split(text, "\n")
     kept = let(
