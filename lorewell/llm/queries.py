@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.scratch import scratch_path
-from . import decontaminate, line_dedup, mixing, quality, sharding, simhash, substring_dedup, warc
+from . import decontaminate, layout, line_dedup, mixing, packing, quality, sharding, simhash, substring_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -132,6 +132,10 @@ FROM cut LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op4_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.extract_text(_table(spark, sf_dir, "pages")).select("page_id", "url", "text")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.dedup_substrings(docs).select(
@@ -183,6 +187,13 @@ FROM digest LEFT JOIN first USING (h)
 """
 
 
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY)
+
+
 def _sized(docs: DataFrame) -> DataFrame:
     """Documents with the number of blank-separated words of the text."""
     return docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(quality.WORD)), F.lit(0)).cast("long"))
@@ -239,9 +250,11 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
+    "op4_layout": op4_layout,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_warc": op6_warc,
     "op7_simhash": op7_simhash,
+    "op8_packing": op8_packing,
     "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
 }
