@@ -5,7 +5,9 @@ share. The graph is never held edge by edge: consecutive edges of a document
 that share a minimizer (the least hash of their M-word grams) form one path
 piece, and equal edges always carry equal minimizers. So:
 
-1. Each task cuts its texts into path pieces. Edges that also start earlier in
+1. M-grams that make up more than HOT_SHARE of all positions are counted first;
+   they rank behind all others as minimizers, so a frequent phrase does not draw
+   the edges around it into one group. Each task cuts its texts into path pieces. Edges that also start earlier in
    the same block of documents are removed at once and not sent, a map-side
    combine that keeps frequent passages and copies out of the shuffle.
 2. Pieces meet by minimizer, sorted by document and position. An edge met before
@@ -15,6 +17,9 @@ piece, and equal edges always carry equal minimizers. So:
    GROUP_EDGES; edges beyond go on as rows to an aggregation and a join.
 3. Runs that continue each other along document and source (no branch between)
    are joined into long spans, per document.
+4. Spans are joined to their source text by its coordinates. A 128-bit digest of
+   the source's very words goes with the span to its document; only spans whose
+   own words have the same digest are removed.
 
 Windows are judged on the input. An earlier occurrence has a smaller id, or the
 same id and an earlier start. Null ids come after all others. Rows with equal id
@@ -30,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import words as W
@@ -39,6 +45,8 @@ K = 20
 M = 5
 BLOCK_BYTES = 8 << 20
 GROUP_EDGES = 4_000_000
+# At most 2 / HOT_SHARE grams can be hot, which bounds the list sent to tasks.
+HOT_SHARE = 2e-5
 # Bytes kept of an edge's hash; edges only meet those of the same 64-bit minimizer.
 EDGE_BYTES = 6
 RESULT = "struct<text: string, n_words: bigint, n_removed: bigint>"
@@ -76,7 +84,51 @@ def _binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     )
 
 
-def _pieces_of_block(ids: pa.Array, keys: np.ndarray, texts: pa.Array, k: int, m: int) -> Iterator[pa.RecordBatch]:
+def hot_grams(keyed: DataFrame, m: int, share: float) -> np.ndarray:
+    """Sorted hashes of the m-grams that hold more than `share` of all m-gram positions.
+
+    A block reports the grams above half the share of its own positions, so few
+    rows leave a task; one that is hot over all blocks is so in at least one, and
+    what blocks below half the share hold of it is less than half of its count.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, block in W.blocks(batch.column(0), BLOCK_BYTES):
+                words = W.cut(block)
+                at = W.spans(words.bounds[:-1], np.maximum(words.counts - m + 1, 0))
+                if not len(at):
+                    continue
+                grams, n = np.unique(W.gram_hashes(W.word_hashes(words), m)[at], return_counts=True)
+                often = n > max(1.0, share / 2 * len(at))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.append(grams[often].view(np.int64), 0)),
+                        pa.array(np.append(n[often], 0)),
+                        pa.array(np.append(np.zeros(often.sum(), np.int64), len(at))),
+                    ],
+                    names=["gram", "n", "positions"],
+                )
+
+    counted = keyed.select("text").mapInArrow(count, "gram long, n long, positions long")
+    sums = freeze(counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("positions").alias("positions")), "grams")
+    total = sums.agg(F.sum("positions")).first()[0] or 0
+    hot = sums.filter(F.col("n") > share / 2 * total).filter("n > 1").select("gram").collect()
+    return np.sort(np.array([r["gram"] for r in hot], np.int64).view(np.uint64))
+
+
+def _minimizers(grams: np.ndarray, width: int, hot: np.ndarray) -> np.ndarray:
+    """The least gram of every window of `width` grams; hot ones come last."""
+    order = grams >> np.uint64(1)
+    if len(hot):
+        spot = np.minimum(np.searchsorted(hot, grams), len(hot) - 1)
+        order |= (hot[spot] == grams).astype(np.uint64) << np.uint64(63)
+    return _sliding_min(order, width)
+
+
+def _pieces_of_block(
+    ids: pa.Array, keys: np.ndarray, texts: pa.Array, k: int, m: int, hot: np.ndarray
+) -> Iterator[pa.RecordBatch]:
     """Path pieces of documents sorted by (id, key), and spans already known as repeated.
 
     Spans have no edges; they carry their length and source and a minimizer
@@ -94,7 +146,7 @@ def _pieces_of_block(ids: pa.Array, keys: np.ndarray, texts: pa.Array, k: int, m
     if not counts.sum():
         return
     edge_hashes = W.gram_hashes(hashes, k)
-    minimizers = _sliding_min(W.gram_hashes(hashes, m), k - m + 1)
+    minimizers = _minimizers(W.gram_hashes(hashes, m), k - m + 1, hot)
     at = W.spans(words.bounds[:-1], counts)
     doc = np.repeat(np.arange(len(counts)), counts)
     edges, anchors = edge_hashes[at], minimizers[at]
@@ -143,15 +195,16 @@ def _pieces_of_block(ids: pa.Array, keys: np.ndarray, texts: pa.Array, k: int, m
 PIECE_NAMES = ["anchor", "id", "key", "start", "length", "edges", "src_id", "src_key", "src_start"]
 
 
-def _cutter(k: int, m: int):
+def _cutter(k: int, m: int, sent):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = sent.value
         for batch in batches:
             by = pc.sort_indices(pa.Table.from_batches([batch]), sort_keys=[("id", "ascending"), ("key", "ascending")])
             batch = batch.take(by)
             ids, keys, texts = batch.column(0), batch.column(1).to_numpy(), batch.column(2)
             for first, block in W.blocks(texts, BLOCK_BYTES):
                 n = len(block)
-                yield from _pieces_of_block(ids.slice(first, n), keys[first : first + n], block, k, m)
+                yield from _pieces_of_block(ids.slice(first, n), keys[first : first + n], block, k, m, hot)
 
     return cut
 
@@ -334,8 +387,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     consecutive repeated windows, with the place where their words occur first."""
     keyed = _keyed(docs, id_col, text_col)
     kind = keyed.schema["id"].dataType.simpleString()
+    sent = docs.sparkSession.sparkContext.broadcast(hot_grams(keyed, m, HOT_SHARE))
     pieces = keyed.mapInArrow(
-        _cutter(k, m),
+        _cutter(k, m, sent),
         f"anchor long, id {kind}, key int, start int, length int, edges binary, src_id {kind}, src_key int, src_start int",
     )
     dealt = pieces.repartition(partitions_for(docs), "anchor").sortWithinPartitions(
@@ -352,6 +406,70 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return _compact(runs)
 
 
+def _places(spans: pa.Array, words: W.Words, first: str, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, number of words and document of the spans listed for each document."""
+    size = pc.fill_null(pc.list_value_length(spans), 0).to_numpy().astype(np.int64)
+    flat = spans.flatten()
+    begin = flat.field(first).to_numpy().astype(np.int64) + np.repeat(words.bounds[:-1], size)
+    length = flat.field("length").to_numpy().astype(np.int64) + k - 1
+    return begin, length, size
+
+
+def _digests(words: W.Words, begin: np.ndarray, length: np.ndarray) -> list[bytes]:
+    """128-bit digests of the words of spans, joined by one space."""
+    joined = W.joined_by_space(words)
+    view = memoryview(joined.data)
+    at, to = joined.start[begin].tolist(), joined.end[begin + length - 1].tolist()
+    return [xxhash.xxh3_128_digest(view[s:e]) for s, e in zip(at, to)]
+
+
+def _source_digests(k: int):
+    @F.arrow_udf("array<binary>")
+    def digest(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        out, sizes = [], [np.zeros(1, np.int64)]
+        for first, block in W.blocks(texts):
+            words = W.cut(block)
+            begin, length, size = _places(spans.slice(first, len(block)), words, "src_start", k)
+            out += _digests(words, begin, length)
+            sizes.append(size)
+        offsets = np.cumsum(np.concatenate(sizes)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out, pa.binary()))
+
+    return digest
+
+
+def _with_digests(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """(id, key, start, length, digest): spans with the digest of their source's words.
+
+    Places of a source are made distinct before they are gathered, so a passage
+    that many documents repeat is one entry; the join back reads stored tables,
+    in which adaptive execution can split such a passage.
+    """
+    spans = freeze(spans, "spans")
+    place = ["src_id", "src_key", "src_start", "length"]
+    by_source = spans.select(place).distinct().groupBy("src_id", "src_key").agg(
+        F.collect_list(F.struct("src_start", "length")).alias("places")
+    )
+    sources = _keyed(docs, id_col, text_col).filter("text is not null")
+    met = by_source.join(sources, F.col("src_id").eqNullSafe(F.col("id")) & (F.col("src_key") == F.col("key")))
+    digested = met.select(
+        "src_id", "src_key",
+        F.explode(F.arrays_zip("places", _source_digests(k)("text", "places").alias("digest"))).alias("s"),
+    )
+    known = freeze(
+        digested.select(
+            F.col("src_id").alias("of_id"), F.col("src_key").alias("of_key"),
+            F.col("s.places.src_start").alias("of_start"), F.col("s.places.length").alias("of_length"), "s.digest",
+        ),
+        "digests",
+    )
+    same = (
+        F.col("src_id").eqNullSafe(F.col("of_id")) & (F.col("src_key") == F.col("of_key"))
+        & (F.col("src_start") == F.col("of_start")) & (F.col("length") == F.col("of_length"))
+    )
+    return spans.join(known, same).select("id", "key", "start", "length", "digest")
+
+
 def _remover(k: int):
     @F.arrow_udf(RESULT)
     def remove(texts: pa.Array, spans: pa.Array) -> pa.Array:
@@ -359,11 +477,10 @@ def _remover(k: int):
         for first, block in W.blocks(texts):
             words = W.cut(block)
             mine = spans.slice(first, len(block))
-            flat = mine.flatten()
-            size = pc.fill_null(pc.list_value_length(mine), 0).to_numpy().astype(np.int64)
-            begin = flat.field("start").to_numpy().astype(np.int64) + np.repeat(words.bounds[:-1], size)
-            length = flat.field("length").to_numpy().astype(np.int64) + k - 1
-            gone = W.covered(begin, length, len(words.start))
+            begin, length, _ = _places(mine, words, "start", k)
+            same = pc.equal(mine.flatten().field("digest"), pa.array(_digests(words, begin, length), pa.binary()))
+            same = same.to_numpy(zero_copy_only=False).astype(bool)
+            gone = W.covered(begin[same], length[same], len(words.start))
             bounds = np.append(0, np.cumsum(~gone))[words.bounds]
             rest = W.joined_by_space(W.Words(words.data, words.start[~gone], words.end[~gone], bounds))
             some = np.diff(bounds) > 0
@@ -390,12 +507,12 @@ def _remover(k: int):
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, m: int = M) -> DataFrame:
     """`docs` with `kept_text` (the words that stay, joined by one space; null for
     null), `n_words` and `n_removed`."""
-    spans = repeated_spans(docs, id_col, text_col, k, m)
+    spans = _with_digests(docs, repeated_spans(docs, id_col, text_col, k, m), id_col, text_col, k)
     names, taken = {}, list(docs.columns)
     for name in ("kept_text", "n_words", "n_removed", "span_id", "span_key", "spans", "result", "text_key"):
         names[name] = free_name(name, taken)
         taken.append(names[name])
-    by_doc = spans.groupBy("id", "key").agg(F.collect_list(F.struct("start", "length")).alias(names["spans"])).select(
+    by_doc = spans.groupBy("id", "key").agg(F.collect_set(F.struct("start", "length", "digest")).alias(names["spans"])).select(
         F.col("id").alias(names["span_id"]), F.col("key").alias(names["span_key"]), names["spans"]
     )
     joined = docs.withColumn(names["text_key"], F.hash(column(text_col))).join(
