@@ -215,6 +215,7 @@ class _Seen:
     def __init__(self, anchor: int, kind: pa.DataType):
         self.anchor = anchor
         self.edges = np.zeros(0, np.uint64)
+        self.full = False  # some edges went on as rows
         self.ids, self.keys, self.starts = pa.array([], kind), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def add(self, edges, ids, keys, starts) -> None:
@@ -328,24 +329,33 @@ def _resolve_batch(batch: pa.RecordBatch, seen: _Seen | None, group_edges: int):
             ids.take(pa.array(r)), pa.array(keys[r]), pa.array(place[index[lead]].astype(np.int32)), pa.array(size.astype(np.int32)),
             src_ids, pa.array(s_key[lead]), pa.array(s_place[lead].astype(np.int32)),
         ))
+
+    def beyond(rest: np.ndarray, anchor: int) -> pa.RecordBatch:
+        """Rows of edges unknown to `seen`. Later copies within this batch are
+        resolved already; these rows are compared with the others of their kind."""
+        r, n = row[rest], len(rest)
+        return _spans_batch(
+            ids.take(pa.array(r)), pa.array(keys[r]), pa.array(place[rest].astype(np.int32)), pa.array(np.ones(n, np.int32)),
+            pa.nulls(n, ids.type), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()),
+            pa.array(np.full(n, anchor)), pa.array(edges[rest].view(np.int64)),
+        )
+
     last = anchors[-1]
+    if seen is not None and seen.full and seen.anchor == anchors[0] and seen.anchor != last:
+        rest = np.flatnonzero(fresh & (group[row] == 0))
+        if len(rest):
+            out.append(beyond(rest, anchors[0]))
     if seen is None or seen.anchor != last:
         seen = _Seen(last, ids.type)
     mine = np.flatnonzero(fresh & (group[row] == group[-1]))
     room = max(0, group_edges - len(seen.edges))
     kept, rest = mine[:room], mine[room:]
-    r = row[kept]
-    seen.add(edges[kept], ids.take(pa.array(r)), keys[r], place[kept].astype(np.int32))
+    if len(kept):
+        r = row[kept]
+        seen.add(edges[kept], ids.take(pa.array(r)), keys[r], place[kept].astype(np.int32))
     if len(rest):
-        # Every later copy within this batch was resolved above; what is left is
-        # unknown to `seen` and is compared with the other rows of this kind.
-        r = row[rest]
-        n = len(rest)
-        out.append(_spans_batch(
-            ids.take(pa.array(r)), pa.array(keys[r]), pa.array(place[rest].astype(np.int32)), pa.array(np.ones(n, np.int32)),
-            pa.nulls(n, ids.type), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()),
-            pa.array(np.full(n, last)), pa.array(edges[rest].view(np.int64)),
-        ))
+        seen.full = True
+        out.append(beyond(rest, last))
     return seen, out
 
 
