@@ -381,7 +381,8 @@ def _compact(runs: DataFrame) -> DataFrame:
         & F.lag("src_key").over(by_place).eqNullSafe(F.col("src_key"))
         & F.lag(F.col("src_start") + F.col("length")).over(by_place).eqNullSafe(F.col("src_start"))
     )
-    numbered = runs.withColumn("new", (~goes_on).cast("int")).withColumn("path", F.sum("new").over(by_place))
+    so_far = by_place.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = runs.withColumn("new", (~goes_on).cast("int")).withColumn("path", F.sum("new").over(so_far))
     return numbered.groupBy("id", "key", "path").agg(
         F.min("start").alias("start"), F.sum("length").cast("int").alias("length"),
         F.first("src_id").alias("src_id"), F.first("src_key").alias("src_key"), F.min("src_start").alias("src_start"),
