@@ -1,7 +1,9 @@
 """Tolerant HTML handling with built-in expressions.
 
 The page is cut with regular expressions that never nest a repeat inside a
-repeat, so matching stays linear and cannot overflow the regex stack.
+repeat. An opener always matches: without its closer it runs to the end of the
+page, as in browsers, so no text is scanned again from the next opener and the
+time grows with the page even for hostile ones.
 """
 
 from __future__ import annotations
@@ -14,13 +16,13 @@ from .text import _col, let
 
 # Fixed patterns for markup that carries no text, for tags that end a line, and
 # for the character references decoded on the JVM side.
-COMMENT = r"(?s)<!--.*?-->"
-SCRIPT = r"(?is)<script\b.*?</script\s*>"
-STYLE = r"(?is)<style\b.*?</style\s*>"
+HIDDEN_MARKUP = (
+    r"(?is)<!--(?:-?>|.*?(?:-->|\z))|<script\b.*?(?:</script\s*+>|\z)|<style\b.*?(?:</style\s*+>|\z)"
+)
 LINE_BREAK_TAG = (
-    r"(?i)</?(?:p|br|div|li|ul|ol|tr|table|pre|section|article|blockquote|hr|h[1-6])\b[^>]*>"
+    r"(?i)</?(?:p|br|div|li|ul|ol|tr|table|pre|section|article|blockquote|hr|h[1-6])\b[^>]*+(?:>|\z)"
 )
-ANY_TAG = r"</?[a-zA-Z!][^>]*>"
+ANY_TAG = r"</?[a-zA-Z!][^>]*+(?:>|\z)"
 CHARACTER_REFERENCES = (
     ("&nbsp;?", " "),
     ("&lt;?", "<"),
@@ -34,22 +36,20 @@ CHARACTER_REFERENCES = (
 
 
 def without_hidden_markup(html: Column | str) -> Column:
-    """Drop comments, scripts and styles."""
-    c = _col(html)
-    for pattern in (COMMENT, SCRIPT, STYLE):
-        c = F.regexp_replace(c, pattern, "")
-    return c
+    """Drop comments, scripts and styles, whichever opens first."""
+    return F.regexp_replace(_col(html), HIDDEN_MARKUP, "")
 
 
 def open_tag_pattern(tag: str, attribute: str | None, value: str | None) -> str:
+    """The opening tag; a tag broken off by the next one is none."""
     name = re.escape(tag)
     if attribute is None:
-        return rf"(?is)<{name}(?:\s[^>]*)?>"
+        return rf"(?is)<{name}(?:\s[^<>]*+)?>"
     key = re.escape(attribute)
     if value is None:
-        return rf"(?is)<{name}\s(?:[^>]*\s)?{key}\b[^>]*>"
+        return rf"(?is)<{name}\s(?:[^<>]*\s)?{key}\b[^<>]*+>"
     wanted = re.escape(value)
-    return rf"(?is)<{name}\s(?:[^>]*\s)?{key}\s*=\s*[\"']?{wanted}(?=[\"'\s>])[^>]*>"
+    return rf"(?is)<{name}\s(?:[^<>]*\s)?{key}\s*=\s*[\"']?{wanted}(?=[\"'\s>])[^<>]*+>"
 
 
 def container_body(
@@ -126,7 +126,7 @@ def sections(body: Column | str, header: str) -> Column:
     """
     name = re.escape(header)
     parts = F.split(_col(body), rf"(?i)(?=<{name}[\s>])")
-    whole_header = rf"(?is)^<{name}(?:\s[^>]*)?>(.*?)</{name}\s*>"
+    whole_header = rf"(?is)\A<{name}(?:\s[^<>]*+)?>(.*?)</{name}\s*+>"
 
     def describe(part: Column) -> Column:
         title = F.regexp_replace(markup_to_text(F.regexp_extract(part, whole_header, 1)), r"\s+", " ")

@@ -89,3 +89,32 @@ def test_sections(spark):
     assert found[0] == [("", "intro"), ("One x", "a"), ("Two", "b")]
     assert found[1] == [("", "only text")]
     assert found[2] == [("bare", "")]
+
+
+HOSTILE_OPENERS = ["<!--", "<script>", "<style>", "<h2>", "<h2 ", "<article>", "<article ", "<p ", "<b ", "</h2", "<h2></h2 ", "<!"]
+
+
+def test_html_time_grows_with_the_page(spark):
+    """Pages of openers that are never closed take time in proportion to their size."""
+    import time
+
+    def took(opener, size):
+        page = "<article>" + opener * (size // len(opener))
+        df = spark.createDataFrame([(page,)], "h string").select(
+            html.article_text("h", "article").alias("a"),
+            html.sections(html.container_body("h", "article"), "h2").alias("s"),
+        )
+        start = time.perf_counter()
+        df.write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    for opener in HOSTILE_OPENERS:
+        took(opener, 1000)
+        small, large = took(opener, 500_000), took(opener, 1_000_000)
+        assert large < 3 * small + 1 and large < 15, (opener, small, large)
+
+
+def test_first_opener_decides_what_is_hidden(spark):
+    page = "a<script>'<!--'</script>b<!-- <script> -->c<!-->d<!--->e<style>x</style >f<!-- open <p>g"
+    df = spark.createDataFrame([(page,)], "h string")
+    assert one(df, html.without_hidden_markup("h")) == "abcdef"
