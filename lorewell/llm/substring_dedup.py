@@ -164,7 +164,7 @@ def _pieces_of_block(
         if repeated:
             source = first[lead]
             s = doc[source]
-            anchor = W.mix(edges[lead] + np.uint64(1))
+            anchor = W.mix((keys[d].astype(np.uint64) << np.uint64(32)) + lead.astype(np.uint64))
             columns = [pa.nulls(n, pa.binary()), ids.take(pa.array(s)), pa.array(keys[s]), pa.array(start[source].astype(np.int32))]
         else:
             raw = edges[index].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :EDGE_BYTES]
