@@ -412,8 +412,7 @@ ORACLES = {
     "page_fetch_join": "SELECT url AS doc_uri, md5(html) AS html_md5 FROM pages WHERE contains(html, '</html>')",
     "uri_relative_path": """SELECT url AS doc_uri, CASE WHEN starts_with(url, 'https://') THEN substr(url, 9)
             ELSE url END AS rel_path FROM pages""",
-    "doc_store_round_trip": """SELECT url AS doc_uri, md5(html) AS html_md5 FROM pages
-        WHERE starts_with(url, 'https://')""",
+    "doc_store_round_trip": "SELECT url AS doc_uri, md5(html) AS html_md5 FROM pages",
     "article_text": _article(),
     "page_chunks": _page_chunks(500, 50, 20),
     "token_count": f"SELECT doc_id, CAST({TOKENS.format('text')} AS BIGINT) AS n_tokens FROM documents",

@@ -12,7 +12,6 @@ EMBED_BATCH = 150
 RETRIEVE_K = 5
 SAMPLE_REQUESTS = 10
 TOP_EXAMPLES = 5
-MAX_ANSWER_TOKENS = 200
 QUERY_INSTRUCTION = "Represent this sentence for searching relevant passages:"
 ARTICLE_CONTAINER = ("div", "itemprop", "articleBody")
 SECTION_HEADER = "h2"

@@ -58,7 +58,7 @@ def relative_path(uri: Column | str, prefix: str) -> Column:
     c = _col(uri)
     if not prefix:
         return c
-    return F.when(c.startswith(prefix), F.substring(c, len(prefix) + 1, 1 << 30)).otherwise(c)
+    return F.when(c.startswith(prefix), F.substr(c, F.lit(len(prefix) + 1))).otherwise(c)
 
 
 def with_instruction(text: Column | str, instruction: str | None) -> Column:

@@ -6,6 +6,7 @@ import html
 import re
 from collections import deque
 from collections.abc import Callable, Iterable
+from itertools import accumulate, groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -78,17 +79,24 @@ def split_text(text: str, size: int, overlap: int, count=count_words, separators
 
 
 def merge_sections(sections: Iterable[tuple[str, str]], size: int, count=count_words) -> list[str]:
-    """Join consecutive sections while together they fit half a chunk."""
-    merged, open_text = [], ""
-    for header, text in sections:
-        section = f"{header}\n{text}"
-        if count(open_text + section) <= size / 2:
-            open_text += section + "\n"
-        else:
-            merged.append(open_text)
-            open_text = section + "\n"
-    merged.append(open_text)
-    return [m.strip() for m in merged if m.strip()]
+    """Neighbouring sections as one block while they fit half a chunk.
+
+    Every section is counted once. Running totals that start anew where the
+    limit is passed give each section its block number; blocks are joined at the
+    end, so the text is never counted or copied as it grows.
+    """
+    blocks = [f"{header}\n{text}" for header, text in sections]
+    glue = count("\n")
+
+    def place(state: tuple[int, int], n: int) -> tuple[int, int]:
+        number, filled = state
+        fits = filled + n <= size / 2
+        return (number, filled + n + glue) if fits else (number + 1, n + glue)
+
+    numbers = list(accumulate(map(count, blocks), place, initial=(0, 0)))[1:]
+    together = groupby(zip(numbers, blocks), key=lambda pair: pair[0][0])
+    joined = ("\n".join(block for _, block in members).strip() for _, members in together)
+    return [text for text in joined if text]
 
 
 def chunk_page(headers, texts, size: int, overlap: int, minimum: int, count=count_words) -> list[str]:

@@ -7,32 +7,18 @@ from pyspark.sql import DataFrame, functions as F
 from .joins import salted_join
 from .ranking import top_per_group
 
-# A conversation becomes one value, so it has to fit one row with room to spare.
-MAX_CONVERSATION_BYTES = 256 << 20
-
 
 def assemble_messages(
     rows: DataFrame, conversation: str = "conv_id", turn: str = "turn",
-    role: str = "role", text: str = "text", max_bytes: int | None = MAX_CONVERSATION_BYTES,
+    role: str = "role", text: str = "text",
 ) -> DataFrame:
     """One `messages` array per conversation, in turn order.
 
-    Sizes are added up first, with map-side combining; a conversation that
-    cannot be one value stops the job by name instead of exhausting a task.
-    `max_bytes=None` saves that pass where sizes are known to be small.
+    The array is one value of one row, as every consumer of `messages` needs
+    it. `questions`, `history_rows` and `retrieval_queries` give the parts of
+    conversations of any length without gathering them.
     """
-    if max_bytes is None:
-        return _gather(rows.withColumn("_turn", F.col(turn)), conversation, role, text)
-    sizes = rows.groupBy(conversation).agg(F.sum(F.octet_length(text)).alias("_bytes"))
-    message = F.concat(F.lit("conversation too large for one row: "), F.col(conversation).cast("string"))
-    checked = rows.join(sizes, conversation).withColumn(
-        "_turn", F.when(F.col("_bytes") > max_bytes, F.raise_error(message)).otherwise(F.col(turn))
-    )
-    return _gather(checked, conversation, role, text)
-
-
-def _gather(rows: DataFrame, conversation: str, role: str, text: str) -> DataFrame:
-    entry = F.struct(F.col("_turn").alias("turn"), F.col(role).alias("role"), F.col(text).alias("content"))
+    entry = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("content"))
     gathered = rows.groupBy(conversation).agg(F.array_sort(F.collect_list(entry)).alias("_m"))
     plain = F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
     return gathered.select(conversation, plain.alias("messages"))

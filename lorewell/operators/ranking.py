@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..sources.scratch import freeze
+from .joins import BROADCAST_BYTES, measured_bytes
+
 
 def top_per_group(
     df: DataFrame,
@@ -41,13 +44,16 @@ def top_joined(
     key and ranked against the distinct (key, group) pairs, all narrow. A
     repeated pair can only push rows out, so these winners hold every left row
     of the result; only they look up the wide right rows. With at most
-    `n_groups` groups there are `k * n_groups` winners, and they are broadcast.
+    `n_groups` groups there are `k * n_groups` winners, and they are broadcast;
+    otherwise they are stored and measured first.
     """
     few_left = top_per_group(left, [key], left_order, k, "_l").drop("_l")
     pairs = right.select(key, group).distinct()
     by_left = [*left_order, F.col(key).asc()]
     winners = top_per_group(few_left.join(pairs, key), [group], by_left, k, "_w").drop("_w")
-    if n_groups is not None:
+    if n_groups is None:
+        winners = freeze(winners, "winners")
+    if n_groups is not None or measured_bytes(winners) <= BROADCAST_BYTES:
         winners = F.broadcast(winners)
     matched = right.join(winners, [key, group])
     return top_per_group(matched, [group], [*by_left, *right_order], k, rank)

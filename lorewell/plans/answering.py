@@ -68,7 +68,7 @@ def contexts(retrieved: DataFrame, query_id: str = "query_id") -> DataFrame:
 def prepare_questions(
     requests: DataFrame, config: AnswerConfig = AnswerConfig(),
     make_rewriter: Callable[[], TextModel] | None = None,
-    rewrite_template: str = "Chat history: {chat_history}\n\nQuestion: {question}",
+    rewrite_template: str = "Earlier turns:\n{chat_history}\n\nWrite one search query for: {question}",
 ) -> DataFrame:
     """Requests with question, history and retrieval query of their `messages`.
 
@@ -109,7 +109,9 @@ def answer_batch(
     prepared = freeze(keyed, "questions")
     asked = prepared.filter(F.length("query") > 0).groupBy("query_id").agg(F.first("query").alias("query"))
     embedded = embed_text(
-        asked, "query", "query_vector", config.corpus.embed_dim, config.query_instruction, make_embedder,
+        # The instruction is for models; as plain words it would be in every query and in no chunk.
+        asked, "query", "query_vector", config.corpus.embed_dim,
+        config.query_instruction if make_embedder else None, make_embedder,
         config.corpus.embed_batch,
     )
     queries = freeze(embedded.select("query_id", "query_vector"), "queries")

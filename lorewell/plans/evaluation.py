@@ -19,7 +19,7 @@ from ..schemas import (
     rank_metric_name,
 )
 from ..sources.scratch import freeze
-from ..sources.tables import WriteModes, write_table
+from ..sources.tables import WriteModes, read_table, write_run
 from .answering import answer_batch
 
 Judge = Callable[[pd.DataFrame], pd.DataFrame]
@@ -154,12 +154,15 @@ def run_offline_eval(
     """Predict, rate and write both logs; returns the write mode used.
 
     The request log is written first and read back for the ratings, so the
-    predictions are computed once.
+    predictions are computed once. The dataset version is recorded only after
+    both logs are written: a run that failed is repeated in the same mode, and
+    its rows replace those of the failed attempt.
     """
     session = dataset.sparkSession
-    mode = WriteModes(session, state_root).next_mode(experiment, dataset_version)
-    predictions = offline_predictions(dataset, corpus, version_uri, config, **models)
-    written = freeze(predictions, "predictions")
-    write_table(written, request_table, mode)
-    write_table(run_eval(written, with_ground_truth=True), assessment_table, mode)
+    modes = WriteModes(session, state_root)
+    mode = modes.peek(experiment, dataset_version)
+    write_run(offline_predictions(dataset, corpus, version_uri, config, **models), request_table, version_uri, mode)
+    written = read_table(session, request_table).filter(F.col("run") == version_uri).drop("run")
+    write_run(run_eval(written, with_ground_truth=True), assessment_table, version_uri, mode)
+    modes.commit(experiment, dataset_version)
     return mode

@@ -11,13 +11,17 @@ def save_content(
     df: DataFrame, path: str, url_prefix: str = "",
     uri_col: str = "doc_uri", content_col: str = "html_content", mode: str = "overwrite",
 ) -> None:
-    """Write (relative path, content) rows as one Parquet table.
+    """Write (relative path, whether under the prefix, content) rows as one Parquet table.
+
+    Addresses outside the prefix keep their whole address as the path.
 
     A table instead of one file per document: millions of small files would
     cost more to list than to read.
     """
     df.select(
-        relative_path(uri_col, url_prefix).alias("rel_path"), F.col(content_col).alias("content")
+        relative_path(uri_col, url_prefix).alias("rel_path"),
+        F.coalesce(F.col(uri_col).startswith(url_prefix), F.lit(False)).alias("under_prefix"),
+        F.col(content_col).alias("content"),
     ).write.mode(mode).parquet(path)
 
 
@@ -26,9 +30,10 @@ def load_content(
     uri_col: str = "doc_uri", content_col: str = "html_content",
 ) -> DataFrame:
     """Read stored documents and rebuild their addresses."""
-    stored = spark.read.schema("rel_path string, content string").parquet(path)
+    stored = spark.read.schema("rel_path string, under_prefix boolean, content string").parquet(path)
+    prefix = F.when(F.col("under_prefix"), F.lit(url_prefix)).otherwise(F.lit(""))
     return stored.select(
-        F.concat(F.lit(url_prefix), F.col("rel_path")).alias(uri_col),
+        F.concat(prefix, F.col("rel_path")).alias(uri_col),
         F.col("content").alias(content_col),
     )
 

@@ -38,6 +38,23 @@ def write_table(df: DataFrame, name: str, mode: str) -> None:
         df.write.mode(mode).format("parquet").saveAsTable(name)
 
 
+def write_run(df: DataFrame, name: str, run: str, mode: str) -> None:
+    """Write one run's rows into a log partitioned by `run`.
+
+    `overwrite` replaces the whole log. `append` keeps other runs and replaces
+    the rows of an earlier attempt of the same run, so a retry adds no duplicates.
+    """
+    kind = "dynamic" if mode == "append" else "static"
+    rows = df.withColumn("run", F.lit(run))
+    writer = rows.write.option("partitionOverwriteMode", kind)
+    if "/" in name:
+        writer.mode("overwrite").partitionBy("run").parquet(name)
+    elif mode == "append" and df.sparkSession.catalog.tableExists(name):
+        writer.insertInto(name, overwrite=True)
+    else:
+        writer.mode("overwrite").format("parquet").partitionBy("run").saveAsTable(name)
+
+
 def write_template(spark: SparkSession, name: str, schema: T.StructType = EVAL_DATASET) -> None:
     """An empty table that shows users the expected columns."""
     write_table(spark.createDataFrame([], schema), name, "overwrite")
@@ -177,23 +194,17 @@ class WriteModes:
         self.table = VersionedTable(spark, root)
         self.spark = spark
 
-    def next_mode(self, experiment: str, dataset_version: int) -> str:
-        """`append` for the version used last, `overwrite` for a new one; records it."""
-        state = (
-            self.table.read()
-            if self.table.version()
-            else self.spark.createDataFrame([], self.STATE)
-        )
-        last = (
-            state.filter(F.col("experiment") == experiment)
-            .agg(F.max_by("dataset_version", "seq"), F.max("seq"))
-            .first()
-        )
-        if last[0] == dataset_version:
-            return "append"
-        others = state.filter(F.col("experiment") != experiment)
-        row = self.spark.createDataFrame(
-            [(experiment, dataset_version, (last[1] or 0) + 1)], self.STATE
-        )
-        self.table.overwrite(others.unionByName(row))
-        return "overwrite"
+    def _state(self) -> DataFrame:
+        return self.table.read() if self.table.version() else self.spark.createDataFrame([], self.STATE)
+
+    def peek(self, experiment: str, dataset_version: int) -> str:
+        """`append` for the dataset version committed last, `overwrite` for a new one."""
+        last = self._state().filter(F.col("experiment") == experiment).agg(F.max_by("dataset_version", "seq")).first()
+        return "append" if last[0] == dataset_version else "overwrite"
+
+    def commit(self, experiment: str, dataset_version: int) -> None:
+        """Record the dataset version; call it once its logs are written."""
+        state = self._state()
+        last = state.filter(F.col("experiment") == experiment).agg(F.max("seq")).first()[0]
+        row = self.spark.createDataFrame([(experiment, dataset_version, (last or 0) + 1)], self.STATE)
+        self.table.overwrite(state.filter(F.col("experiment") != experiment).unionByName(row))

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.dedup import dedup_assessments
 from ..plans.evaluation import run_eval
 from ..schemas import ASSESSMENT_LOG, REQUEST_LOG
-from ..sources.tables import VersionedPartitions, spread_small
+from ..sources.tables import VersionedPartitions
 from .payloads import parse_payloads, split_parsed, unpack_payloads
 
 
@@ -56,7 +56,7 @@ def persist_online(
     evaluation = run_eval_with or {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_payloads(spread_small(batch)).persist()
+        parsed = parse_payloads(batch).persist()
         try:
             requests, logged, rejects = split_parsed(parsed)
             assessments = logged.unionByName(run_eval(requests, **evaluation))

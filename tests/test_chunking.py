@@ -91,5 +91,5 @@ def test_sliding_windows(spark):
 def test_parse_runs_once_per_page(spark):
     pages = spark.createDataFrame([("a", PAGE.format(words(40), ""))], "doc_uri string, html_content string")
     plan = ch.chunk_pages(pages)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("<!--.*?-->") == 1
+    assert plan.count("<!--(?:-?>|.*?(?:-->|") == 1
     assert "Exchange" not in ch.chunk_pages(pages)._jdf.queryExecution().executedPlan().toString()

@@ -47,6 +47,22 @@ def test_salted_join_spreads_the_hot_key(spark, skewed):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_every_key_above_the_share_is_found(spark):
+    keys = spark.range(90_000).selectExpr("concat('k', id % 90) as key")
+    others = spark.range(1000).selectExpr("concat('rare', id) as key")
+    assert len(joins.hot_keys(keys.union(others), "key", 0.01)) == 90
+
+
+def test_equal_rows_of_a_hot_key_use_all_salts(spark):
+    left = spark.range(20_000).selectExpr("'hot' as key", "id % 4 as step").union(spark.createDataFrame([("b", 1), (None, 2)], "key string, step long"))
+    dealt = joins._deal(left, "key", ["hot"], 32, "n").filter("key = 'hot'").groupBy("_salt").agg(F.sum("n").alias("n")).collect()
+    assert len(dealt) == 32 and max(r["n"] for r in dealt) < 700 and sum(r["n"] for r in dealt) == 20_000
+    right = spark.createDataFrame([("hot", "x"), ("hot", "y"), ("b", "z")], "key string, v string")
+    for how in ("inner", "left", "left_semi"):
+        joined = joins.salted_join(left, right, "key", how, salts=32, hot=["hot"])
+        assert rows(joined.groupBy(*joined.columns).count()) == rows(left.join(right, "key", how).groupBy(*joined.columns).count())
+
+
 def test_salted_join_rejects_other_kinds(skewed):
     with pytest.raises(ValueError):
         joins.salted_join(*skewed, "key", "full_outer")
@@ -161,7 +177,9 @@ def test_lookup_join_in_both_forms(spark, skewed, monkeypatch):
     large, small = skewed
     want = rows(large.join(small, "key"))
     assert rows(joins.lookup_join(small, large, "key").select("key", "id", "v")) == want
+    schema = joins.lookup_join(small, large, "key").schema
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    assert joins.lookup_join(small, large, "key").schema == schema
     assert rows(joins.lookup_join(small, large, "key").select("key", "id", "v")) == want
 
 

@@ -40,10 +40,11 @@ def test_pages_from_snapshot_and_fetch(spark):
 
 
 def test_document_store_round_trip(spark, tmp_path):
-    df = spark.createDataFrame([("https://x/a b.html", "A"), ("https://x/c/d.html", "C")], "doc_uri string, html_content string")
+    df = spark.createDataFrame([("https://x/a b.html", "A"), ("https://x/c/d.html", "C"), ("http://b/y", "B"), ("c/d.html", "D")],
+                               "doc_uri string, html_content string")
     path = str(tmp_path / "store")
     docstore.save_content(df, path, "https://x/")
-    assert sorted(column(spark.read.parquet(path).select("rel_path"))) == ["a b.html", "c/d.html"]
+    assert sorted(column(spark.read.parquet(path).select("rel_path"))) == ["a b.html", "c/d.html", "c/d.html", "http://b/y"]
     assert sorted(map(tuple, docstore.load_content(spark, path, "https://x/").collect())) == sorted(map(tuple, df.collect()))
 
 
@@ -78,7 +79,14 @@ def test_failed_overwrite_keeps_the_old_version(spark, tmp_path):
 
 def test_write_modes(spark, tmp_path):
     modes = tables.WriteModes(spark, str(tmp_path / "state"))
-    got = [modes.next_mode(e, v) for e, v in (("x", 1), ("x", 1), ("y", 1), ("x", 2), ("x", 1), ("y", 1))]
+
+    def next_mode(experiment, version):
+        mode = modes.peek(experiment, version)
+        assert modes.peek(experiment, version) == mode
+        modes.commit(experiment, version)
+        return mode
+
+    got = [next_mode(e, v) for e, v in (("x", 1), ("x", 1), ("y", 1), ("x", 2), ("x", 1), ("y", 1))]
     assert got == ["overwrite", "append", "overwrite", "overwrite", "overwrite", "append"]
 
 
