@@ -253,8 +253,8 @@ def _article() -> str:
     return f"SELECT url AS doc_uri, {out} AS article FROM pages"
 
 
-def _page_chunks(size: int, overlap: int, minimum: int) -> str:
-    """Chunks of the test pages, whose one section is the whole article.
+def _page_chunk_tables(size: int, overlap: int, minimum: int) -> str:
+    """The table `paged` with the chunks of the test pages, whose one section is the whole article.
 
     Articles over the limit are packed line by line. A line over the limit
     ends the run before it and is cut into word windows. Within a run, `c` adds
@@ -302,10 +302,69 @@ def _page_chunks(size: int, overlap: int, minimum: int) -> str:
                UNION ALL SELECT * FROM packed
                UNION ALL SELECT doc_uri, seq, s, array_to_string(w[s + 1 : s + {size}], ' ') FROM cuts
                          WHERE s = 0 OR s + {overlap} < len(w)),
-    kept AS (SELECT *, {TOKENS.format('text')} AS n_tokens FROM chunks)
-    SELECT doc_uri, row_number() OVER (PARTITION BY doc_uri ORDER BY first_line, then_by) - 1 AS pos,
-           md5(text) AS text_md5, n_tokens
-    FROM kept WHERE n_tokens > {minimum}"""
+    kept AS (SELECT *, {TOKENS.format('text')} AS n_tokens FROM chunks),
+    paged AS (SELECT doc_uri, row_number() OVER (PARTITION BY doc_uri ORDER BY first_line, then_by) - 1 AS pos,
+                     text, n_tokens
+              FROM kept WHERE n_tokens > {minimum})"""
+
+
+def _page_chunks(size: int, overlap: int, minimum: int) -> str:
+    tables = _page_chunk_tables(size, overlap, minimum)
+    return f"{tables} SELECT doc_uri, pos, md5(text) AS text_md5, n_tokens FROM paged"
+
+
+def _slots(name: str, source: str, key: str, text: str) -> str:
+    """Table `name` with the nonzero slots of hashed bag-of-words vectors."""
+    return rf"""{name}_counts AS (
+        SELECT key, CAST(concat('0x', left(md5(w), 7)) AS BIGINT) % 256 AS slot, count(*) AS n
+        FROM (SELECT {key} AS key, unnest(regexp_extract_all(lower({text}), '\S+')) AS w FROM {source})
+        GROUP BY key, slot),
+    {name} AS (SELECT key, slot, CAST(n / sqrt(sum(n * n) OVER (PARTITION BY key)) AS FLOAT) AS v FROM {name}_counts)"""
+
+
+VECTOR_MD5 = """md5(coalesce(string_agg(concat(CAST(slot AS VARCHAR), ':',
+    CAST(CAST(round(CAST(v AS DOUBLE) * 1000000) AS BIGINT) AS VARCHAR)), ',' ORDER BY slot), ''))"""
+
+
+def _corpus(tables: str, chunks: str) -> str:
+    return f"""{tables},
+    identified AS (SELECT sha256(concat_ws('|', doc_uri, CAST(pos AS VARCHAR), text)) AS chunk_id, doc_uri, text FROM {chunks}),
+    {_slots('vectors', '(SELECT DISTINCT chunk_id, text FROM identified)', 'chunk_id', 'text')}
+    SELECT chunk_id, doc_uri, text, {VECTOR_MD5} AS embedding_md5
+    FROM identified JOIN vectors ON chunk_id = key GROUP BY chunk_id, doc_uri, text"""
+
+
+def _predictions() -> str:
+    """Every conversation's last messages against all page chunks, five kept."""
+    return f"""{_page_chunk_tables(500, 50, 20)},
+    identified AS (SELECT sha256(concat_ws('|', doc_uri, CAST(pos AS VARCHAR), text)) AS chunk_id, doc_uri, text FROM paged),
+    placed_turns AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM conversations),
+    asked AS (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS query FROM placed_turns WHERE back <= 4 GROUP BY conv_id),
+    {_slots('cv', 'identified', 'chunk_id', 'text')},
+    {_slots('qv', 'asked', 'conv_id', 'query')},
+    scores AS (SELECT q.key AS conv_id, c.key AS chunk_id, sum(CAST(q.v AS DOUBLE) * CAST(c.v AS DOUBLE)) AS score
+               FROM qv q JOIN cv c ON q.slot = c.slot GROUP BY q.key, c.key),
+    ranked AS (SELECT a.conv_id, i.doc_uri, i.text,
+                      row_number() OVER (PARTITION BY a.conv_id ORDER BY round(coalesce(score, 0), 9) DESC, i.chunk_id) AS rank
+               FROM asked a CROSS JOIN identified i
+               LEFT JOIN scores s ON s.conv_id = a.conv_id AND s.chunk_id = i.chunk_id)
+    SELECT CAST(conv_id AS VARCHAR) AS request_id, 'models:/app/1' AS app_version_id,
+           md5(max(CASE WHEN rank = 1 THEN text END)) AS output_md5,
+           string_agg(doc_uri, ' ' ORDER BY rank) AS retrieved
+    FROM ranked WHERE rank <= 5 GROUP BY conv_id"""
+
+
+def _discrete_quantiles(metric: str) -> str:
+    """Quantiles that are values of the data, as a sketch of enough accuracy gives."""
+    at = ", ".join(
+        f"round(max(CASE WHEN place = greatest(1, CAST(ceil({p} * n) AS BIGINT)) THEN score END), 6) AS {name}"
+        for p, name in ((0.0, "score_min"), (0.25, "score_q1"), (0.5, "score_median"), (0.75, "score_q3"), (1.0, "score_max"))
+    )
+    return f"""WITH {_rated(metric)},
+    placed AS (SELECT version_number, score, row_number() OVER (PARTITION BY version_number ORDER BY score) AS place,
+                      count(*) OVER (PARTITION BY version_number) AS n
+               FROM rated WHERE score IS NOT NULL)
+    SELECT version_number AS rag_version, max(n) AS n_scores, {at} FROM placed GROUP BY version_number"""
 
 
 def _windows(size: int, overlap: int) -> str:
@@ -378,6 +437,13 @@ ORACLES = {
     "score_quantiles": _quantiles("harmful"),
     "relevant_score_quantiles": _quantiles("relevant"),
     "faithful_score_quantiles": _quantiles("faithful"),
+    "score_quantiles_approx": _discrete_quantiles("faithful"),
+    "embed_hash": f"""WITH docs AS (SELECT concat('doc/', CAST(doc_id AS VARCHAR)) AS doc_uri, text FROM documents),
+        {_slots('vectors', 'docs', 'doc_uri', 'text')}
+        SELECT doc_uri, {VECTOR_MD5} AS embedding_md5 FROM docs LEFT JOIN vectors ON doc_uri = key GROUP BY doc_uri""",
+    "corpus_build": _corpus(_page_chunk_tables(500, 50, 20), "paged"),
+    "text_corpus_build": _corpus(f"WITH {_windows(500, 50)}", "chunks"),
+    "offline_predictions": _predictions(),
     "report_over_view": f"""WITH {_rated('harmful')}
         SELECT version_number AS rag_version, count(*) AS n_rows, round(avg(CAST(value AS DOUBLE)), 6) AS true_share
         FROM rated WHERE value IS NOT NULL GROUP BY version_number""",

@@ -290,16 +290,33 @@ def chunk_stats(spark, sf_dir):
     return chunking.chunk_statistics(chunks)
 
 
+def _vector_md5(embedding: str):
+    """Digest of a vector: its nonzero slots with values in millionths."""
+    parts = F.transform(
+        embedding,
+        lambda v, i: F.when(
+            v != 0, F.concat_ws(":", i.cast("string"), F.round(v.cast("double") * 1_000_000).cast("bigint").cast("string"))
+        ),
+    )
+    return F.md5(F.array_join(F.array_compact(parts), ",")).alias("embedding_md5")
+
+
 def embed_hash(spark, sf_dir):
-    return embed_text(fx.text_docs(spark, sf_dir), "content", "embedding").select("doc_uri", "embedding")
+    embedded = embed_text(fx.text_docs(spark, sf_dir), "content", "embedding")
+    return embedded.select("doc_uri", _vector_md5("embedding"))
 
 
-def corpus_build(spark, sf_dir):
+def corpus_tables(spark, sf_dir):
     return corpus.build_corpus(fx.pages(spark, sf_dir), fx.PAGE_CONFIG)
 
 
+def corpus_build(spark, sf_dir):
+    return corpus_tables(spark, sf_dir).select("chunk_id", "doc_uri", "text", _vector_md5("embedding"))
+
+
 def text_corpus_build(spark, sf_dir):
-    return corpus.build_text_corpus(fx.text_docs(spark, sf_dir))
+    built = corpus.build_text_corpus(fx.text_docs(spark, sf_dir))
+    return built.select("chunk_id", "doc_uri", "text", _vector_md5("embedding"))
 
 
 def index_delta_query(spark, sf_dir):
@@ -511,7 +528,7 @@ def offline_predictions(spark, sf_dir):
     return log.select(
         F.col("request.request_id").alias("request_id"),
         F.col("trace.app_version_id").alias("app_version_id"),
-        "output", "retrieved",
+        F.md5("output").alias("output_md5"), F.array_join("retrieved", " ").alias("retrieved"),
     )
 
 

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import EMBED_BATCH
 from ..functions.text import tokens, with_instruction
 
+# Seven digits stay within an int.
+HASH_DIGITS = 7
+
 Embedder = Callable[[list[str]], Sequence[Sequence[float]]]
 
 
@@ -26,8 +29,9 @@ def embed_text(
 ) -> DataFrame:
     """Add an `array<float>` embedding of a text column.
 
-    By default a hashed bag of lower-cased words with unit length, computed in
-    the JVM. `make_embedder` plugs in a model: it is called once per task, and
+    By default a hashed bag of lower-cased words with unit length: slots come
+    from built-in functions, counts from one array operation per Arrow batch.
+    `make_embedder` plugs in a model: it is called once per task, and
     what it returns gets at most `batch_size` texts per call.
     """
     text = with_instruction(text_col, instruction)
@@ -47,10 +51,30 @@ def embed_text(
     return df.withColumn(embedding_col, embed(text))
 
 
-def _hashed(df: DataFrame, text, embedding_col: str, dim: int) -> DataFrame:
-    words = df.withColumn("_words", F.coalesce(tokens(F.lower(text)), F.array().cast("array<string>")))
-    counted = HashingTF(numFeatures=dim, inputCol="_words", outputCol="_counts").transform(words)
-    scaled = Normalizer(p=2.0, inputCol="_counts", outputCol="_unit").transform(counted)
-    return scaled.withColumn(embedding_col, vector_to_array("_unit", "float32")).drop(
-        "_words", "_counts", "_unit"
-    )
+def word_slots(text: Column, dim: int) -> Column:
+    """The slot of every word: the leading hex digits of its md5, modulo `dim`.
+
+    Any engine with md5 computes the same slots.
+    """
+    words = F.coalesce(tokens(F.lower(text)), F.array().cast("array<string>"))
+    return F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, HASH_DIGITS), 16, 10).cast("int") % dim)
+
+
+def unit_counts(slots: pa.Array, dim: int) -> pa.Array:
+    """Slot counts of every row, scaled to unit length; rows without words are zero."""
+    slots = slots.fill_null([]) if slots.null_count else slots
+    row = np.repeat(np.arange(len(slots)), slots.value_lengths().to_numpy())
+    flat = row * dim + slots.flatten().to_numpy()
+    counts = np.bincount(flat, minlength=len(slots) * dim).reshape(len(slots), dim).astype(np.float64)
+    norms = np.sqrt((counts * counts).sum(1, keepdims=True))
+    unit = np.divide(counts, norms, out=counts, where=norms > 0).astype(np.float32)
+    offsets = np.arange(len(slots) + 1, dtype=np.int32) * dim
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(unit.ravel()))
+
+
+def _hashed(df: DataFrame, text: Column, embedding_col: str, dim: int) -> DataFrame:
+    @F.arrow_udf("array<float>")
+    def vector(slots: pa.Array) -> pa.Array:
+        return unit_counts(slots, dim)
+
+    return df.withColumn(embedding_col, vector(word_slots(text, dim)))
