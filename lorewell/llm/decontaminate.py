@@ -29,7 +29,7 @@ from . import words as W
 from .scratch import column, free_name, freeze
 
 WINDOW = 10
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 ITEM_BYTES = 32 << 20
 RESULT = (
     "struct<n_words: bigint, n_hit: bigint, "

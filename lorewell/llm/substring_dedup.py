@@ -43,7 +43,7 @@ from .scratch import column, free_name, freeze, partitions_for
 
 K = 20
 M = 5
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 GROUP_EDGES = 4_000_000
 # At most 2 / HOT_SHARE grams can be hot, which bounds the list sent to tasks.
 HOT_SHARE = 2e-5

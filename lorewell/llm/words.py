@@ -21,7 +21,9 @@ BLANK_BYTES = (0x20, *range(0x09, 0x0E))
 SYMBOL_BYTES = (*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80))
 
 # Bytes of text handled at once; a single longer text is handled alone.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
+# Powers are kept up to this many; two such tables a base and worker.
+KEPT_POWERS = 2 << 20
 
 # Odd multipliers of the polynomial hashes.
 BYTE_BASE = np.uint64(0x9E3779B97F4A7C15 | 2 | 1)
@@ -50,7 +52,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(max(n, 1), base, np.uint64)
     out[0] = 1
     np.multiply.accumulate(out, out=out)
-    if n <= BLOCK_BYTES:
+    if n <= KEPT_POWERS:
         _POWERS[int(base)] = out
     return out
 
