@@ -16,12 +16,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
+from ..sources.scratch import freeze
 from .ranking import top_per_group
 
-# Queries up to this size are sent to every executor; larger sets are split
-# into groups together with the corpus.
+# Queries up to this size are sent to every executor at once; larger sets go in
+# blocks of the second size.
 BROADCAST_BYTES = 64 << 20
-GROUP_BYTES = 128 << 20
+GROUP_BYTES = 64 << 20
 SCORE_CELLS = 4 << 20
 # Scores are rounded, so ranks do not depend on the order of summation.
 SCORE_DECIMALS = 9
@@ -156,9 +157,8 @@ def nearest(
     if size["n"] * bytes_per_vector <= broadcast_bytes:
         found = _by_broadcast(left, right, k, out, planes, exclude_same_id)
     else:
-        found = _by_groups(
-            left, right, k, out, planes, exclude_same_id, size["n"], bytes_per_vector, group_bytes
-        )
+        n_blocks = math.ceil(size["n"] * bytes_per_vector / group_bytes)
+        found = _by_blocks(left, right, k, out, planes, exclude_same_id, n_blocks)
     order = [F.col("score").desc(), F.col("chunk_id").asc()]
     return top_per_group(found, ["query_id"], order, k, "rank")
 
@@ -194,32 +194,18 @@ def _by_broadcast(left, right, k, out, planes, skip_same) -> DataFrame:
     return right.mapInArrow(run, out)
 
 
-def _by_groups(left, right, k, out, planes, skip_same, n_queries, width, group_bytes) -> DataFrame:
-    """Query blocks and corpus blocks meet in groups of bounded size.
+def _by_blocks(left, right, k, out, planes, skip_same, n_blocks: int) -> DataFrame:
+    """One broadcast search per block of queries; the corpus is read again, never copied.
 
-    Blocks come from a hash of the id, so they are even whatever the data.
+    Blocks come from a hash of the id, so they are even whatever the data. Each
+    block's winners are stored before the next block is sent, so the driver and
+    the executors hold one block at a time.
     """
-    n_corpus = right.count()
-    q_blocks = max(1, math.ceil(n_queries * width / group_bytes))
-    c_blocks = max(1, math.ceil(n_corpus * width / group_bytes))
-
-    def block(column: str, n: int):
-        return F.pmod(F.xxhash64(column), F.lit(n))
-
-    def every(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
-
-    q_side = left.withColumn("qb", block("query_id", q_blocks)).withColumn("cb", every(c_blocks))
-    c_side = right.withColumn("cb", block("chunk_id", c_blocks)).withColumn("qb", every(q_blocks))
-    names = out.names
-
-    def run(q: pa.Table, c: pa.Table) -> pa.Table:
-        ids, chunk_ids = q["query_id"].combine_chunks(), c["chunk_id"].combine_chunks()
-        best = Best(k, chunk_ids.type, ids if skip_same else None)
-        if len(ids) and len(chunk_ids):
-            vectors = matrix(q["v"])
-            codes = planes.buckets(vectors) if planes else None
-            score_batch(best, vectors, codes, matrix(c["v"]), chunk_ids, planes)
-        return _result(best, ids, names)
-
-    return q_side.groupBy("qb", "cb").cogroup(c_side.groupBy("qb", "cb")).applyInArrow(run, out)
+    stored = freeze(left.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks))), "query-blocks")
+    order = [F.col("score").desc(), F.col("chunk_id").asc()]
+    found = None
+    for block in range(n_blocks):
+        mine = stored.filter(F.col("block") == block).drop("block")
+        best = freeze(top_per_group(_by_broadcast(mine, right, k, out, planes, skip_same), ["query_id"], order, k, "_r").drop("_r"), "nearest")
+        found = best if found is None else found.unionByName(best)
+    return found

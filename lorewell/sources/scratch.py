@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: list[str] = []
+_made: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,7 +31,26 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path nobody used before, below the shared folder."""
-    return f"{shared_folder(spark)}/lorewell/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/lorewell/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove at its end every scratch path that was made inside.
+
+    Results that read such paths have to be written before the scope ends.
+    """
+    first = len(_made)
+    try:
+        yield
+    finally:
+        made = _made[first:]
+        del _made[first:]
+        for path in made:
+            jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def freeze(df: DataFrame, label: str = "frozen") -> DataFrame:

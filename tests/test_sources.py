@@ -142,3 +142,21 @@ def test_small_scans_are_spread(spark, tmp_path):
     assert tables.spread_small(scan).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(0, 100, 1, 64)
     assert tables.spread_small(wide) is wide
+
+
+def test_scratch_scope_removes_what_was_made_inside(spark):
+    outer = scratch.freeze(spark.range(3))
+    with scratch.scratch_scope(spark):
+        inner = scratch.freeze(spark.range(4))
+        assert inner.count() == 4
+        path = scratch._made[-1]
+    assert not tables.path_exists(spark, path) and outer.count() == 3
+
+
+def test_package_is_shipped_once(spark):
+    from lorewell.sources.shipping import ship_package
+
+    ship_package(spark)
+    before = spark.sparkContext.listFiles
+    ship_package(spark)
+    assert list(before) == list(spark.sparkContext.listFiles) and any("lorewell" in f for f in before)
