@@ -561,9 +561,11 @@ ORACLES = {
                 PARTITION BY request_id, step_id, metric, date_trunc('hour', ts) ORDER BY ts DESC, event_id DESC) AS rn
             FROM rows)
         SELECT request_id, step_id, metric, verdict, score FROM ranked WHERE rn = 1""",
-    "stream_dedup_hourly": """WITH ranked AS (SELECT *, date_trunc('hour', ts) AS h, max(ts) OVER () AS newest,
+    "index_sync": """SELECT sha256(concat('doc/', CAST(doc_id AS VARCHAR))) AS chunk_id, doc_id,
+            CAST(CASE WHEN quality = 1 THEN 1 ELSE 2 END AS BIGINT) AS batch FROM labels WHERE toxic = 0""",
+    "stream_dedup_hourly": """WITH ranked AS (SELECT *, date_trunc('hour', ts) AS h,
                 row_number() OVER (PARTITION BY user_id, event_type, date_trunc('hour', ts)
                                    ORDER BY ts DESC, event_id DESC) AS rn FROM events)
         SELECT user_id, event_type, strftime(h, '%Y-%m-%d %H:00:00') AS hour, event_id, value
-        FROM ranked WHERE rn = 1 AND h + INTERVAL 1 HOUR <= newest - INTERVAL 1 HOUR""",
+        FROM ranked WHERE rn = 1""",
 }

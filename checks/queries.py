@@ -13,7 +13,7 @@ from lorewell.operators.mmr import mmr_rerank
 from lorewell.operators.versions import distinct_versions, select_versions
 from lorewell.plans import answering, corpus, evaluation, reports
 from lorewell.sources import docstore, pages as page_source, sitemap, tables
-from lorewell.sources.index import index_delta
+from lorewell.sources.index import IndexStore, index_delta
 from lorewell.sources.scratch import freeze, scratch_path
 from lorewell.streaming import online_eval, payloads
 
@@ -356,6 +356,16 @@ def knn_lsh(spark, sf_dir):
     return _neighbours(spark, sf_dir, lsh=(6, 3))
 
 
+def index_sync(spark, sf_dir):
+    """An index of good documents turned into one of harmless ones, by a second batch."""
+    labels = fx.table(spark, sf_dir, "labels")
+    key = F.sha2(F.concat(F.lit("doc/"), F.col("doc_id").cast("string")), 256).alias("chunk_id")
+    store = IndexStore(spark, scratch_path(spark, "index"))
+    store.sync(labels.filter("quality = 1").select(key, "doc_id"))
+    store.sync(labels.filter("toxic = 0").select(key, "doc_id"))
+    return store.read(with_batch=True)
+
+
 def mmr_rerank_query(spark, sf_dir):
     candidates = freeze(_neighbours(spark, sf_dir, k=20), "candidates")
     with_vectors = candidates.join(fx.vectors(spark, sf_dir).drop("label"), "chunk_id")
@@ -652,9 +662,12 @@ def stream_dedup_hourly(spark, sf_dir):
     events = fx.event_stream(spark, sf_dir).select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value"
     )
-    latest = online_eval.stream_latest_per_hour(events, ["user_id", "event_type"], "ts", "event_id")
-    rows = latest.select("user_id", "event_type", "hour", "event_id", "value")
-    return _persisted(spark, rows, "latest").withColumn("hour", F.date_format("hour", HOURS))
+    keys, root = ["user_id", "event_type"], scratch_path(spark, "latest")
+    online_eval.run_bounded(
+        online_eval.persist_latest(events, f"{root}/data", f"{root}/checkpoint", keys, "ts", "event_id")
+    )
+    latest = online_eval.read_latest(spark, f"{root}/data", keys, "ts", "event_id")
+    return latest.select("user_id", "event_type", F.date_format("hour", HOURS).alias("hour"), "event_id", "value")
 
 
 HARMFUL, RELEVANT, FAITHFUL = "harmful", "relevant_to_question_and_context", "faithful_to_context"
@@ -705,6 +718,7 @@ QUERIES = {
     "index_delta": index_delta_query,
     "knn_exact_top5": knn_exact_top5,
     "knn_grouped_top5": knn_grouped_top5,
+    "index_sync": index_sync,
     "knn_lsh": knn_lsh,
     "mmr_rerank": mmr_rerank_query,
     "retrieval_metrics": retrieval_metrics,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.dedup import dedup_assessments
+from ..operators.dedup import dedup_assessments, latest_per_period
 from ..plans.evaluation import run_eval
 from ..schemas import ASSESSMENT_LOG, REQUEST_LOG
 from ..sources.tables import VersionedPartitions
@@ -81,33 +81,37 @@ def read_log(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def deduplicated_log(spark: SparkSession, root: str) -> VersionedPartitions:
-    """The published assessment log, partitioned by day."""
-    return VersionedPartitions(spark, root, "day", ASSESSMENT_LOG)
+    """The published assessment log, partitioned by deduplication period."""
+    return VersionedPartitions(spark, root, "period", ASSESSMENT_LOG)
+
+
+# Labels of the periods a log can be published by.
+PERIOD_LABELS = {"minute": "yyyy-MM-dd-HH-mm", "hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
 
 
 def publish_deduplicated(
     spark: SparkSession, assessment_path: str, root: str, granularity: str = "hour"
 ) -> int:
-    """Bring the published log up to date; returns the number of days rewritten.
+    """Bring the published log up to date; returns the number of periods rewritten.
 
-    Equals deduplicating the whole log, but touches only days with new rows:
-    the latest of old and new is the latest of the old winner and the new. The
-    period of `granularity` therefore has to lie within one day.
+    Equals deduplicating the whole log, but reads and rewrites only periods with
+    new rows: the latest of old and new is the latest of the old winner and the
+    new. A log is published by one granularity.
     """
-    if granularity not in ("minute", "hour", "day"):
+    if granularity not in PERIOD_LABELS:
         raise ValueError(f"cannot publish by {granularity}")
     store = deduplicated_log(spark, root)
     batched = ASSESSMENT_LOG.fields + [T.StructField("batch", T.LongType())]
     log = spark.read.schema(T.StructType(batched)).parquet(assessment_path)
     done = store.mark()
     new = log if done is None else log.filter(F.col("batch") > done)
-    day = F.coalesce(F.date_format("ts", "yyyy-MM-dd"), F.lit("unknown"))
-    found = new.groupBy(day.alias("day")).agg(F.max("batch").alias("last")).collect()
+    period = F.coalesce(F.date_format("ts", PERIOD_LABELS[granularity]), F.lit("unknown"))
+    found = new.groupBy(period.alias("period")).agg(F.max("batch").alias("last")).collect()
     if not found:
         return 0
-    old = store.read([r["day"] for r in found])
+    old = store.read([r["period"] for r in found])
     merged = dedup_assessments(old.unionByName(new.drop("batch")), granularity)
-    store.replace(merged.withColumn("day", day), max(r["last"] for r in found))
+    store.replace(merged.withColumn("period", period), max(r["last"] for r in found))
     return len(found)
 
 
@@ -149,6 +153,35 @@ def stream_latest_per_hour(
     return grouped.select(*keys, F.col("_w.start").alias("hour"), "_row.*")
 
 
+def persist_latest(
+    rows: DataFrame, path: str, checkpoint: str, keys: Sequence[str], ts: str, tie_break: str,
+    period: str = "hour", every: str | None = None,
+) -> StreamingQuery:
+    """Write the latest row of each key and period of every micro-batch.
+
+    `read_latest` merges them. No state is kept and no row is too late: the
+    latest of all rows is the latest of the micro-batches' latest.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        latest = latest_per_period(batch, keys, ts, [tie_break], period, period)
+        latest.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        rows.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(every))
+        .start()
+    )
+
+
+def read_latest(
+    spark: SparkSession, path: str, keys: Sequence[str], ts: str, tie_break: str, period: str = "hour"
+) -> DataFrame:
+    """The latest row of each key and period over everything `persist_latest` wrote."""
+    return latest_per_period(spark.read.parquet(path).drop("batch", period), keys, ts, [tie_break], period, period)
+
+
 def run_bounded(query: StreamingQuery, timeout: float | None = None) -> None:
     """Wait for an available-now query and raise its error, if any."""
     query.awaitTermination(timeout)

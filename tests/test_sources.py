@@ -160,3 +160,23 @@ def test_package_is_shipped_once(spark):
     before = spark.sparkContext.listFiles
     ship_package(spark)
     assert list(before) == list(spark.sparkContext.listFiles) and any("lorewell" in f for f in before)
+
+
+def test_index_store(spark, tmp_path):
+    def frame(*pairs):
+        return spark.createDataFrame(list(pairs), "chunk_id string, n int")
+
+    store = index.IndexStore(spark, str(tmp_path / "index"))
+    store.sync(frame(("a", 1), ("b", 2), ("b", 2)))
+    store.sync(frame(("b", 9), ("c", 3)))
+    assert sorted(map(tuple, store.read(with_batch=True).collect())) == [("b", 2, 1), ("c", 3, 2)]
+    # What an update left behind that failed before its commit.
+    frame(("x", 1)).write.parquet(f"{store.root}/added/batch=3")
+    frame(("b", 1)).select("chunk_id").write.parquet(f"{store.root}/retired/batch=3")
+    assert sorted(map(tuple, store.read().collect())) == [("b", 2), ("c", 3)]
+    store.sync(frame(("a", 5), ("c", 3)))
+    assert sorted(map(tuple, store.read(with_batch=True).collect())) == [("a", 5, 3), ("c", 3, 2)]
+    store.compact()
+    assert sorted(map(tuple, store.read(with_batch=True).collect())) == [("a", 5, 4), ("c", 3, 4)]
+    store.sync(frame())
+    assert store.read().count() == 0

@@ -147,7 +147,7 @@ def test_periodic_trigger(spark, tmp_path):
     assert spark.read.schema(PAYLOAD).parquet(out).count() == len(batch_one()) + 1
 
 
-def test_publish_touches_only_days_with_new_rows(spark, tmp_path):
+def test_publish_touches_only_hours_with_new_rows(spark, tmp_path):
     log, root = str(tmp_path / "log"), str(tmp_path / "pub")
 
     def add(batch, rows):
@@ -158,10 +158,10 @@ def test_publish_touches_only_days_with_new_rows(spark, tmp_path):
     add(0, [feedback("a", 0.1, 0), feedback("a", 0.2, day), feedback("b", 0.3, day)])
     assert online.publish_deduplicated(spark, log, root) == 2
     add(1, [feedback("a", 0.4, day + 10), feedback("c", 0.5, day + 70)])
-    assert online.publish_deduplicated(spark, log, root) == 1
+    assert online.publish_deduplicated(spark, log, root) == 2
     assert online.publish_deduplicated(spark, log, root) == 0
     store = online.deduplicated_log(spark, root)
     versions = {r["part"]: r["version"] for r in store._pointers().orderBy("version").collect()}
-    assert versions == {"2024-01-01": 1, "2024-01-02": 2}
+    assert versions == {"2024-01-01-10": 1, "2024-01-02-10": 2, "2024-01-02-11": 2}
     assert tuples(store.read()) == tuples(dedup_assessments(online.read_log(spark, log, ASSESSMENT_LOG)))
-    assert store.read(["2024-01-01"]).count() == 1
+    assert store.read(["2024-01-01-10"]).count() == 1
