@@ -334,8 +334,8 @@ def _corpus(tables: str, chunks: str) -> str:
     FROM identified JOIN vectors ON chunk_id = key GROUP BY chunk_id, doc_uri, text"""
 
 
-def _predictions() -> str:
-    """Every conversation's last messages against all page chunks, five kept."""
+def _prediction_tables() -> str:
+    """`ranked`: every conversation's last messages against all page chunks."""
     return f"""{_page_chunk_tables(500, 50, 20)},
     identified AS (SELECT sha256(concat_ws('|', doc_uri, CAST(pos AS VARCHAR), text)) AS chunk_id, doc_uri, text FROM paged),
     placed_turns AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM conversations),
@@ -347,13 +347,37 @@ def _predictions() -> str:
     ranked AS (SELECT a.conv_id, i.doc_uri, i.text,
                       row_number() OVER (PARTITION BY a.conv_id ORDER BY round(coalesce(score, 0), 9) DESC, i.chunk_id) AS rank
                FROM asked a CROSS JOIN identified i
-               LEFT JOIN scores s ON s.conv_id = a.conv_id AND s.chunk_id = i.chunk_id)
+               LEFT JOIN scores s ON s.conv_id = a.conv_id AND s.chunk_id = i.chunk_id)"""
+
+
+def _predictions() -> str:
+    return f"""{_prediction_tables()}
     SELECT CAST(conv_id AS VARCHAR) AS request_id, 'models:/app/1' AS app_version_id,
            md5(max(CASE WHEN rank = 1 THEN text END)) AS output_md5,
            string_agg(doc_uri, ' ' ORDER BY rank) AS retrieved
     FROM ranked WHERE rank <= 5 GROUP BY conv_id"""
 
 
+def _offline_ranks() -> str:
+    """Rank metrics of the predictions; four pages are relevant for a conversation."""
+    columns = []
+    for k in RANK_CUTOFFS:
+        hits = f"coalesce(sum(CASE WHEN rank <= {k} AND t.url IS NOT NULL THEN 1.0 ELSE 0.0 END), 0)"
+        gain = f"sum(CASE WHEN rank <= {k} AND t.url IS NOT NULL THEN 1.0 / log2(rank + 1) ELSE 0.0 END)"
+        ideal = " + ".join(f"(CASE WHEN n >= {i} THEN 1.0 / log2({i + 1}) ELSE 0.0 END)" for i in range(1, k + 1))
+        columns += [
+            f"round(CAST({hits} AS DOUBLE) / {k}, 6) AS precision_at_{k}",
+            f"coalesce(round(CAST({hits} AS DOUBLE) / max(n), 6), -1) AS recall_at_{k}",
+            f"coalesce(round(CASE WHEN max(n) > 0 THEN {gain} / max({ideal}) END, 6), -1) AS ndcg_at_{k}",
+        ]
+    return f"""{_prediction_tables()},
+    truth AS (SELECT DISTINCT conv_id, url FROM asked JOIN pages ON page_id BETWEEN conv_id AND conv_id + 3),
+    sizes AS (SELECT conv_id, count(*) AS n FROM truth GROUP BY conv_id)
+    SELECT CAST(r.conv_id AS VARCHAR) AS request_id, {', '.join(columns)}
+    FROM (SELECT * FROM ranked WHERE rank <= 5) r LEFT JOIN sizes ON r.conv_id = sizes.conv_id
+    LEFT JOIN truth t ON t.conv_id = r.conv_id AND t.url = r.doc_uri GROUP BY r.conv_id"""
+
+
 def _discrete_quantiles(metric: str) -> str:
     """Quantiles that are values of the data, as a sketch of enough accuracy gives."""
     at = ", ".join(
@@ -444,6 +468,7 @@ ORACLES = {
     "corpus_build": _corpus(_page_chunk_tables(500, 50, 20), "paged"),
     "text_corpus_build": _corpus(f"WITH {_windows(500, 50)}", "chunks"),
     "offline_predictions": _predictions(),
+    "offline_rank_metrics": _offline_ranks(),
     "report_over_view": f"""WITH {_rated('harmful')}
         SELECT version_number AS rag_version, count(*) AS n_rows, round(avg(CAST(value AS DOUBLE)), 6) AS true_share
         FROM rated WHERE value IS NOT NULL GROUP BY version_number""",

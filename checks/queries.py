@@ -12,6 +12,7 @@ from lorewell.operators.embed import embed_text
 from lorewell.operators.mmr import mmr_rerank
 from lorewell.operators.versions import distinct_versions, select_versions
 from lorewell.plans import answering, corpus, evaluation, reports
+from lorewell.schemas import RANK_CUTOFFS
 from lorewell.sources import docstore, pages as page_source, sitemap, tables
 from lorewell.sources.index import IndexStore, index_delta
 from lorewell.sources.scratch import freeze, scratch_path
@@ -529,6 +530,40 @@ def _eval_dataset(spark, sf_dir):
     )
 
 
+def offline_rank_metrics(spark, sf_dir):
+    """An offline run with ground truth: rank metrics read from its assessment log.
+
+    Four pages are relevant for a conversation, those numbered from its id on.
+    """
+    chats = _eval_dataset(spark, sf_dir)
+    urls = fx.table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("relevant"))
+    wanted = chats.select("request_id", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("i")).withColumn(
+        "page_id", F.col("request_id").cast("long") + F.col("i")
+    )
+    truth = wanted.join(urls, "page_id").groupBy("request_id").agg(F.array_sort(F.collect_set("relevant")).alias("uris"))
+    dataset = chats.join(truth, "request_id", "left").select(
+        "request_id", "messages",
+        F.struct(
+            F.col("ground_truth.answer").alias("answer"),
+            F.coalesce("uris", F.array().cast("array<string>")).alias("doc_uris"),
+        ).alias("ground_truth"),
+    )
+    chunks = freeze(corpus_tables(spark, sf_dir), "corpus")
+    root = scratch_path(spark, "offline-ranks")
+    evaluation.run_offline_eval(
+        dataset, 1, chunks, "models:/app/1", f"{root}/requests", f"{root}/assessments", f"{root}/state", "checks",
+        AnswerConfig(corpus=fx.PAGE_CONFIG),
+    )
+    ratings = "retrieval_assessment.ratings.retrieval_{}_at_{}.double_value"
+    return tables.read_table(spark, f"{root}/assessments").select(
+        "request_id",
+        *[
+            F.coalesce(F.round(ratings.format(m, k), 6), F.lit(-1.0)).alias(f"{m}_at_{k}")
+            for k in RANK_CUTOFFS for m in ("precision", "recall", "ndcg")
+        ],
+    )
+
+
 def offline_predictions(spark, sf_dir):
     """Whole conversations answered from the page corpus."""
     chunks = freeze(corpus.build_corpus(fx.pages(spark, sf_dir), fx.PAGE_CONFIG), "corpus")
@@ -739,6 +774,7 @@ QUERIES = {
     "harmful_terms": harmful_terms,
     "run_eval_long": run_eval_long,
     "offline_predictions": offline_predictions,
+    "offline_rank_metrics": offline_rank_metrics,
     "offline_eval": offline_eval,
     "dedup_hourly": dedup_hourly,
     "versioned_overwrite": versioned_overwrite,

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ..plans.evaluation import retrieval_assessment
-from ..schemas import MESSAGES, PAYLOAD, RATING, TEXT_METRICS
+from ..schemas import MESSAGES, PAYLOAD, RETRIEVAL_RATINGS, TEXT_RATINGS
 
 # Fixed values of the payload column `kind` and of the outcome.
 REQUEST = "request"
@@ -28,7 +27,7 @@ ASSESSMENT_BODY = T.StructType(
     [
         T.StructField("step_id", T.StringType()),
         T.StructField("source", T.StringType()),
-        T.StructField("ratings", T.StructType([T.StructField(m, RATING) for m in TEXT_METRICS])),
+        T.StructField("ratings", T.StructType([*TEXT_RATINGS.fields, *RETRIEVAL_RATINGS.fields])),
         T.StructField(CORRUPT, T.StringType()),
     ]
 )
@@ -74,6 +73,11 @@ def parse_payloads(payloads: DataFrame) -> DataFrame:
     return parsed.withColumn("outcome", outcome)
 
 
+def _ratings(half: T.StructType) -> Column:
+    """The text or the retrieval half of a logged assessment's ratings."""
+    return F.struct(F.struct(*[F.col(f"ass.ratings.{name}").alias(name) for name in half.names]).alias("ratings"))
+
+
 def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """`(request log, assessment log, rejects)` from parsed payloads."""
     calls = parsed.filter((F.col("kind") == REQUEST) & (F.col("outcome") == REQUEST))
@@ -87,8 +91,8 @@ def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         "request_id",
         F.col("ass.step_id").alias("step_id"),
         F.struct(F.col("ass.source").alias("type")).alias("source"),
-        F.struct(F.col("ass.ratings").alias("ratings")).alias("text_assessment"),
-        retrieval_assessment({}).alias("retrieval_assessment"),
+        _ratings(TEXT_RATINGS).alias("text_assessment"),
+        _ratings(RETRIEVAL_RATINGS).alias("retrieval_assessment"),
         "ts",
     )
     rejects = parsed.filter(F.col("outcome") == REJECT).drop("req", "res", "ass", "outcome")

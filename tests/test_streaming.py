@@ -51,6 +51,16 @@ def test_every_payload_lands_in_one_place(spark):
     assert {r.request_id for r in rejects.collect()} >= {"c", "d", "e", None}
 
 
+def test_logged_retrieval_ratings_are_kept(spark):
+    ratings = {"harmful": {"bool_value": True}, "retrieval_recall_at_3": {"double_value": 0.5}}
+    body = json.dumps({"step_id": "f", "source": "human", "ratings": ratings})
+    _, assessments, _ = unpack_payloads(spark.createDataFrame([call("a", "assessment", 0, body, None)], PAYLOAD))
+    row = assessments.first()
+    assert row.text_assessment.ratings.harmful.bool_value is True
+    assert row.retrieval_assessment.ratings.retrieval_recall_at_3.double_value == 0.5
+    assert row.retrieval_assessment.ratings.retrieval_recall_at_1 is None
+
+
 def test_streams_equal_batches_and_reruns_add_nothing(spark, tmp_path):
     folder = str(tmp_path / "in")
     write(spark, batch_one(), folder)
