@@ -214,10 +214,9 @@ def near_duplicates(
         "root", F.coalesce("root", "fp")
     )
     named = freeze(rooted.select("fp", "root", "least"), "simhash-roots")
-    merged = named.filter("root != fp").select("root").distinct()
-    least = named.join(merged, "root", "left_semi").groupBy("root").agg(F.min("least").alias("component_id"))
-    alone = named.join(merged, "root", "left_anti").select("fp", F.col("least").alias("component_id"))
-    mapping = freeze(named.join(least, "root").select("fp", "component_id").unionByName(alone), "simhash-map")
+    # Stored, so that the join can split a component that holds many fingerprints.
+    groups = freeze(named.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-groups")
+    mapping = freeze(named.join(groups, "root").select("fp", "component_id"), "simhash-map")
     return rows.join(mapping, "fp").select("id", "fp", "component_id")
 
 
