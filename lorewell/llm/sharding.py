@@ -1,10 +1,10 @@
 """Sharding by a two-pass external shuffle, with built-in expressions only.
 
 Pass one scatters records uniformly into buckets that fit in memory, by a seeded
-hash of their position, and writes them. Pass two gathers each bucket, permutes
-it by Fisher-Yates (the built-in `shuffle`) and lays the buckets one after the
-other; shards are equal ranges of the resulting positions, so their row counts
-differ by at most one.
+hash of their position, and writes them. Pass two gathers each bucket, gives its
+records the places of a Fisher-Yates permutation (the built-in `shuffle` of their
+numbers) and lays the buckets one after the other; shards are equal ranges of the
+resulting positions, so their row counts differ by at most one.
 
 Positions are fixed by the first write and permutations by a second, small one,
 so a retried task repeats them. Equal rows are separate records and scatter like
@@ -16,13 +16,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import let
 from .scratch import column, free_name, freeze
 
 BUCKET_BYTES = 8 << 20
 ROW_BYTES = 16
 SEED = 42
 BUCKETS_A_GROUP = 4096
+# Buckets share tasks beyond this number of them.
+MOST_PARTITIONS = 100_000
 
 
 def record_size(text_col: str) -> Column:
@@ -57,28 +58,22 @@ def shard(
     )
     counts = freeze(scattered.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "buckets")
     n_rows = counts.agg(F.sum("n")).first()[0] or 0
-    order = F.shuffle(F.sequence(F.lit(0), (F.col("n") - 1).cast("int")), seed)
+    places = F.shuffle(F.sequence(F.lit(0), (F.col("n") - 1).cast("int")), seed)
     permutations = freeze(
-        _starts(counts).repartition("bucket").sortWithinPartitions("bucket").select("bucket", "start", order.alias("order")),
+        _starts(counts).repartition("bucket").sortWithinPartitions("bucket").select("bucket", "start", places.alias("places")),
         "permutations",
     )
-    parts = min(n_buckets, 100_000)
-    gathered = (
-        scattered.repartition(parts, "bucket").groupBy("bucket")
-        .agg(F.collect_list(F.struct("place", "record")).alias("rows"))
-        .join(permutations, "bucket")
+    # Records stay rows all the way; only a bucket's permutation is one value.
+    gathered = scattered.repartition(min(n_buckets, MOST_PARTITIONS), "bucket")
+    number = F.row_number().over(Window.partitionBy("bucket").orderBy("place")) - 1
+    laid = gathered.withColumn("number", number).join(permutations, "bucket").select(
+        "record", (F.col("start") + F.get("places", F.col("number"))).alias("at")
     )
-    by_place = F.array_sort(
-        F.col("rows"), lambda a, b: F.when(a["place"] < b["place"], -1).when(a["place"] > b["place"], 1).otherwise(0)
-    )
-    permuted = let(by_place, lambda rows: F.transform(F.col("order"), lambda i: F.get(rows, i)["record"]))
-    laid = gathered.select("start", F.posexplode(permuted).alias("at", "record"))
-    position = F.col("start") + F.col("at")
-    number = F.expr(f"(start + at) * {n_shards} div {max(n_rows, 1)}")
+    shard_no = F.expr(f"at * {n_shards} div {max(n_rows, 1)}")
     first = F.expr(f"(shard_no * {n_rows} + {n_shards - 1}) div {n_shards}")
     return (
-        laid.withColumn("shard_no", number)
-        .withColumn("slot_no", position - first)
+        laid.withColumn("shard_no", shard_no)
+        .withColumn("slot_no", F.col("at") - first)
         .select("record.*", F.col("shard_no").cast("int").alias(shard_name), F.col("slot_no").cast("long").alias(slot_name))
     )
 
