@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -61,6 +62,10 @@ def values_over_join(assessments: DataFrame, requests: DataFrame, value: str) ->
     )
 
 
+# Distinct values ranked in one task at most, about.
+ROWS_A_RANGE = 1_000_000
+
+
 def exact_quantiles(
     counted: DataFrame,
     group: str,
@@ -72,14 +77,20 @@ def exact_quantiles(
 ) -> DataFrame:
     """Quantiles with linear interpolation from distinct values and their counts.
 
-    Values are range-partitioned over the whole cluster and stored with their
+    Values are range-partitioned over the whole cluster, in ranges whose number
+    follows that of the values, and stored with their
     partition number. Row counts per (group, partition) then tell which few
     partitions hold the wanted positions; only those are ranked. No group is
     ever gathered in one task. Runs jobs while the plan is built.
     """
     present = counted.filter(F.col(value).isNotNull())
     session = counted.sparkSession
-    n_ranges = ranges or int(session.conf.get("spark.sql.shuffle.partitions"))
+    n_ranges = ranges
+    if n_ranges is None:
+        present = freeze(present, "counts")
+        n_ranges = max(
+            int(session.conf.get("spark.sql.shuffle.partitions")), math.ceil(present.count() / ROWS_A_RANGE)
+        )
     spread = present.repartitionByRange(n_ranges, F.col(group), F.col(value)).withColumn(
         "_part", F.spark_partition_id()
     )

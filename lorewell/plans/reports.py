@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import SAMPLE_REQUESTS, TOP_EXAMPLES
 from ..functions.text import version_number
 from ..operators import aggregates, reshape
-from ..operators.joins import assessments_with_requests
+from ..operators.joins import BROADCAST_BYTES, assessments_with_requests, measured_bytes
 from ..operators.ranking import top_joined, top_per_group
 from ..operators.versions import ALL_VERSIONS, distinct_versions, select_versions
 from ..schemas import RANK_CUTOFFS, RANK_METRICS, rank_metric_name
+from ..sources.scratch import freeze
 
 Versions = Sequence[str] | None
 
@@ -203,20 +204,28 @@ def review_queue(
     """Requests picked for review, with their latest verdicts, worst first.
 
     The verdict is the score with the newest time stamp, so the log may be raw
-    or deduplicated. `per_version` limits the queue of each version.
+    or deduplicated. `per_version` limits the queue of each version. The picked
+    requests are stored and measured; both logs are cut to them before anything
+    is summed or made distinct.
     """
     metrics = ("harmful", "relevant_to_question_and_context", "faithful_to_context")
-    columns = []
+    columns, rated = [], F.lit(False)
     for m in metrics:
         score = F.col(f"text_assessment.ratings.{m}.double_value")
+        rated = rated | score.isNotNull()
         when = F.when(score.isNotNull(), F.struct(F.col("ts"), F.col("step_id"), score))
         columns.append(F.max_by(score, when).alias(m))
-    scores = assessments.groupBy("request_id").agg(*columns)
+    picked = freeze(review_requests.select("request_id", "app_version_id").distinct(), "picked")
+    ids = picked.select("request_id").distinct()
+    few = measured_bytes(picked) <= BROADCAST_BYTES
+    scores = (
+        assessments.filter(rated).join(F.broadcast(ids) if few else ids, "request_id", "left_semi")
+        .groupBy("request_id").agg(*columns)
+    )
     logged = requests.select(
         F.col("request.request_id").alias("request_id"),
         F.col("trace.app_version_id").alias("app_version_id"),
-    ).distinct()
-    picked = review_requests.select("request_id", "app_version_id").distinct()
+    ).join(F.broadcast(picked) if few else picked, ["request_id", "app_version_id"], "left_semi").distinct()
     queue = picked.join(logged, ["request_id", "app_version_id"]).join(scores, "request_id", "left")
     if per_version is None:
         return queue
