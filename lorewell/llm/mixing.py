@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from .scratch import column, free_name, freeze, partitions_for
+from .scratch import column, free_name, freeze, freeze_python, partitions_for
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -227,7 +227,7 @@ def mix(
         dealt = rows.repartition(partitions_for(docs), column(key), column(block)).sortWithinPartitions(
             column(key), column(block), column(order)
         )
-        return freeze(dealt.mapInArrow(_fly((key, block), p, words, seed, land), dealt.schema), "flight")
+        return freeze_python(dealt.mapInArrow(_fly((key, block), p, words, seed, land), dealt.schema), "flight")
 
     done = []
     rows, land = units, False

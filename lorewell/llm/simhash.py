@@ -22,7 +22,7 @@ from pyspark.sql.types import LongType
 
 from . import words as W
 from .components import star_components
-from .scratch import column, free_name, freeze, partitions_for
+from .scratch import column, free_name, freeze, freeze_python, partitions_for
 from .xxh64 import xxh64
 
 SHINGLE = 3
@@ -207,7 +207,7 @@ def near_duplicates(
     shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED,
 ) -> DataFrame:
     """One row per document: (id, `fp` signed long, `component_id` least id reachable)."""
-    rows = freeze(docs.select(column(id_col).alias("id"), fingerprint(column(text_col), shingle, seed).alias("fp")), "simhash")
+    rows = freeze_python(docs.select(column(id_col).alias("id"), fingerprint(column(text_col), shingle, seed).alias("fp")), "simhash")
     nodes = freeze(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
     roots = star_components(links(nodes, "fp", radius))
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import words as W
-from .scratch import column, free_name, freeze, partitions_for
+from .scratch import column, free_name, freeze, freeze_python, partitions_for
 
 K = 20
 M = 5
@@ -111,7 +111,7 @@ def hot_grams(keyed: DataFrame, m: int, share: float) -> np.ndarray:
                 )
 
     counted = keyed.select("text").mapInArrow(count, "gram long, n long, positions long")
-    sums = freeze(counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("positions").alias("positions")), "grams")
+    sums = freeze_python(counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("positions").alias("positions")), "grams")
     total = sums.agg(F.sum("positions")).first()[0] or 0
     hot = sums.filter(F.col("n") > share / 2 * total).filter("n > 1").select("gram").collect()
     return np.sort(np.array([r["gram"] for r in hot], np.int64).view(np.uint64))
@@ -406,7 +406,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     dealt = pieces.repartition(partitions_for(docs), "anchor").sortWithinPartitions(
         "anchor", F.col("id").asc_nulls_last(), "key", "start"
     )
-    found = freeze(
+    found = freeze_python(
         dealt.mapInArrow(
             _resolver(GROUP_EDGES),
             f"id {kind}, key int, start int, length int, src_id {kind}, src_key int, src_start int, anchor long, edge long",
