@@ -353,8 +353,12 @@ def knn_grouped_top5(spark, sf_dir):
     return _round(_neighbours(spark, sf_dir, broadcast_bytes=0, group_bytes=256 << 10), "score")
 
 
+# Tables and bits: recall at 5 is over 0.95 on the test vectors, which have no structure.
+LSH = (40, 5)
+
+
 def knn_lsh(spark, sf_dir):
-    return _neighbours(spark, sf_dir, lsh=(6, 3))
+    return _neighbours(spark, sf_dir, lsh=LSH)
 
 
 def index_sync(spark, sf_dir):

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import knn_exact_top5, knn_lsh
 from lorewell.operators import knn, mmr
 from lorewell.operators.embed import embed_text
 
@@ -74,6 +75,12 @@ def test_lsh_scores_are_exact_and_recall_is_high(spark, mode):
     assert len(best & {(r.query_id, r.chunk_id) for r in found}) / len(best) > 0.8
 
 
+def test_registered_lsh_finds_the_exact_neighbours(spark):
+    pairs = lambda query: {(r.query_id, r.chunk_id) for r in query(spark, "/root/testdata/sf0.01").collect()}
+    exact = pairs(knn_exact_top5)
+    assert len(exact) == 5 * 500 and len(exact & pairs(knn_lsh)) / len(exact) >= 0.95
+
+
 def test_no_pair_join_in_the_plan(spark, data):
     queries, corpus = data
     q, c = frame(spark, queries, "q"), frame(spark, corpus, "chunk_id")
