@@ -5,8 +5,9 @@ Each stage works on all rows the one before kept, returns the columns of
 decisions:
 
 1. quality_rules: failed lines leave the texts, rejected documents go.
-2. near_duplicates: of documents linked by a five-word Jaccard similarity of 0.8 or more, one row stays,
-   that of the least id.
+2. near_duplicates: the SimHash operator (operator 7) with its own contract,
+   3-word shingles and at most 2 differing bits; of each component one row
+   stays, that of the least id (null ids last, then the first stored row).
 3. decontamination: documents with a verbatim benchmark passage go.
 4. source_mix: documents stay, go or repeat as the source targets ask.
 5. sharding: rows in random order over equal shards.
@@ -19,13 +20,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lorewell.llm import decontaminate, mixing, near, quality, sharding
+from lorewell.llm import decontaminate, mixing, quality, sharding, simhash
 from lorewell.llm.scratch import column, free_name, freeze
 from lorewell.sources.shipping import ship_package
 
 N_SHARDS = 40
 
-# Not SQL: shingle sets, balanced sampling and random order.
+# Not SQL: SimHash components, balanced sampling and random order.
 ORACLE_SQL = None
 
 
@@ -35,8 +36,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each SimHash component stays (`simhash.SHINGLE`, `simhash.RADIUS`).
+
+    Rows are told apart by a stored key, so repeated rows and rows with a null
+    id are decided one by one: the row of least (id is null, id, key) stays.
+    A null or empty text has fingerprint zero and links like any other; an
+    empty table gives an empty table; the input's columns come back unchanged,
+    whatever their names.
+    """
     ship_package(spark)
-    return near.keep_one(docs)
+    key = free_name("row_key", docs.columns)
+    order = F.struct(
+        column("doc_id").isNull().alias("no_id"), column("doc_id").alias("id"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    keyed = freeze(docs.withColumn(key, order), "near-rows")
+    found = simhash.near_duplicates(keyed, key, "text", shingle=simhash.SHINGLE, radius=simhash.RADIUS)
+    kept = found.filter("id = component_id").select(F.col("id").alias(key))
+    return keyed.join(kept, key, "left_semi").select(*[column(c) for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
