@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.scratch import scratch_path
-from . import decontaminate, layout, line_dedup, mixing, packing, quality, sharding, simhash, substring_dedup, warc
+from . import decontaminate, divergence, layout, line_dedup, mixing, packing, quality, sharding, simhash, substring_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -266,3 +266,53 @@ ORACLES = {
     "op6_warc": OP6_SQL,
     "op10_line_dedup": OP10_SQL,
 }
+
+
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("text", "lang", "source")
+    return divergence.audit(docs).select(
+        "lang", "source", "part", "item", F.col("value").cast("long").alias("value"), F.col("rank").cast("int").alias("rank")
+    )
+
+
+OP11_SQL = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), '{divergence.UPPER}', '{divergence.LOWER}'),
+                              '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+    FROM documents),
+occ AS (SELECT rid, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term FROM occ GROUP BY lang, term HAVING count(DISTINCT rid) >= {divergence.MIN_DF}),
+vsize AS (SELECT l.lang, count(k.term) AS V FROM (SELECT DISTINCT lang FROM d) l LEFT JOIN kept k USING (lang) GROUP BY l.lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+cnt AS (SELECT o.lang, o.source, o.term, count(*) AS c FROM occ o JOIN kept k USING (lang, term) GROUP BY ALL),
+gn AS (SELECT g.lang, g.source, coalesce(sum(c.c), 0) AS N, any_value(v.V) AS V
+       FROM groups g JOIN vsize v USING (lang) LEFT JOIN cnt c USING (lang, source) GROUP BY g.lang, g.source),
+grid AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+           1 + (CAST({divergence.SCALE} AS HUGEINT) * (coalesce(c.c, 0) + 1)) // (g.N + g.V) AS p
+    FROM gn g JOIN kept k USING (lang) LEFT JOIN cnt c USING (lang, source, term)),
+ln AS (SELECT lang, sum(N) AS N, any_value(V) AS V FROM gn GROUP BY lang),
+lp AS (
+    SELECT k.lang, k.term, 1 + (CAST({divergence.SCALE} AS HUGEINT) * (coalesce(s.c, 0) + 1)) // (l.N + l.V) AS q
+    FROM kept k JOIN ln l USING (lang)
+    LEFT JOIN (SELECT lang, term, sum(c) AS c FROM cnt GROUP BY ALL) s USING (lang, term)),
+fsum AS (
+    SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // y.p) AS f
+    FROM grid x JOIN grid y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+pair AS (
+    SELECT a.lang, a.source, b.source AS item, CAST(coalesce(s.f, 0) AS BIGINT) AS value
+    FROM gn a JOIN gn b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN fsum s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+term AS (
+    SELECT g.lang, g.source, g.term AS item, CAST(((g.p - l.q) * (g.p - l.q)) // l.q AS BIGINT) AS value
+    FROM grid g JOIN lp l USING (lang, term) WHERE g.c > 0 AND g.p > l.q),
+ranked AS (
+    SELECT lang, source, part, item, value,
+           CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item) ASC) AS INTEGER) AS rank
+    FROM (SELECT *, 'pair' AS part FROM pair UNION ALL SELECT *, 'term' AS part FROM term))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}
+"""
+
+QUERIES["op11_divergence"] = op11_divergence
+ORACLES["op11_divergence"] = OP11_SQL
