@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.scratch import scratch_path
-from . import decontaminate, divergence, layout, line_dedup, mixing, packing, quality, sharding, simhash, substring_dedup, warc
+from . import decontaminate, divergence, layout, line_dedup, lp_packing, mixing, packing, quality, sharding, simhash, substring_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -316,3 +316,15 @@ SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR
 
 QUERIES["op11_divergence"] = op11_divergence
 ORACLES["op11_divergence"] = OP11_SQL
+
+
+def op13_lp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lp_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).select(
+        "doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+QUERIES["op13_lp_packing"] = op13_lp_packing
