@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.scratch import scratch_path
-from . import decontaminate, divergence, layout, line_dedup, lp_packing, mixing, packing, quality, sharding, simhash, substring_dedup, warc
+from . import alignment, decontaminate, divergence, layout, line_dedup, lp_packing, mixing, packing, quality, sharding, simhash, substring_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -328,3 +328,13 @@ def op13_lp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op13_lp_packing"] = op13_lp_packing
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES["op12_alignment"] = op12_alignment
