@@ -519,6 +519,7 @@ ORACLES = {
         FROM labels WHERE (quality = 1) <> (toxic = 0)""",
     "knn_exact_top5": KNN,
     "knn_grouped_top5": KNN,
+    "knn_cells_top5": KNN,
     "retrieval_metrics": _retrieval_metrics(),
     "truth_metrics": _truth_metrics(),
     "mmr_rerank": _mmr(20, 5, 0.5),

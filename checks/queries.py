@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lorewell.config import AnswerConfig, CorpusConfig
 from lorewell.functions import chat, html, text
-from lorewell.operators import aggregates, chunking, joins, knn, messages, metrics, reshape
+from lorewell.operators import aggregates, chunking, ivf, joins, knn, messages, metrics, reshape
 from lorewell.operators.dedup import latest_per_period
 from lorewell.operators.embed import embed_text
 from lorewell.operators.mmr import mmr_rerank
@@ -361,6 +361,13 @@ def knn_lsh(spark, sf_dir):
     return _neighbours(spark, sf_dir, lsh=LSH)
 
 
+def knn_cells_top5(spark, sf_dir):
+    """Exact top 5 through k-means cells: only cells whose bound reaches the k-th score are read."""
+    index = ivf.build(fx.vectors(spark, sf_dir))
+    found = ivf.nearest(index, _self_queries(spark, sf_dir), 5, exclude_same_id=True)
+    return _round(found, "score")
+
+
 def index_sync(spark, sf_dir):
     """An index of good documents turned into one of harmless ones, by a second batch."""
     labels = fx.table(spark, sf_dir, "labels")
@@ -759,6 +766,7 @@ QUERIES = {
     "knn_grouped_top5": knn_grouped_top5,
     "index_sync": index_sync,
     "knn_lsh": knn_lsh,
+    "knn_cells_top5": knn_cells_top5,
     "mmr_rerank": mmr_rerank_query,
     "retrieval_metrics": retrieval_metrics,
     "truth_metrics": truth_metrics,

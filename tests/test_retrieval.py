@@ -123,3 +123,41 @@ def test_embedder_gets_instruction_and_batches(spark):
     df = spark.range(10).select(F.col("id").cast("string").alias("text")).coalesce(1)
     out = embed_text(df, instruction="find:", make_embedder=make, batch_size=3).collect()
     assert {tuple(r.embedding) for r in out} == {(7.0, 1.0)}
+
+
+def _clustered(n_clusters=40, per=50, dim=16, seed=11):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((n_clusters, dim)) * 4
+    rows = []
+    for c in range(n_clusters):
+        for v in centres[c] + rng.standard_normal((per, dim)) * 0.2:
+            rows.append((len(rows), [float(x) for x in v]))
+    return rows
+
+
+def test_cell_index_equals_exact_search_and_skips_cells(spark):
+    from lorewell.operators import ivf
+
+    rows = _clustered()
+    c = spark.createDataFrame(rows, "chunk_id long, embedding array<double>")
+    q = c.select(F.col("chunk_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    index = ivf.build(c, cells=40)
+    got = sorted((r.query_id, r.chunk_id, round(r.score, 6), r.rank) for r in ivf.nearest(index, q, 5, exclude_same_id=True).collect())
+    want = sorted((r.query_id, r.chunk_id, round(r.score, 6), r.rank) for r in knn.nearest(q, c, 5, exclude_same_id=True).collect())
+    assert got == want
+    share = ivf.scored_pairs(index, q, 5) / len(rows) ** 2
+    assert share < 0.15
+
+
+def test_cell_index_on_odd_input(spark):
+    from lorewell.operators import ivf
+
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [0.0, 1.0]), (5, [0.5, 0.5])]
+    c = spark.createDataFrame(rows, "chunk_id long, embedding array<double>")
+    q = c.select(F.col("chunk_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    index = ivf.build(c, cells=2)
+    got = sorted(tuple(r) for r in ivf.nearest(index, q, 2, exclude_same_id=True).collect())
+    want = sorted(tuple(r) for r in knn.nearest(q, c, 2, exclude_same_id=True).collect())
+    assert got == want
+    empty = ivf.build(c.limit(0))
+    assert ivf.nearest(empty, q, 2).count() == 0
