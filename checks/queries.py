@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lorewell.config import AnswerConfig, CorpusConfig
 from lorewell.functions import chat, html, text
-from lorewell.operators import aggregates, chunking, ivf, joins, knn, messages, metrics, reshape
+from lorewell.operators import aggregates, chunking, harm_model, ivf, joins, knn, messages, metrics, reshape
 from lorewell.operators.dedup import latest_per_period
 from lorewell.operators.embed import embed_text
 from lorewell.operators.mmr import mmr_rerank
@@ -521,6 +521,30 @@ def harmful_terms(spark, sf_dir):
     )
 
 
+def _harm_fit(spark, sf_dir):
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+    labelled = fx.table(spark, sf_dir, "labels").select("doc_id", "toxic").join(docs, "doc_id")
+    return harm_model.fit(labelled), docs, labelled
+
+
+def harm_model_scores(spark, sf_dir):
+    """Every document scored by the classifier fitted on the labelled ones."""
+    model, docs, _ = _harm_fit(spark, sf_dir)
+    scored = harm_model.score(model, docs)
+    return scored.select("doc_id", F.round("harm_score", 6).alias("harm_score"),
+                         (F.col("harm_score") >= 0.5).alias("harmful"))
+
+
+def harm_model_auc(spark, sf_dir):
+    """Held-out AUC of the fitted classifier and of the word list, on the same rows."""
+    model, _, labelled = _harm_fit(spark, sf_dir)
+    test = labelled.filter(harm_model.held_out())
+    scored = harm_model.score(model, test).withColumn("words", metrics.harm_share("text"))
+    rows = [("fitted", harm_model.auc(scored, "harm_score")), ("word_list", harm_model.auc(scored, "words"))]
+    n = test.count()
+    return spark.createDataFrame([(m, float(a), n) for m, a in rows], "method string, auc double, held_out long")
+
+
 def run_eval_long(spark, sf_dir):
     rated = evaluation.ratings_long(evaluation.run_eval(fx.request_log(spark, sf_dir, spread=True)))
     return rated.select(
@@ -784,6 +808,8 @@ QUERIES = {
     "lexical_relevant": lexical_relevant,
     "answer_token_f1": answer_token_f1,
     "harmful_terms": harmful_terms,
+    "harm_model_scores": harm_model_scores,
+    "harm_model_auc": harm_model_auc,
     "run_eval_long": run_eval_long,
     "offline_predictions": offline_predictions,
     "offline_rank_metrics": offline_rank_metrics,

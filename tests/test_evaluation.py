@@ -272,3 +272,19 @@ def test_offline_evaluation(spark, chunks, tmp_path, monkeypatch):
     monkeypatch.setattr(evaluation, "run_eval", real)
     assert run(2) == "overwrite"
     assert spark.read.parquet(names[1]).count() == 3
+
+
+def test_harm_model_scores_from_stored_weights(spark):
+    from lorewell.operators import harm_model
+
+    rows = [(i, ("you are a vile idiot " if i % 3 == 0 else "the weather is mild today ") + f"w{i}", int(i % 3 == 0)) for i in range(60)]
+    rows += [(100, None, 0), (101, "", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = harm_model.fit(df)
+    mine = {r.doc_id: r.harm_score for r in harm_model.score(model, df).collect()}
+    own = model.pipeline.transform(df.withColumn("_text", F.coalesce("text", F.lit(""))))
+    theirs = {r.doc_id: float(r._prob[1]) for r in own.collect()}
+    assert all(abs(mine[d] - theirs[d]) < 1e-9 for d in theirs)
+    assert mine[100] == mine[101]
+    test = df.filter(harm_model.held_out())
+    assert harm_model.auc(harm_model.score(model, test), "harm_score") > 0.9
