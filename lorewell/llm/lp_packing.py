@@ -1,7 +1,8 @@
 """Best-fit packing of token pieces by a configuration linear program.
 
-Documents are encoded (byte-level BPE of `tokenizers`, no special tokens
-added) and end with id `EOS`. A document longer than `CAPACITY` is cut into
+Documents are encoded (the byte-level BPE of a `tokenizers` JSON file, no
+special tokens added; ids computed by `bpe.ByteBPE`, equal to those of
+`tokenizers`) and end with id `EOS`. A document longer than `CAPACITY` is cut into
 pieces of `CAPACITY` tokens, the first piece taking the remainder; no token is
 dropped. The packing is planned on the histogram of piece lengths, which has at
 most `CAPACITY` entries at any data size:
@@ -41,6 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .bpe import ByteBPE
 from .scratch import column, freeze, freeze_python
 
 # Fixed by the contract.
@@ -52,6 +54,8 @@ ETA = 16.0
 MAX_ROUNDS = 4000
 KEEP_WASTE = 0
 RANK_BLOCK = 1 << 16
+# Characters of text encoded at once.
+ENCODE_CHARS = 1 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, local long"
 _ARROW = pa.schema([
@@ -68,10 +72,16 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n, capacity)]
 
 
-def _encoder(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
+def _slices(texts: list, limit: int):
+    """Row ranges of about `limit` characters of text each (a long text alone)."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= limit:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
 
 
 def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -81,24 +91,26 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     def encode(batches):
         from pyspark import TaskContext
 
-        tok, seen = _encoder(vocabulary), {}
+        tok, seen = ByteBPE(vocabulary), {}
         part = TaskContext.get().partitionId()
         for batch in batches:
-            ids_in, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            enc = tok.encode_batch([t or "" for t in texts], add_special_tokens=False)
-            out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "part", "local")}
-            for d, e in zip(ids_in, enc):
-                ids = np.asarray(e.ids + [EOS], "<u4")
-                for k, (s, n) in enumerate(cut(len(ids))):
-                    out["doc_id"].append(d)
-                    out["piece"].append(k)
-                    out["start"].append(s)
-                    out["length"].append(n)
-                    out["ids_crc32"].append(zlib.crc32(ids[s : s + n].tobytes()))
-                    out["part"].append(part)
-                    out["local"].append(seen.get(n, 0))
-                    seen[n] = seen.get(n, 0) + 1
-            yield pa.RecordBatch.from_pydict(out, schema=_ARROW)
+            all_ids, all_texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for lo, hi in _slices(all_texts, ENCODE_CHARS):
+                ids_in, texts = all_ids[lo:hi], all_texts[lo:hi]
+                enc = tok.encode([t or "" for t in texts])
+                out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "part", "local")}
+                for d, e in zip(ids_in, enc):
+                    ids = np.asarray(e + [EOS], "<u4")
+                    for k, (s, n) in enumerate(cut(len(ids))):
+                        out["doc_id"].append(d)
+                        out["piece"].append(k)
+                        out["start"].append(s)
+                        out["length"].append(n)
+                        out["ids_crc32"].append(zlib.crc32(ids[s : s + n].tobytes()))
+                        out["part"].append(part)
+                        out["local"].append(seen.get(n, 0))
+                        seen[n] = seen.get(n, 0) + 1
+                yield pa.RecordBatch.from_pydict(out, schema=_ARROW)
 
     src = docs.select(column(id_col).cast("long"), column(text_col).cast("string"))
     return src.mapInArrow(encode, PIECES)
