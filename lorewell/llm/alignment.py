@@ -1,6 +1,7 @@
 """Cross-tokenizer alignment by merge-path partitioning.
 
-Each document is encoded twice: `space + text` by a byte-level BPE (A) and
+Each document is encoded twice: `space + text` by a byte-level BPE (A; its
+`tokenizers` JSON vocabulary, ids computed by `bpe.ByteBPE`) and
 `text` by a SentencePiece model that adds the space itself (B). A token's bytes
 are A's byte-level string decoded, or B's piece in UTF-8 with U+2581 as a
 space and `<0xHH>` as byte HH. Both token sequences cover the same bytes;
@@ -11,7 +12,8 @@ Merge path. Merging the two end lists (A first on equal offsets) is cut into
 pieces of at most `PIECE` merged elements: for each diagonal d = k * PIECE a
 binary search finds the split (i, j), i + j = d, of A and B; a split that
 would part an A end from the equal B end right after it moves by one. Pieces
-are independent rows of Spark (long documents spread over tasks); each finds
+are independent rows of Spark, written by the encoding task (each row holds
+at most PIECE tokens) and dealt over tasks by (document, piece); each finds
 its common ends and writes its links and the text of its groups in three
 fragments: the head (the group that started in an earlier piece), the body
 (complete groups) and the tail (a group that continues). Fragments are
@@ -39,15 +41,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .bpe import ByteBPE
 from .scratch import column, freeze, freeze_python, partitions_for
 
-# Merged elements per piece; pair counts broadcast up to this many rows.
-PIECE = 1 << 14
+# Merged elements per piece; pair counts broadcast up to this many rows;
+# bytes of text encoded at once (the encoders hold several times that).
+PIECE = 1 << 11
 BROADCAST_PAIRS = 1 << 20
+ENCODE_BYTES = 1 << 20
 
-DOCS = (
-    "key long, doc_id long, n_a long, n_b long, total long, a_ids array<int>, a_ends array<long>, "
-    "b_ids array<int>, b_ends array<long>, cut_i array<long>, cut_j array<long>"
+PIECES = (
+    "key long, doc_id long, n_a long, n_b long, total long, piece int, "
+    "a_ids array<int>, a_ends array<long>, b_ids array<int>, b_ends array<long>"
 )
 PARTS = (
     "key long, piece int, n_cuts long, links array<struct<a:int,b:int>>, "
@@ -55,20 +60,6 @@ PARTS = (
 )
 
 
-def byte_level_table() -> dict[str, int]:
-    """The byte-level BPE alphabet: character -> byte. Printable Latin-1 bytes
-    stand for themselves; the others take code points from 256 on, in order."""
-    keep = list(range(ord("!"), ord("~") + 1)) + list(range(ord("¡"), ord("¬") + 1)) + list(range(ord("®"), ord("ÿ") + 1))
-    table, extra = {}, 0
-    for b in range(256):
-        if b in keep:
-            table[chr(b)] = b
-        else:
-            table[chr(256 + extra)] = b
-            extra += 1
-    return table
-
-
 _BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 
 
@@ -77,16 +68,10 @@ class Encoders:
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
+        self.a = ByteBPE(a_path)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        chars = byte_level_table()
-        vocab = self.a.get_vocab()
-        self.a_bytes = [b""] * (max(vocab.values()) + 1)
-        for token, i in vocab.items():
-            self.a_bytes[i] = bytes(chars[c] for c in token) if all(c in chars for c in token) else token.encode()
+        self.a_bytes = self.a.token_bytes
         self.b_bytes = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
@@ -98,18 +83,18 @@ class Encoders:
     def encode(self, texts: list[str | None]):
         """Per text: (A ids, A ends, B ids, B ends), empty when not aligned."""
         live = [i for i, t in enumerate(texts) if t]
-        a_enc = self.a.encode_batch([" " + texts[i] for i in live], add_special_tokens=False)
+        a_enc = self.a.encode([" " + texts[i] for i in live], added_as_text=True)
         b_enc = self.b.encode([texts[i] for i in live])
         empty = (np.zeros(0, np.int32), np.zeros(0, np.int64)) * 2
         out = [empty] * len(texts)
         for i, ea, eb in zip(live, a_enc, b_enc):
             target = (" " + texts[i]).encode()
-            a_ids, b_ids = np.asarray(ea.ids, np.int32), np.asarray(eb, np.int32)
+            a_ids, b_ids = np.asarray(ea, np.int32), np.asarray(eb, np.int32)
             a_ends, b_ends = np.cumsum(self.a_len[a_ids]), np.cumsum(self.b_len[b_ids])
             if (
                 len(a_ids) and len(b_ids) and a_ends[-1] == len(target) == b_ends[-1]
-                and b"".join(self.a_bytes[k] for k in a_ids) == target
-                and b"".join(self.b_bytes[k] for k in b_ids) == target
+                and self.a.encoding.decode_bytes(ea) == target
+                and b"".join(map(self.b_bytes.__getitem__, eb)) == target
             ):
                 out[i] = (a_ids, a_ends, b_ids, b_ends)
         return out
@@ -149,36 +134,52 @@ def splits(a: np.ndarray, b: np.ndarray, piece: int = PIECE) -> tuple[list[int],
 
 
 def encoded(docs: DataFrame, a_path: str, b_path: str, piece: int = PIECE) -> DataFrame:
-    """One row per document with both token lists and the merge-path splits."""
+    """One row per merge-path piece of a document, with its slices of both token
+    lists (a document without tokens keeps one row, piece 0, empty lists)."""
 
     def run(batches):
         enc = Encoders(a_path, b_path)
         for batch in batches:
-            keys, ids, texts = (batch.column(k).to_pylist() for k in range(3))
-            rows = {k: [] for k in ("key", "doc_id", "n_a", "n_b", "total", "a_ids", "a_ends", "b_ids", "b_ends", "cut_i", "cut_j")}
-            for key, d, (a_ids, a_ends, b_ids, b_ends) in zip(keys, ids, enc.encode(texts)):
-                ci, cj = splits(a_ends, b_ends, piece)
-                rows["key"].append(key)
-                rows["doc_id"].append(d)
-                rows["n_a"].append(len(a_ids))
-                rows["n_b"].append(len(b_ids))
-                rows["total"].append(int(a_ends[-1]) if len(a_ends) else 0)
-                rows["a_ids"].append(a_ids)
-                rows["a_ends"].append(a_ends)
-                rows["b_ids"].append(b_ids)
-                rows["b_ends"].append(b_ends)
-                rows["cut_i"].append(ci)
-                rows["cut_j"].append(cj)
-            yield pa.RecordBatch.from_pydict(rows, schema=_DOCS_ARROW)
+            yield from _encode_batch(enc, batch, piece)
 
     keyed = docs.select(F.monotonically_increasing_id().alias("key"), column("doc_id").cast("long"), column("text").cast("string"))
-    return keyed.mapInArrow(run, DOCS)
-
-
-_DOCS_ARROW = pa.schema([
+    return keyed.mapInArrow(run, PIECES)
+
+
+def _slices(texts: list[str | None], limit: int = ENCODE_BYTES):
+    """Row ranges of about `limit` characters of text each (one long text alone)."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= limit:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def _encode_batch(enc: "Encoders", batch: pa.RecordBatch, piece: int):
+    all_keys, all_ids, all_texts = (batch.column(k).to_pylist() for k in range(3))
+    names = ("key", "doc_id", "n_a", "n_b", "total", "piece", "a_ids", "a_ends", "b_ids", "b_ends")
+    for lo, hi in _slices(all_texts):
+        keys, ids, texts = all_keys[lo:hi], all_ids[lo:hi], all_texts[lo:hi]
+        rows = {k: [] for k in names}
+        for key, d, (a_ids, a_ends, b_ids, b_ends) in zip(keys, ids, enc.encode(texts)):
+            ci, cj = splits(a_ends, b_ends, piece)
+            bounds = list(zip(ci, ci[1:], cj, cj[1:])) or [(0, 0, 0, 0)]
+            for k, (i0, i1, j0, j1) in enumerate(bounds):
+                for name, value in zip(names, (
+                    key, d, len(a_ids), len(b_ids), int(a_ends[-1]) if len(a_ends) else 0, k,
+                    a_ids[i0:i1], a_ends[i0:i1], b_ids[j0:j1], b_ends[j0:j1],
+                )):
+                    rows[name].append(value)
+        yield pa.RecordBatch.from_pydict(rows, schema=_PIECES_ARROW)
+
+
+_PIECES_ARROW = pa.schema([
     ("key", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("total", pa.int64()),
-    ("a_ids", pa.list_(pa.int32())), ("a_ends", pa.list_(pa.int64())), ("b_ids", pa.list_(pa.int32())),
-    ("b_ends", pa.list_(pa.int64())), ("cut_i", pa.list_(pa.int64())), ("cut_j", pa.list_(pa.int64())),
+    ("piece", pa.int32()), ("a_ids", pa.list_(pa.int32())), ("a_ends", pa.list_(pa.int64())),
+    ("b_ids", pa.list_(pa.int32())), ("b_ends", pa.list_(pa.int64())),
 ])
 _PARTS_ARROW = pa.schema([
     ("key", pa.int64()), ("piece", pa.int32()), ("n_cuts", pa.int64()),
@@ -188,9 +189,8 @@ _PARTS_ARROW = pa.schema([
 
 
 def _elements(ids: np.ndarray, last_in_group: np.ndarray, end_sep: str, final: np.ndarray) -> list[str]:
-    sep = np.where(last_in_group, end_sep, ",")
-    sep = np.where(final, "", sep)
-    return [f"{i}{s}" for i, s in zip(ids.tolist(), sep.tolist())]
+    sep = np.where(final, "", np.where(last_in_group, end_sep, ",")).tolist()
+    return [i + p for i, p in zip(map(str, ids.tolist()), sep)]
 
 
 def piece_groups(a_ids, a_ends, b_ids, b_ends, total):
@@ -198,35 +198,22 @@ def piece_groups(a_ids, a_ends, b_ids, b_ends, total):
     common = np.intersect1d(a_ends, b_ends, assume_unique=True)
     a_cut, b_cut = np.isin(a_ends, common), np.isin(b_ends, common)
     links = list(zip(a_ids[a_cut].tolist(), b_ids[b_cut].tolist()))
-    # Local group of a token: cuts of this piece strictly before its end.
+    # Local group of a token: cuts of this piece strictly before its end. Both
+    # lists are sorted, so a group's tokens are one run of each.
     a_g = np.searchsorted(common, a_ends, side="left")
     b_g = np.searchsorted(common, b_ends, side="left")
     a_el = _elements(a_ids, a_cut, "|", np.zeros(len(a_ids), bool))
     b_el = _elements(b_ids, b_cut, ";", b_ends == total)
+    groups = np.unique(np.concatenate([a_g, b_g]))
+    a_lo, a_hi = np.searchsorted(a_g, groups, "left").tolist(), np.searchsorted(a_g, groups, "right").tolist()
+    b_lo, b_hi = np.searchsorted(b_g, groups, "left").tolist(), np.searchsorted(b_g, groups, "right").tolist()
     frags = []
-    for g in np.unique(np.concatenate([a_g, b_g])).tolist():
-        a_txt = "".join(a_el[k] for k in np.flatnonzero(a_g == g))
-        b_txt = "".join(b_el[k] for k in np.flatnonzero(b_g == g))
-        frags.append((g, 0, a_txt))
-        frags.append((g, 1, b_txt))
+    for g, al, ah, bl, bh in zip(groups.tolist(), a_lo, a_hi, b_lo, b_hi):
+        frags.append((g, 0, "".join(a_el[al:ah])))
+        frags.append((g, 1, "".join(b_el[bl:bh])))
     return links, len(common), frags
 
 
-def pieces(docs: DataFrame) -> DataFrame:
-    """One row per merge-path piece with its slices of both token lists."""
-    sl = lambda arr, lo, hi: F.slice(arr, (lo + 1).cast("int"), (hi - lo).cast("int"))
-    return docs.select(
-        "key", "total", "a_ids", "a_ends", "b_ids", "b_ends", "cut_i", "cut_j",
-        F.posexplode(F.slice("cut_i", 2, F.size("cut_i"))).alias("pos", "i1"),
-    ).select(
-        "key", "total", F.col("pos").cast("int").alias("piece"),
-        sl(F.col("a_ids"), F.col("cut_i")[F.col("pos")], F.col("i1")).alias("a_ids"),
-        sl(F.col("a_ends"), F.col("cut_i")[F.col("pos")], F.col("i1")).alias("a_ends"),
-        sl(F.col("b_ids"), F.col("cut_j")[F.col("pos")], F.col("cut_j")[F.col("pos") + 1]).alias("b_ids"),
-        sl(F.col("b_ends"), F.col("cut_j")[F.col("pos")], F.col("cut_j")[F.col("pos") + 1]).alias("b_ends"),
-    )
-
-
 def piece_results(parts: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
@@ -249,8 +236,9 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
           piece: int = PIECE) -> DataFrame:
     """Per document row: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     src = docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text"))
-    stored = freeze_python(encoded(src, a_path, b_path, piece), "align-docs")
-    spread = pieces(stored.filter("n_a > 0")).repartition(partitions_for(stored), "key", "piece")
+    stored = freeze_python(encoded(src, a_path, b_path, piece), "align-pieces-in")
+    spread = stored.filter("n_a > 0").select("key", "total", "piece", "a_ids", "a_ends", "b_ids", "b_ends")
+    spread = spread.repartition(partitions_for(stored), "key", "piece")
     done = freeze_python(piece_results(spread), "align-pieces")
     # Groups before a piece: running sum over the pieces of a document (few rows each).
     before = Window.partitionBy("key").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
@@ -273,7 +261,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
         F.sum(F.when(F.col("is_best"), F.col("n")).otherwise(0)).alias("n_best"),
         F.sum(F.col("n") * F.col("count")).alias("count_sum"),
     )
-    out = stored.select("key", "doc_id", "n_a", "n_b").join(summed, "key", "left").join(text, "key", "left")
+    out = stored.filter("piece = 0").select("key", "doc_id", "n_a", "n_b").join(summed, "key", "left").join(text, "key", "left")
     zero = F.lit(0).cast("long")
     return out.select(
         "doc_id", "n_a", "n_b",

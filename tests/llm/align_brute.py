@@ -3,6 +3,7 @@
 import hashlib
 
 import public_tokenizers
+from tokenizers import Tokenizer
 
 from lorewell.llm.alignment import Encoders
 
@@ -12,10 +13,17 @@ B = public_tokenizers.path("piece_bpe_32k.model")
 
 def brute(docs):
     enc = Encoders(A, B)
+    hf = Tokenizer.from_file(A)
+    hf.encode_special_tokens = True
     per = []
     for d, t in docs:
-        a_ids, a_ends, b_ids, b_ends = enc.encode([t])[0]
-        a, ae, b, be = list(map(int, a_ids)), list(map(int, a_ends)), list(map(int, b_ids)), list(map(int, b_ends))
+        a, b = (hf.encode(" " + t, add_special_tokens=False).ids, enc.b.encode(t)) if t else ([], [])
+        ab, bb = [enc.a_bytes[i] for i in a], [enc.b_bytes[i] for i in b]
+        target = (" " + (t or "")).encode()
+        if not t or b"".join(ab) != target or b"".join(bb) != target:
+            a, b, ab, bb = [], [], [], []
+        ae = [sum(len(x) for x in ab[: i + 1]) for i in range(len(ab))]
+        be = [sum(len(x) for x in bb[: i + 1]) for i in range(len(bb))]
         common = sorted(set(ae) & set(be))
         links = [(a[ae.index(e)], b[be.index(e)]) for e in common]
         groups, lo_a, lo_b = [], 0, 0

@@ -14,6 +14,7 @@ DOCS = [
     (5, "Hello  wörld <s> <|endoftext|> 日本\ttab\nnew line, and more words here."),
     (7, "long " * 400 + "end."),
     (8, "Ⅻ full-width ＡＢＣ text that a normaliser may change"),
+    (9, "word " * 5000),
 ]
 
 
