@@ -7,8 +7,11 @@ documents and turns each document into an exact sparse count vector. Sparse
 vectors are summed per (lang, source) group, Summarizer-style but sparse: the
 vector's indices and values are read natively (its JSON form), exploded and
 summed by a map-side combined aggregation, so a group never holds a dense
-vector. Pairs of sources are evaluated sparsely: terms absent from both
-sides contribute one constant per pair, computed once and multiplied.
+vector. Pairs of sources are evaluated sparsely, on classes of counts: terms
+of one count in a group share their p, so a pair's sum needs the joint
+histogram of counts of the terms both sources hold (a self-join on the term,
+aggregated before its shuffle), each source's own histogram for the terms
+only it holds, and one constant for the terms neither holds.
 
 Arithmetic is exact (decimal products, integer division):
     p = 1 + floor(SCALE * (count + 1) / (N + V))
@@ -37,6 +40,7 @@ from __future__ import annotations
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..sources.scratch import scratch_path
 from .scratch import column, freeze
 
 # Fixed values of the contract: term pattern, case folding, scale, ranks.
@@ -51,9 +55,18 @@ VOCAB_SIZE = 2**31 - 1
 _SPARSE = "struct<v:struct<type:tinyint,size:int,indices:array<int>,values:array<double>>>"
 
 
+# The ASCII characters outside terms, by the rule of TERM.
+_DELIMITERS = "".join(chr(c) for c in range(0x80) if not (0x41 <= c <= 0x5A or 0x61 <= c <= 0x7A))
+
+
 def terms(text: Column) -> Column:
-    """The terms of a text: matches of TERM after lower-casing A-Z only."""
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(TERM), 0)
+    """The terms of a text: maximal runs matching TERM, A-Z lower-cased.
+
+    One character map turns every character outside TERM into a space and A-Z
+    into a-z; a split on the space then gives the runs (empty ones dropped).
+    """
+    mapped = F.translate(F.coalesce(text, F.lit("")), _DELIMITERS + UPPER, " " * len(_DELIMITERS) + LOWER)
+    return F.array_remove(F.split(mapped, " "), "")
 
 
 def _p(count: str, total: str, vocab: str) -> Column:
@@ -108,14 +121,17 @@ def audit(
     min_df: int = MIN_DF, top: int = TOP_TERMS,
 ) -> DataFrame:
     """Rows (lang, source, part, item, value long, rank int); see the module."""
-    base = freeze(
-        docs.select(
-            F.coalesce(column(lang_col), F.lit("")).alias("lang"),
-            F.coalesce(column(source_col), F.lit("")).alias("source"),
-            terms(column(text_col)).alias("terms"),
-        ),
-        "divergence-terms",
+    spark = docs.sparkSession
+    base = docs.select(
+        F.coalesce(column(lang_col), F.lit("")).alias("lang"),
+        F.coalesce(column(source_col), F.lit("")).alias("source"),
+        terms(column(text_col)).alias("terms"),
     )
+    # Stored by language, so that each language's model reads its own files.
+    path = scratch_path(spark, "divergence-terms")
+    base.write.partitionBy("lang").parquet(path)
+    # An empty language is written as the default partition and read as null.
+    base = spark.read.schema(base.schema).parquet(path).withColumn("lang", F.coalesce("lang", F.lit("")))
     sums, vocab = group_sums(base, min_df)
     cells = freeze(sums, "divergence-cells")
     totals = cells.groupBy("lang", "source").agg(F.sum("count").alias("N"))
@@ -128,31 +144,53 @@ def audit(
     grid = cells.join(groups, ["lang", "source"]).withColumn("p", _p("count", "N", "V"))
 
     # Part `pair`: every ordered pair of sources of a language (the contract's output).
+    # Terms of equal count in a group have equal p, so each pair's sum runs
+    # over classes of counts: joint classes of the terms both sources hold,
+    # each source's own classes for terms only it holds, and one constant
+    # for the terms neither holds. Nothing grows with pairs times terms.
     left = groups.select("lang", "source", F.col("N").alias("N1"), "V", _p("0", "N", "V").alias("p01"))
     right = groups.select("lang", F.col("source").alias("other"), F.col("N").alias("N2"), _p("0", "N", "V").alias("p02"))
     pairs = freeze(left.join(right, "lang").filter("source != other"), "divergence-pairs")
-    mine = grid.select("lang", "source", "term", F.col("p").alias("p1"))
-    theirs = grid.select("lang", F.col("source").alias("other"), "term", F.col("p").alias("p2"))
     keys = ["lang", "source", "other"]
-    # Terms of the group itself, against the other's count there or its p at zero.
-    own = (
-        pairs.join(mine, ["lang", "source"])
-        .join(theirs, ["lang", "other", "term"], "left")
-        .select(*keys, _f("p1", "coalesce(p2, p02)").alias("f"))
+    hist = freeze(cells.groupBy("lang", "source", F.col("count").alias("c")).agg(F.count(F.lit(1)).alias("h")), "divergence-hist")
+    mine = cells.select("lang", "term", "source", F.col("count").alias("cs"))
+    theirs = cells.select("lang", "term", F.col("source").alias("other"), F.col("count").alias("co"))
+    joint = freeze(
+        mine.join(theirs, ["lang", "term"]).filter("source != other")
+        .groupBy(*keys, "cs", "co").agg(F.count(F.lit(1)).alias("j")),
+        "divergence-joint",
+    )
+    both = (
+        joint.join(pairs, keys)
+        .withColumn("pa", _p("cs", "N1", "V")).withColumn("pb", _p("co", "N2", "V"))
+        .select(*keys, (F.col("j") * _f("pa", "pb")).alias("x"), F.col("j").alias("n"))
+    )
+    rows_of = joint.groupBy(*keys, F.col("cs").alias("c")).agg(F.sum("j").alias("in_other"))
+    only_mine = (
+        pairs.join(hist, ["lang", "source"]).join(rows_of, [*keys, "c"], "left")
+        .withColumn("pa", _p("c", "N1", "V"))
+        .select(*keys, ((F.col("h") - F.coalesce("in_other", F.lit(0))) * _f("pa", "p02")).alias("x"), F.lit(0).alias("n"))
+    )
+    cols_of = joint.groupBy(*keys, F.col("co").alias("c")).agg(F.sum("j").alias("in_mine"))
+    only_theirs = (
+        pairs.join(hist.withColumnRenamed("source", "other"), ["lang", "other"]).join(cols_of, [*keys, "c"], "left")
+        .withColumn("pb", _p("c", "N2", "V"))
+        .select(*keys, ((F.col("h") - F.coalesce("in_mine", F.lit(0))) * _f("p01", "pb")).alias("x"), F.lit(0).alias("n"))
     )
-    # Terms only the other source has.
-    only = (
-        pairs.join(theirs, ["lang", "other"])
-        .join(mine.select("lang", "source", "term"), ["lang", "source", "term"], "left_anti")
-        .select(*keys, _f("p01", "p2").alias("f"))
+    sizes = hist.groupBy("lang", "source").agg(F.sum("h").alias("size"))
+    seen = both.unionByName(only_mine).unionByName(only_theirs).groupBy(*keys).agg(
+        F.sum("x").alias("f_seen"), F.sum("n").alias("shared")
     )
-    seen = own.unionByName(only).groupBy(*keys).agg(
-        F.sum("f").alias("f_seen"), F.count(F.lit(1)).alias("n_seen")
+    counted = (
+        pairs.join(seen, keys, "left")
+        .join(sizes.select("lang", "source", F.col("size").alias("size1")), ["lang", "source"], "left")
+        .join(sizes.select("lang", F.col("source").alias("other"), F.col("size").alias("size2")), ["lang", "other"], "left")
     )
-    pair_rows = pairs.join(seen, keys, "left").select(
+    absent = F.col("V") - F.coalesce("size1", F.lit(0)) - F.coalesce("size2", F.lit(0)) + F.coalesce("shared", F.lit(0))
+    pair_rows = counted.select(
         "lang", "source", F.lit("pair").alias("part"), F.col("other").alias("item"),
         F.when(F.col("V") == 0, F.lit(0).cast("decimal(38,0)")).otherwise(
-            F.coalesce("f_seen", F.lit(0)) + (F.col("V") - F.coalesce("n_seen", F.lit(0))) * _f("p01", "p02")
+            F.coalesce("f_seen", F.lit(0)) + absent * _f("p01", "p02")
         ).cast("long").alias("value"),
     )
 

@@ -83,3 +83,10 @@ def test_one_lang_without_kept_terms(spark):
     docs = spark.createDataFrame(rows, "text string, lang string, source string")
     got = sorted(tuple(r) for r in divergence.audit(docs).collect())
     assert got == brute(rows) and all(r[4] == 0 and r[2] == "pair" for r in got) and len(got) == 6
+
+
+def test_empty_language_keeps_its_groups(spark):
+    rows = [("alpha beta", None, "a"), ("alpha beta", "", "b"), ("alpha beta", None, "b"), ("alpha", "", None)]
+    docs = spark.createDataFrame(rows, "text string, lang string, source string")
+    got = sorted(tuple(r) for r in divergence.audit(docs).collect())
+    assert got == brute(rows) and {r[0] for r in got} == {""} and len([r for r in got if r[2] == "pair"]) == 6
