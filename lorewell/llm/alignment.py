@@ -52,7 +52,7 @@ ENCODE_BYTES = 1 << 20
 
 PIECES = (
     "key long, doc_id long, n_a long, n_b long, total long, piece int, "
-    "a_ids array<int>, a_ends array<long>, b_ids array<int>, b_ends array<long>"
+    "a_start long, b_start long, a_ids array<int>, b_ids array<int>"
 )
 PARTS = (
     "key long, piece int, n_cuts long, links array<struct<a:int,b:int>>, "
@@ -160,7 +160,7 @@ def _slices(texts: list[str | None], limit: int = ENCODE_BYTES):
 
 def _encode_batch(enc: "Encoders", batch: pa.RecordBatch, piece: int):
     all_keys, all_ids, all_texts = (batch.column(k).to_pylist() for k in range(3))
-    names = ("key", "doc_id", "n_a", "n_b", "total", "piece", "a_ids", "a_ends", "b_ids", "b_ends")
+    names = ("key", "doc_id", "n_a", "n_b", "total", "piece", "a_start", "b_start", "a_ids", "b_ids")
     for lo, hi in _slices(all_texts):
         keys, ids, texts = all_keys[lo:hi], all_ids[lo:hi], all_texts[lo:hi]
         rows = {k: [] for k in names}
@@ -170,7 +170,8 @@ def _encode_batch(enc: "Encoders", batch: pa.RecordBatch, piece: int):
             for k, (i0, i1, j0, j1) in enumerate(bounds):
                 for name, value in zip(names, (
                     key, d, len(a_ids), len(b_ids), int(a_ends[-1]) if len(a_ends) else 0, k,
-                    a_ids[i0:i1], a_ends[i0:i1], b_ids[j0:j1], b_ends[j0:j1],
+                    int(a_ends[i0 - 1]) if i0 else 0, int(b_ends[j0 - 1]) if j0 else 0,
+                    a_ids[i0:i1], b_ids[j0:j1],
                 )):
                     rows[name].append(value)
         yield pa.RecordBatch.from_pydict(rows, schema=_PIECES_ARROW)
@@ -178,8 +179,8 @@ def _encode_batch(enc: "Encoders", batch: pa.RecordBatch, piece: int):
 
 _PIECES_ARROW = pa.schema([
     ("key", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("total", pa.int64()),
-    ("piece", pa.int32()), ("a_ids", pa.list_(pa.int32())), ("a_ends", pa.list_(pa.int64())),
-    ("b_ids", pa.list_(pa.int32())), ("b_ends", pa.list_(pa.int64())),
+    ("piece", pa.int32()), ("a_start", pa.int64()), ("b_start", pa.int64()),
+    ("a_ids", pa.list_(pa.int32())), ("b_ids", pa.list_(pa.int32())),
 ])
 _PARTS_ARROW = pa.schema([
     ("key", pa.int64()), ("piece", pa.int32()), ("n_cuts", pa.int64()),
@@ -214,14 +215,21 @@ def piece_groups(a_ids, a_ends, b_ids, b_ends, total):
     return links, len(common), frags
 
 
-def piece_results(parts: DataFrame) -> DataFrame:
+def piece_results(parts: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """Links and group fragments of every piece; token ends are rebuilt from
+    the piece's first byte and each id's byte length (only ids are stored)."""
+
     def run(batches):
+        enc = Encoders(a_path, b_path)
         for batch in batches:
-            cols = {n: batch.column(n) for n in ("key", "total", "piece", "a_ids", "a_ends", "b_ids", "b_ends")}
+            cols = {n: batch.column(n) for n in ("key", "total", "piece", "a_start", "b_start", "a_ids", "b_ids")}
             out = {n: [] for n in ("key", "piece", "n_cuts", "links", "frags")}
             for r in range(batch.num_rows):
                 arr = lambda n: np.asarray(cols[n][r].values.to_numpy(zero_copy_only=False))
-                links, n_cuts, frags = piece_groups(arr("a_ids"), arr("a_ends"), arr("b_ids"), arr("b_ends"), cols["total"][r].as_py())
+                a_ids, b_ids = arr("a_ids"), arr("b_ids")
+                a_ends = cols["a_start"][r].as_py() + np.cumsum(enc.a_len[a_ids])
+                b_ends = cols["b_start"][r].as_py() + np.cumsum(enc.b_len[b_ids])
+                links, n_cuts, frags = piece_groups(a_ids, a_ends, b_ids, b_ends, cols["total"][r].as_py())
                 out["key"].append(cols["key"][r].as_py())
                 out["piece"].append(cols["piece"][r].as_py())
                 out["n_cuts"].append(n_cuts)
@@ -237,9 +245,9 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     """Per document row: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     src = docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text"))
     stored = freeze_python(encoded(src, a_path, b_path, piece), "align-pieces-in")
-    spread = stored.filter("n_a > 0").select("key", "total", "piece", "a_ids", "a_ends", "b_ids", "b_ends")
+    spread = stored.filter("n_a > 0").select("key", "total", "piece", "a_start", "b_start", "a_ids", "b_ids")
     spread = spread.repartition(partitions_for(stored), "key", "piece")
-    done = freeze_python(piece_results(spread), "align-pieces")
+    done = freeze_python(piece_results(spread, a_path, b_path), "align-pieces")
     # Groups before a piece: running sum over the pieces of a document (few rows each).
     before = Window.partitionBy("key").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     done = done.withColumn("g0", F.coalesce(F.sum("n_cuts").over(before), F.lit(0)))
