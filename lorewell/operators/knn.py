@@ -1,7 +1,8 @@
 """Nearest chunks of each query by dot product.
 
-A task scores its share of the corpus against a block of queries with one
-matrix product per batch and keeps the k best per query. Only those leave the
+A task scores its share of the corpus against a block of queries by matrix
+products in single precision; pairs that may still reach a query's k best are
+scored again in double precision, and the k best per query are kept. Only those leave the
 task, so neither the pairs nor a query's candidates are ever gathered.
 """
 
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,18 @@ from .ranking import top_per_group
 # blocks of the second size.
 BROADCAST_BYTES = 64 << 20
 GROUP_BYTES = 64 << 20
-SCORE_CELLS = 4 << 20
+# Queries sent for one reading of the corpus, in blocks.
+PASS_BYTES = 64 << 20
+# Corpus rows of a part; scores of a part held at once, in single precision and
+# in double; pairs whose vectors are gathered at once.
+PART_ROWS = 2048
+SCORE_CELLS = 2 << 20
+WHOLE_CELLS = 1 << 20
+PAIR_ROWS = 8192
+# Rows kept before the first cut to k per query.
+PRUNE_ROWS = 1 << 14
+# Products of lengths up to this are safe in single precision.
+FLOAT_SAFE = 1e30
 # Scores are rounded, so ranks do not depend on the order of summation.
 SCORE_DECIMALS = 9
 
@@ -41,44 +54,63 @@ class Planes:
     def __init__(self, dim: int, tables: int, bits: int, seed: int):
         self.normals = np.random.default_rng(seed).standard_normal((tables, dim, bits))
         self.weights = 1 << np.arange(bits, dtype=np.int64)
+        self.kind = np.min_scalar_type((1 << bits) - 1)
 
     def buckets(self, vectors: np.ndarray) -> np.ndarray:
-        return np.stack([((vectors @ n) > 0) @ self.weights for n in self.normals])
+        return np.stack([(((vectors @ n) > 0) @ self.weights).astype(self.kind) for n in self.normals])
 
 
 class Best:
-    """Running k best rows per query."""
+    """Running k best rows per query.
 
-    def __init__(self, k: int, id_type: pa.DataType, skip_same: pa.Array | None):
-        self.k, self.id_type, self.skip_same = k, id_type, skip_same
-        self.rows: list[pa.Table] = []
-        self.held = 0
+    `floor` is the score of a query's k-th best row so far: a lower one cannot
+    enter any more. With `distinct`, a pair that was offered twice counts once.
+    """
 
-    def offer(self, scores: np.ndarray, query_index: np.ndarray, ids: pa.Array) -> None:
-        """Take the rows of a score block that can still be among the k best."""
-        n = scores.shape[1]
+    def __init__(self, k: int, id_type: pa.DataType, skip_same: pa.Array | None, n_queries: int, distinct: bool = True):
+        self.k, self.id_type, self.skip_same, self.distinct = k, id_type, skip_same, distinct
+        self.rows: list[pa.Table] = []
+        self.held, self.prune_at = 0, 0
+        self.floor = np.full(n_queries, -np.inf)
         # One more than k, because the query's own row may be among them.
-        keep = self.k + (self.skip_same is not None)
-        if n > keep:
-            floor = np.partition(scores, n - keep, axis=1)[:, n - keep]
-            row, col = np.nonzero(scores >= floor[:, None])
-        else:
-            row, col = np.indices(scores.shape).reshape(2, -1)
-        found = pa.table(
-            {
-                "q": query_index[row],
-                "id": ids.take(pa.array(col)),
-                "score": scores[row, col],
-            }
-        )
+        self.keep = k + (skip_same is not None)
+
+    def take(self, query: np.ndarray, at: np.ndarray, score: np.ndarray, ids: pa.Array) -> None:
+        """Rows (query, ids[at], score); queries' own rows are left out."""
+        found = pa.table({"q": query, "id": ids.take(pa.array(at)), "score": score})
         if self.skip_same is not None:
-            own = self.skip_same.take(found["q"].combine_chunks())
-            found = found.filter(pc.not_equal(own, found["id"]))
+            other = pc.not_equal(self.skip_same.take(found["q"].combine_chunks()), found["id"])
+            found = found.filter(other if self.distinct else other.fill_null(True))
         self.rows.append(found)
         self.held += found.num_rows
-        if self.held > SCORE_CELLS // 4:
+        if self.held > self.prune_at:
             self.prune()
 
+    def offer(self, scores: np.ndarray, query_index: np.ndarray, ids: pa.Array, able: np.ndarray | None = None) -> None:
+        """Take the rows of a score block that can still be among the k best.
+
+        `ids` are in ascending order; of equal scores at the cut, those of the
+        first ids stay. `able` marks the pairs that count at all.
+        """
+        n = scores.shape[1]
+        if n > self.keep:
+            cut = np.partition(scores, n - self.keep, axis=1)[:, n - self.keep, None]
+            take = scores > cut
+            tied = scores == cut
+            fresh = np.ones(n, bool)
+            if n > 1:
+                fresh[1:] = pc.not_equal(ids[1:], ids[:-1]).fill_null(True).to_numpy(zero_copy_only=False)
+            if not self.distinct:
+                fresh[:] = True
+            take |= tied & (np.cumsum(tied & fresh, axis=1, dtype=np.int32) <= self.keep)
+        else:
+            take = np.ones(scores.shape, bool)
+        take &= ~(scores < self.floor[query_index][:, None])
+        if able is not None:
+            take &= able
+        row, col = np.nonzero(take)
+        self.take(query_index[row], col, scores[row, col], ids)
+
     def prune(self) -> pa.Table:
         table = pa.concat_tables(self.rows) if self.rows else pa.table(
             {"q": pa.array([], pa.int64()), "id": pa.array([], self.id_type), "score": pa.array([], pa.float64())}
@@ -86,35 +118,123 @@ class Best:
         table = table.sort_by([("q", "ascending"), ("score", "descending"), ("id", "ascending")])
         q = table["q"].to_numpy()
         if len(q):
-            # A pair may be found through several tables; equal rows are neighbours.
-            ids = table["id"].combine_chunks()
-            same = np.zeros(len(q), bool)
-            same[1:] = (q[1:] == q[:-1]) & pc.equal(ids[1:], ids[:-1]).to_numpy(zero_copy_only=False)
-            table = table.filter(pa.array(~same))
-            q = table["q"].to_numpy()
-            first = np.searchsorted(q, q, side="left")
-            table = table.filter(pa.array(np.arange(len(q)) - first < self.k))
+            if self.distinct:
+                # A pair may be found through several tables; equal rows are neighbours.
+                ids = table["id"].combine_chunks()
+                same = np.zeros(len(q), bool)
+                same[1:] = (q[1:] == q[:-1]) & pc.equal(ids[1:], ids[:-1]).to_numpy(zero_copy_only=False)
+                table = table.filter(pa.array(~same))
+                q = table["q"].to_numpy()
+            place = np.arange(len(q)) - np.searchsorted(q, q, side="left")
+            last = place == self.k - 1
+            self.floor[q[last]] = table["score"].to_numpy()[last]
+            table = table.filter(pa.array(place < self.k))
         self.rows, self.held = [table], table.num_rows
+        self.prune_at = max(PRUNE_ROWS, self.held + self.held // 2)
         return table
 
 
+@dataclass
+class Block:
+    """Queries that are scored together, with what the score bounds need.
+
+    Scores are first taken in single precision. A rounded dot product is off by
+    at most `slack` times both lengths, whatever the order of summation, so only
+    pairs within that of a query's floor are scored in double precision.
+    """
+
+    ids: pa.Array
+    vectors: np.ndarray
+    codes: np.ndarray | None = None
+
+    def __post_init__(self):
+        self.single = self.vectors.astype(np.float32)
+        self.norms = np.linalg.norm(self.vectors, axis=1)
+        self.slack = 1.1 * (self.vectors.shape[1] + 4) * 2.0**-24
+
+
 def score_batch(
-    best: Best, queries: np.ndarray, query_buckets: np.ndarray | None,
-    corpus: np.ndarray, ids: pa.Array, planes: Planes | None,
+    best: Best, block: Block, corpus: np.ndarray, ids: pa.Array, planes: Planes | None = None, among: np.ndarray | None = None,
 ) -> None:
-    """Offer all scores of a corpus batch, or those of matching buckets only."""
-    step = max(1, SCORE_CELLS // max(1, len(queries)))
-    for start in range(0, len(corpus), step):
-        part, part_ids = corpus[start : start + step], ids[start : start + step]
-        if planes is None:
-            scores = np.round(queries @ part.T, SCORE_DECIMALS)
-            best.offer(scores, np.arange(len(queries)), part_ids)
-            continue
-        for q_codes, c_codes in zip(query_buckets, planes.buckets(part)):
-            for code in np.intersect1d(q_codes, c_codes):
-                q_at, c_at = np.flatnonzero(q_codes == code), np.flatnonzero(c_codes == code)
-                scores = np.round(queries[q_at] @ part[c_at].T, SCORE_DECIMALS)
-                best.offer(scores, q_at, part_ids.take(pa.array(c_at)))
+    """Offer all scores of a corpus batch, or those of matching buckets only.
+
+    `among` are the queries that search this batch (default: all).
+    """
+    by_id = pc.sort_indices(ids)
+    ids, corpus = ids.take(by_id), corpus[by_id.to_numpy()]
+    queries = np.arange(len(block.vectors)) if among is None else among
+    codes = planes.buckets(corpus) if planes else None
+    if planes and _matches(block.codes, codes) < len(block.vectors) * len(corpus):
+        _score_buckets(best, block, corpus, ids, codes)
+        return
+    for start in range(0, len(corpus), PART_ROWS):
+        part, part_ids = corpus[start : start + PART_ROWS], ids[start : start + PART_ROWS]
+        part_codes = codes[:, start : start + PART_ROWS] if planes else None
+        single, reach = part.astype(np.float32), np.linalg.norm(part, axis=1).max()
+        step = max(1, SCORE_CELLS // len(part))
+        for first in range(0, len(queries), step):
+            _score_part(best, block, queries[first : first + step], part, single, reach, part_ids, part_codes)
+
+
+def _score_part(best, block, q, part, single, reach, ids, codes) -> None:
+    """Queries `q` against one part of the corpus."""
+    margin = block.slack * block.norms[q] * reach + 2 * 10.0**-SCORE_DECIMALS
+    with np.errstate(invalid="ignore", over="ignore"):
+        least = np.nextafter((best.floor[q] - margin).astype(np.float32), np.float32(-np.inf))
+    rough = np.isfinite(least) & (block.norms[q] * reach < FLOAT_SAFE)
+    whole = q[~rough]
+    if rough.any():
+        some = q if rough.all() else q[rough]
+        near = np.flatnonzero((block.single[some] @ single.T >= least[rough, None]).ravel())
+        row, col = np.divmod(near, len(part))
+        # Queries with many rows near the floor (ties) are scored whole.
+        many = np.bincount(row, minlength=len(some)) > 4 * best.keep + 64
+        whole = np.concatenate([whole, some[many]])
+        if many.any():
+            row, col = row[~many[row]], col[~many[row]]
+        for i in range(0, len(row), PAIR_ROWS):
+            r, c = some[row[i : i + PAIR_ROWS]], col[i : i + PAIR_ROWS]
+            if codes is not None:
+                match = (block.codes[:, r] == codes[:, c]).any(0)
+                r, c = r[match], c[match]
+            score = np.round(np.einsum("ij,ij->i", block.vectors[r], part[c]), SCORE_DECIMALS)
+            high = score >= best.floor[r]
+            best.take(r[high], c[high], score[high], ids)
+    step = max(1, WHOLE_CELLS // len(part))
+    for i in range(0, len(whole), step):
+        r = whole[i : i + step]
+        scores = np.round(block.vectors[r] @ part.T, SCORE_DECIMALS)
+        able = None
+        if codes is not None:
+            able = np.zeros(scores.shape, bool)
+            for mine, theirs in zip(block.codes, codes):
+                able |= mine[r][:, None] == theirs[None, :]
+            scores[~able] = -np.inf
+        best.offer(scores, r, ids, able)
+
+
+def _matches(q_codes: np.ndarray, c_codes: np.ndarray) -> int:
+    """Pairs that share a bucket, counted once in each table."""
+    total = 0
+    for mine, theirs in zip(q_codes, c_codes):
+        n = 1 + max(int(mine.max(initial=0)), int(theirs.max(initial=0)))
+        total += int(np.bincount(mine, minlength=n) @ np.bincount(theirs, minlength=n))
+    return total
+
+
+def _score_buckets(best, block, corpus, ids, codes) -> None:
+    """Bucket by bucket: for buckets so small that this is less than all pairs."""
+    for mine, theirs in zip(block.codes, codes):
+        q_order, c_order = np.argsort(mine, kind="stable"), np.argsort(theirs, kind="stable")
+        q_sorted, c_sorted = mine[q_order], theirs[c_order]
+        for code in np.intersect1d(q_sorted, c_sorted):
+            q_at = q_order[slice(*np.searchsorted(q_sorted, [int(code), int(code) + 1]))]
+            c_at = c_order[slice(*np.searchsorted(c_sorted, [int(code), int(code) + 1]))]
+            part, part_ids = corpus[c_at], ids.take(pa.array(c_at))
+            step = max(1, WHOLE_CELLS // len(c_at))
+            for i in range(0, len(q_at), step):
+                r = q_at[i : i + step]
+                best.offer(np.round(block.vectors[r] @ part.T, SCORE_DECIMALS), r, part_ids)
 
 
 def nearest(
@@ -158,7 +278,7 @@ def nearest(
         found = _by_broadcast(left, right, k, out, planes, exclude_same_id)
     else:
         n_blocks = math.ceil(size["n"] * bytes_per_vector / group_bytes)
-        found = _by_blocks(left, right, k, out, planes, exclude_same_id, n_blocks)
+        found = _by_blocks(left, right, k, out, planes, exclude_same_id, n_blocks, group_bytes)
     order = [F.col("score").desc(), F.col("chunk_id").asc()]
     return top_per_group(found, ["query_id"], order, k, "rank")
 
@@ -172,40 +292,76 @@ def _result(best: Best, query_ids: pa.Array, names: Sequence[str]) -> pa.Table:
 
 def _by_broadcast(left, right, k, out, planes, skip_same) -> DataFrame:
     """Every corpus task gets all queries; their size was checked by the caller."""
+    return _search([_shared(left, planes)], right, k, out, planes, skip_same)
+
+
+def _shared(left: DataFrame, planes: Planes | None):
+    """The queries of a frame, sent to the executors."""
     table = left.toArrow()
     query_ids, queries = table["query_id"].combine_chunks(), matrix(table["v"])
     codes = planes.buckets(queries) if planes and len(queries) else None
-    shared = left.sparkSession.sparkContext.broadcast((query_ids, queries, codes))
+    return left.sparkSession.sparkContext.broadcast((query_ids, queries, codes))
+
+
+def _search(blocks: list, right: DataFrame, k: int, out, planes, skip_same) -> DataFrame:
+    """The k best rows of each corpus task for the queries of every block.
+
+    A task keeps its share of the corpus (one input split) and takes the blocks one by one.
+    """
     names = out.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, vectors, buckets = shared.value
-        best = None
-        for batch in batches:
-            if not batch.num_rows or not len(ids):
-                continue
-            chunk_ids = batch.column("chunk_id")
-            if best is None:
-                best = Best(k, chunk_ids.type, ids if skip_same else None)
-            score_batch(best, vectors, buckets, matrix(batch.column("v")), chunk_ids, planes)
-        if best is not None:
-            yield from _result(best, ids, names).to_batches()
+        held = batches if len(blocks) == 1 else list(batches)
+        for shared in blocks:
+            ids, vectors, codes = shared.value
+            block = Block(ids, vectors, codes) if len(ids) else None
+            best = None
+            for batch in held:
+                if not batch.num_rows or block is None:
+                    continue
+                chunk_ids = batch.column("chunk_id")
+                if best is None:
+                    best = Best(k, chunk_ids.type, ids if skip_same else None, len(ids))
+                score_batch(best, block, matrix(batch.column("v")), chunk_ids, planes)
+            if best is not None:
+                yield from _result(best, ids, names).to_batches()
 
     return right.mapInArrow(run, out)
 
 
-def _by_blocks(left, right, k, out, planes, skip_same, n_blocks: int) -> DataFrame:
+def _by_blocks(left, right, k, out, planes, skip_same, n_blocks: int, group_bytes: int) -> DataFrame:
     """One broadcast search per block of queries; the corpus is read again, never copied.
 
-    Blocks come from a hash of the id, so they are even whatever the data. Each
-    block's winners are stored before the next block is sent, so the driver and
-    the executors hold one block at a time.
+    Blocks come from a hash of the id, so they are even whatever the data. A
+    reading of the corpus serves as many blocks as fit PASS_BYTES; its winners
+    are stored before the next blocks are sent. A task works on one block at a time.
     """
     stored = freeze(left.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks))), "query-blocks")
     order = [F.col("score").desc(), F.col("chunk_id").asc()]
     found = None
-    for block in range(n_blocks):
-        mine = stored.filter(F.col("block") == block).drop("block")
-        best = freeze(top_per_group(_by_broadcast(mine, right, k, out, planes, skip_same), ["query_id"], order, k, "_r").drop("_r"), "nearest")
+    for first, last in passes(n_blocks, group_bytes):
+        mine = stored.filter((F.col("block") >= first) & (F.col("block") < last))
+        shared = _shared_blocks(mine, first, last, planes)
+        best = freeze(top_per_group(_search(shared, right, k, out, planes, skip_same), ["query_id"], order, k, "_r").drop("_r"), "nearest")
+        for one in shared:
+            one.destroy()
         found = best if found is None else found.unionByName(best)
     return found
+
+
+def passes(n_blocks: int, group_bytes: int) -> list[tuple[int, int]]:
+    """Ranges of blocks, each for one reading of the corpus."""
+    each = max(1, PASS_BYTES // max(1, group_bytes))
+    return [(i, min(i + each, n_blocks)) for i in range(0, n_blocks, each)]
+
+
+def _shared_blocks(mine: DataFrame, first: int, last: int, planes: Planes | None) -> list:
+    """The blocks of one pass (at most PASS_BYTES of queries, or one block), each sent by itself."""
+    table = mine.toArrow()
+    block = table["block"].to_numpy()
+    sc, out = mine.sparkSession.sparkContext, []
+    for b in range(first, last):
+        part = table.filter(pa.array(block == b))
+        ids, queries = part["query_id"].combine_chunks(), matrix(part["v"])
+        out.append(sc.broadcast((ids, queries, planes.buckets(queries) if planes and len(queries) else None)))
+    return out

@@ -161,3 +161,64 @@ def test_cell_index_on_odd_input(spark):
     assert got == want
     empty = ivf.build(c.limit(0))
     assert ivf.nearest(empty, q, 2).count() == 0
+
+
+def test_dense_buckets_are_scored_as_whole_blocks(spark, monkeypatch):
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(3)
+    queries, corpus = rnd.normal(size=(3000, 16)), rnd.normal(size=(400, 16))
+    planes, calls = knn.Planes(16, 40, 5, 17), []
+    codes = planes.buckets(queries)
+    ids = pa.array(range(400))
+    best = knn.Best(5, ids.type, None, len(queries))
+    offer = best.offer
+    monkeypatch.setattr(best, "offer", lambda *a: (calls.append(1), offer(*a)))
+    knn.score_batch(best, knn.Block(pa.array(range(3000)), queries, codes), corpus, ids, planes)
+    assert len(calls) <= 4  # 40 tables of 32 buckets before
+    share = (codes[:, :, None] == planes.buckets(corpus)[:, None, :]).any(0)
+    scores = np.where(share, np.round(queries @ corpus.T, 9), -np.inf)
+    want = {(q, c) for q, line in enumerate(scores) for c in np.argsort(-line, kind="stable")[:5] if line[c] > -np.inf}
+    found = best.prune()
+    assert set(zip(found["q"].to_pylist(), found["id"].to_pylist())) == want
+
+
+def test_sparse_buckets_give_the_same_neighbours(monkeypatch):
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(5)
+    queries, corpus = rnd.normal(size=(300, 16)), rnd.normal(size=(5000, 16))
+    planes, ids = knn.Planes(16, 6, 6, 17), pa.array(range(5000))
+    block = knn.Block(pa.array(range(300)), queries, planes.buckets(queries))
+
+    def run():
+        best = knn.Best(5, ids.type, None, len(queries))
+        for at in range(0, 5000, 1000):
+            knn.score_batch(best, block, corpus[at : at + 1000], ids[at : at + 1000], planes)
+        return best.prune().to_pydict()
+
+    sparse = run()
+    monkeypatch.setattr(knn, "_matches", lambda *_: 1 << 60)
+    assert run() == sparse
+
+
+def test_tied_scores_do_not_pile_up():
+    import pyarrow as pa
+
+    ids = pa.array(range(9000, 0, -1))
+    best = knn.Best(5, ids.type, None, 100)
+    taken = []
+    take = best.take
+    best.take = lambda q, at, score, ids: (taken.append(len(q)), take(q, at, score, ids))
+    knn.score_batch(best, knn.Block(pa.array(range(100)), np.zeros((100, 8))), np.ones((9000, 8)), ids)
+    assert max(taken) <= 2 * 5 * 100  # all 900,000 pairs before
+    assert best.prune()["id"].to_pylist() == [1, 2, 3, 4, 5] * 100
+
+
+def test_small_blocks_share_a_reading_of_the_corpus(spark, data):
+    queries, corpus = data
+    q, c = frame(spark, queries, "q"), frame(spark, corpus, "chunk_id")
+    args = dict(query_id="q", query_vector="v", vector="v", broadcast_bytes=0, group_bytes=256)
+    got = knn.nearest(q, c, 5, **args)
+    assert got._jdf.queryExecution().analyzed().toString().count("Relation") == 1  # one for each block before
+    assert ranked(got) == brute(queries, corpus, 5)
