@@ -15,11 +15,11 @@ left out cannot hold a chunk that scores as high, so the result equals the
 exact search, ties (to the smaller chunk id) included; only probed cells are
 read, through partition pruning of the stored table.
 
-Scoring is tiled: a cell's members are dealt into tiles of about `TILE_ROWS`
-by a hash of the chunk id, a cell's probing queries into blocks of about
-`QUERY_ROWS`; each (cell, tile, block) is one group of a co-grouped
-Arrow function, so a hot cell is spread over many tasks. What leaves a
-group is at most k rows per query.
+Scoring: queries go to the executors in blocks of about `BLOCK_BYTES`. A task
+reads its files of the probed cells batch by batch, finds by the same bound
+which queries of the block search a cell, and scores those only. Neither the
+vectors nor the (query, cell) pairs are shuffled or listed; a cell of many
+files is spread over many tasks. What leaves a task is at most k rows per query.
 
 Edge cases: null vectors are neither indexed nor searched; an empty corpus or
 query set gives no rows; ties go to the smaller chunk id; with
@@ -32,19 +32,22 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from ..sources.scratch import freeze, scratch_path
-from .knn import SCORE_DECIMALS
+from .knn import SCORE_DECIMALS, Best, Block, _result, matrix, score_batch
 from .ranking import top_per_group
 
 SAMPLE_ROWS = 100_000
 FIRST_PROBE = 3
-TILE_ROWS = 2048
-QUERY_ROWS = 2048
+# Queries sent at once; queries whose bounds to all cells are held at once.
+BLOCK_BYTES = 32 << 20
+BOUND_ROWS = 4096
 KMEANS_ITERATIONS = 20
 
 
@@ -56,7 +59,7 @@ class CellIndex:
     counts: np.ndarray
 
     def table(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
+        return spark.read.parquet(self.path).select("chunk_id", "v", "cell")
 
 
 def default_cells(n: int) -> int:
@@ -77,7 +80,8 @@ def build(corpus: DataFrame, chunk_id: str = "chunk_id", vector: str = "embeddin
     k = min(cells or default_cells(n), n)
     fraction = min(1.0, 2.0 * sample_rows / n)
     sample = rows.sample(fraction=fraction, seed=seed).limit(sample_rows)
-    sample = sample.select(array_to_vector("v").alias("features"))
+    # The limit leaves one partition; the iterations of the fit run on all of them.
+    sample = sample.select(array_to_vector("v").alias("features")).repartition(spark.sparkContext.defaultParallelism)
     model = KMeans(k=k, seed=seed, maxIter=KMEANS_ITERATIONS, featuresCol="features").fit(sample)
     centres = np.array([c for c in model.clusterCenters()], np.float64)
     k = len(centres)
@@ -88,110 +92,100 @@ def build(corpus: DataFrame, chunk_id: str = "chunk_id", vector: str = "embeddin
     dist = F.sqrt(F.aggregate(F.zip_with("v", "c", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
     placed = assigned.join(F.broadcast(table), "cell").select("chunk_id", "v", "cell", dist.alias("d"))
     path = scratch_path(spark, "ivf-index")
-    placed.select("chunk_id", "v", "cell").write.partitionBy("cell").parquet(path)
+    # By ranges of cell and id: few files a cell, and a large cell goes to many tasks.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed.repartitionByRange(parts, "cell", "chunk_id").write.partitionBy("cell").parquet(path)
+    placed = spark.read.parquet(path)
     stats = {r["cell"]: (r["r"], r["n"]) for r in placed.groupBy("cell").agg(F.max("d").alias("r"), F.count(F.lit(1)).alias("n")).collect()}
     radius = np.array([stats.get(i, (0.0, 0))[0] for i in range(k)], np.float64)
     counts = np.array([stats.get(i, (0.0, 0))[1] for i in range(k)], np.int64)
     return CellIndex(path, centres, radius, counts)
 
 
-def _bounds(index: CellIndex, q: np.ndarray) -> np.ndarray:
+def _bounds(centres: np.ndarray, radius: np.ndarray, q: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(q, axis=1)[:, None]
-    return q @ index.centres.T + norms * index.radius[None, :]
+    return q @ centres.T + norms * radius[None, :]
 
 
-def _probes(queries: DataFrame, index: CellIndex, first: int, floor: DataFrame | None) -> DataFrame:
-    """(query_id, v, cell) of pass 1 (first cells by bound) or pass 2 (the rest above the floor)."""
-    spark = queries.sparkSession
-    shared = spark.sparkContext.broadcast((index.centres, index.radius, index.counts))
-    src = queries if floor is None else queries.join(floor, "query_id", "left")
-    second = floor is not None
-
-    def run(frames):
-        centres, radius, counts = shared.value
-        live = CellIndex("", centres, radius, counts)
-        for pdf in frames:
-            if pdf.empty:
+def _first_cells(index: CellIndex, q: np.ndarray, first: int) -> np.ndarray:
+    """The non-empty cells of highest bound of each query, -1 where there are fewer."""
+    out = np.full((len(q), min(first, len(index.centres))), -1, np.int32)
+    for i in range(0, len(q), BOUND_ROWS):
+        bound = _bounds(index.centres, index.radius, q[i : i + BOUND_ROWS])
+        bound[:, index.counts == 0] = -np.inf
+        head = np.argsort(-bound, axis=1, kind="stable")[:, : out.shape[1]]
+        out[i : i + BOUND_ROWS] = np.where(index.counts[head] > 0, head, -1)
+    return out
+
+
+def _reaches(bound: np.ndarray, kth: np.ndarray) -> np.ndarray:
+    """Whether a bound may hold a row of a query's k best (any does while kth is missing)."""
+    high = np.round(bound, SCORE_DECIMALS) + 10.0**-SCORE_DECIMALS >= kth
+    return np.isfinite(bound) & (np.isnan(kth) | high)
+
+
+def _rest(index: CellIndex, q: np.ndarray, first: np.ndarray, kth: np.ndarray):
+    """Per chunk of queries: which other cells each of them has to read."""
+    for i in range(0, len(q), BOUND_ROWS):
+        reach = _reaches(_bounds(index.centres, index.radius, q[i : i + BOUND_ROWS]), kth[i : i + BOUND_ROWS, None])
+        reach[:, index.counts == 0] = False
+        head = first[i : i + BOUND_ROWS]
+        rows, cols = np.nonzero(head >= 0)
+        reach[rows, head[rows, cols]] = False
+        yield reach
+
+
+def _scored(index: CellIndex, block: tuple, probed: np.ndarray, k: int, skip_same: bool, second: bool, spark, out) -> DataFrame:
+    """The k best members of the probed cells for each query of a block, by task."""
+    shared = spark.sparkContext.broadcast((block, index.centres, index.radius))
+    names = out.names
+
+    def run(batches):
+        (ids, vectors, first, kth), centres, radius = shared.value
+        queries, best = Block(ids, vectors), None
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            q = np.stack(pdf["v"].to_numpy()).astype(np.float64)
-            bound = _bounds(live, q)
-            bound[:, counts == 0] = -np.inf
-            order = np.argsort(-bound, axis=1, kind="stable")
-            out_q, out_c = [], []
-            for r in range(len(pdf)):
-                head = order[r, :first]
-                if not second:
-                    cells = head
-                else:
-                    lo = pdf["kth"].iloc[r]
-                    rest = order[r, first:]
-                    keep = np.isfinite(bound[r, rest])
-                    if lo is not None and not pd.isna(lo):
-                        keep &= np.round(bound[r, rest], SCORE_DECIMALS) + 10.0 ** -SCORE_DECIMALS >= lo
-                    cells = rest[keep]
-                cells = cells[counts[cells] > 0]
-                out_q.extend([r] * len(cells))
-                out_c.extend(cells.tolist())
-            picked = pdf.iloc[out_q][["query_id", "v"]].reset_index(drop=True)
-            picked["cell"] = np.asarray(out_c, np.int32)
-            yield picked
-
-    schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, v array<double>, cell int"
-    return src.mapInPandas(run, schema)
-
-
-def _score(probes: DataFrame, index: CellIndex, k: int, exclude_same_id: bool, spark: SparkSession) -> DataFrame:
-    """Top k per query over the members of its probed cells, tiled."""
-    members = index.table(spark)
-    per_cell = probes.groupBy("cell").agg(F.count(F.lit(1)).alias("nq"))
-    sizes = spark.createDataFrame([(int(i), int(n)) for i, n in enumerate(index.counts)], "cell int, nm long")
-    plan = per_cell.join(F.broadcast(sizes), "cell").select(
-        "cell",
-        F.greatest(F.lit(1), F.ceil(F.col("nm") / TILE_ROWS)).cast("int").alias("tiles"),
-        F.greatest(F.lit(1), F.ceil(F.col("nq") / QUERY_ROWS)).cast("int").alias("blocks"),
-    )
-    plan = freeze(plan, "ivf-plan")
-    probed = [r["cell"] for r in plan.select("cell").collect()]  # at most one row per cell
-    left = probes.join(F.broadcast(plan), "cell").select(
-        "query_id", "v", "cell",
-        F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"),
-        F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int").alias("block"),
-    )
-    right = members.filter(F.col("cell").isin(probed)).join(F.broadcast(plan), "cell").select(
-        F.col("chunk_id"), "v", "cell",
-        F.pmod(F.xxhash64("chunk_id"), F.col("tiles")).cast("int").alias("tile"),
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-    )
-    id_type = members.schema["chunk_id"].dataType.simpleString()
-    q_type = probes.schema["query_id"].dataType.simpleString()
-
-    def best(qs: pd.DataFrame, ms: pd.DataFrame) -> pd.DataFrame:
-        if qs.empty or ms.empty:
-            return pd.DataFrame({"query_id": [], "chunk_id": [], "score": []})
-        q, m = np.stack(qs["v"].to_numpy()), np.stack(ms["v"].to_numpy())
-        scores = np.round(q @ m.T, SCORE_DECIMALS)
-        ids = ms["chunk_id"].to_numpy()
-        if exclude_same_id:
-            scores[qs["query_id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
-        keep = min(k, scores.shape[1])
-        # Order by score, then smaller id: sort by id once, then a stable sort by score.
-        by_id = np.argsort(ids, kind="stable")
-        s = scores[:, by_id]
-        top = np.argsort(-s, axis=1, kind="stable")[:, :keep]
-        rows = np.repeat(np.arange(len(q)), keep)
-        cols = top.ravel()
-        got = s[rows, cols]
-        ok = np.isfinite(got)
-        return pd.DataFrame({
-            "query_id": qs["query_id"].to_numpy()[rows[ok]],
-            "chunk_id": ids[by_id][cols[ok]],
-            "score": got[ok],
-        })
-
-    found = left.groupBy("cell", "tile", "block").cogroup(right.groupBy("cell", "tile", "block")).applyInPandas(
-        best, f"query_id {q_type}, chunk_id {id_type}, score double"
-    )
-    return found
+            chunk_ids, members = batch.column("chunk_id"), matrix(batch.column("v"))
+            cells = batch.column("cell").to_numpy(zero_copy_only=False)
+            if best is None:
+                best = Best(k, chunk_ids.type, ids if skip_same else None, len(ids), distinct=False)
+            for cell in np.unique(cells):
+                mine = (first == cell).any(1)
+                if second:
+                    bound = _bounds(centres[cell : cell + 1], radius[cell : cell + 1], vectors)[:, 0]
+                    mine = ~mine & _reaches(bound, kth)
+                at, among = np.flatnonzero(cells == cell), np.flatnonzero(mine)
+                if len(among):
+                    score_batch(best, queries, members[at], chunk_ids.take(pa.array(at)), among=among)
+        if best is not None:
+            yield from _result(best, ids, names).to_batches()
+
+    members = index.table(spark).filter(F.col("cell").isin([int(c) for c in probed]))
+    return members.select("chunk_id", "v", "cell").mapInArrow(run, out)
+
+
+def _block(queries: DataFrame) -> tuple[pa.Array, np.ndarray]:
+    table = queries.select("query_id", "v").toArrow()
+    return table["query_id"].combine_chunks(), matrix(table["v"])
+
+
+def _schema(queries: DataFrame, chunk_type: T.DataType) -> T.StructType:
+    return T.StructType([
+        T.StructField("query_id", queries.schema["query_id"].dataType),
+        T.StructField("chunk_id", chunk_type),
+        T.StructField("score", T.DoubleType()),
+    ])
+
+
+def _blocks(queries: DataFrame) -> tuple[DataFrame, int]:
+    """The queries with the number of their block, of about BLOCK_BYTES each."""
+    size = queries.agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim"),
+        F.max(F.octet_length(F.col("query_id").cast("string"))).alias("id_bytes"),
+    ).first()
+    n = max(1, math.ceil(size["n"] * (8 * (size["dim"] or 1) + (size["id_bytes"] or 0)) / BLOCK_BYTES))
+    return freeze(queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n))), "ivf-queries"), n
 
 
 def nearest(index: CellIndex, queries: DataFrame, k: int, query_id: str = "query_id",
@@ -205,15 +199,40 @@ def nearest(index: CellIndex, queries: DataFrame, k: int, query_id: str = "query
     order = [F.col("score").desc(), F.col("chunk_id").asc()]
     if len(index.centres) == 0:
         return spark.createDataFrame([], f"query_id {q.schema['query_id'].dataType.simpleString()}, chunk_id long, score double, rank int")
-    q = freeze(q, "ivf-queries")
-    first = freeze(top_per_group(_score(_probes(q, index, first_probe, None), index, k, exclude_same_id, spark),
-                                 ["query_id"], order, k, "rank"), "ivf-first")
-    kth = first.groupBy("query_id").agg(
-        F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth")
-    )
-    second = _score(_probes(q, index, first_probe, kth), index, k, exclude_same_id, spark)
-    both = first.drop("rank").unionByName(second)
-    return top_per_group(both, ["query_id"], order, k, "rank")
+    out = _schema(q, index.table(spark).schema["chunk_id"].dataType)
+    q, n_blocks = _blocks(q)
+    found = None
+    for b in range(n_blocks):
+        mine = q.filter(F.col("block") == b)
+        best = freeze(_nearest_block(index, mine, k, exclude_same_id, first_probe, order, out), "ivf-best")
+        found = best if found is None else found.unionByName(best)
+    return found
+
+
+def _nearest_block(index, mine, k, exclude_same_id, first_probe, order, out) -> DataFrame:
+    spark = mine.sparkSession
+    ids, vectors = _block(mine)
+    if not len(ids):
+        return spark.createDataFrame([], out).withColumn("rank", F.lit(0))
+    first = _first_cells(index, vectors, first_probe)
+    none = np.full(len(ids), np.nan)
+    probed = np.unique(first[first >= 0])
+    scored = _scored(index, (ids, vectors, first, none), probed, k, exclude_same_id, False, spark, out)
+    held = freeze(top_per_group(scored, ["query_id"], order, k, "rank"), "ivf-first").drop("rank")
+    kth = _floors(held, ids, k)
+    probed = np.zeros(len(index.centres), bool)
+    for reach in _rest(index, vectors, first, kth):
+        probed |= reach.any(0)
+    second = _scored(index, (ids, vectors, first, kth), np.flatnonzero(probed), k, exclude_same_id, True, spark, out)
+    return top_per_group(held.unionByName(second), ["query_id"], order, k, "rank")
+
+
+def _floors(held: DataFrame, ids: pa.Array, k: int) -> np.ndarray:
+    """The k-th score of each query of a block, NaN where fewer were found."""
+    table = held.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth")).toArrow()
+    kth = table["kth"].cast(pa.float64()).fill_null(np.nan).to_numpy()
+    at = pc.index_in(ids, value_set=table["query_id"].combine_chunks()).fill_null(-1).to_numpy(zero_copy_only=False)
+    return np.where(at >= 0, np.append(kth, np.nan)[at], np.nan)
 
 
 def scored_pairs(index: CellIndex, queries: DataFrame, k: int, query_vector: str = "query_vector",
@@ -223,10 +242,18 @@ def scored_pairs(index: CellIndex, queries: DataFrame, k: int, query_vector: str
     q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).cast("array<double>").alias("v")).filter(
         F.col("v").isNotNull()
     )
-    q = freeze(q, "ivf-queries")
-    sizes = spark.createDataFrame([(int(i), int(n)) for i, n in enumerate(index.counts)], "cell int, nm long")
-    first_probes = _probes(q, index, first_probe, None)
-    first = top_per_group(_score(first_probes, index, k, True, spark), ["query_id"], [F.col("score").desc(), F.col("chunk_id").asc()], k, "rank")
-    kth = first.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth"))
-    probes = first_probes.unionByName(_probes(q, index, first_probe, kth))
-    return int(probes.join(F.broadcast(sizes), "cell").agg(F.sum("nm")).first()[0] or 0)
+    out = _schema(q, index.table(spark).schema["chunk_id"].dataType)
+    q, n_blocks = _blocks(q)
+    order = [F.col("score").desc(), F.col("chunk_id").asc()]
+    total = 0
+    for b in range(n_blocks):
+        ids, vectors = _block(q.filter(F.col("block") == b))
+        if not len(ids):
+            continue
+        first = _first_cells(index, vectors, first_probe)
+        probed = np.unique(first[first >= 0])
+        scored = _scored(index, (ids, vectors, first, np.full(len(ids), np.nan)), probed, k, True, False, spark, out)
+        kth = _floors(top_per_group(scored, ["query_id"], order, k, "rank"), ids, k)
+        total += int(index.counts[first[first >= 0]].sum())
+        total += sum(int((reach @ index.counts).sum()) for reach in _rest(index, vectors, first, kth))
+    return total

@@ -222,3 +222,19 @@ def test_small_blocks_share_a_reading_of_the_corpus(spark, data):
     got = knn.nearest(q, c, 5, **args)
     assert got._jdf.queryExecution().analyzed().toString().count("Relation") == 1  # one for each block before
     assert ranked(got) == brute(queries, corpus, 5)
+
+
+def test_cell_search_sends_no_vectors_through_a_shuffle(spark):
+    from lorewell.operators import ivf
+
+    rows = _clustered(8, 20)
+    c = spark.createDataFrame(rows, "chunk_id long, embedding array<double>")
+    index = ivf.build(c, cells=8)
+    vectors = np.array([v for _, v in rows])
+    import pyarrow as pa
+
+    first = ivf._first_cells(index, vectors, 3)
+    block = (pa.array(range(len(rows))), vectors, first, np.full(len(rows), np.nan))
+    out = ivf._schema(c.withColumnRenamed("chunk_id", "query_id"), c.schema["chunk_id"].dataType)
+    plan = ivf._scored(index, block, np.arange(8), 5, True, True, spark, out)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "CoGroup" not in plan
