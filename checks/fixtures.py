@@ -200,7 +200,9 @@ def as_payloads(events: DataFrame) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream of three files, one per micro-batch."""
+    """The events table as a stream of three micro-batches, each of as many files as the table has splits."""
     path = scratch_path(spark, "event-files")
-    table(spark, sf_dir, "events").repartition(3).write.parquet(path)
-    return spark.readStream.schema(SCHEMAS["events"]).option("maxFilesPerTrigger", 1).parquet(path)
+    events = table(spark, sf_dir, "events")
+    files = max(1, events.rdd.getNumPartitions())
+    events.repartition(3 * files).write.parquet(path)
+    return spark.readStream.schema(SCHEMAS["events"]).option("maxFilesPerTrigger", files).parquet(path)

@@ -175,3 +175,26 @@ def test_publish_touches_only_hours_with_new_rows(spark, tmp_path):
     assert versions == {"2024-01-01-10": 1, "2024-01-02-10": 2, "2024-01-02-11": 2}
     assert tuples(store.read()) == tuples(dedup_assessments(online.read_log(spark, log, ASSESSMENT_LOG)))
     assert store.read(["2024-01-01-10"]).count() == 1
+
+
+def test_a_large_event_table_gives_three_batches_of_many_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from checks import fixtures as fx
+
+    events = spark.range(4000).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id % 7 AS user_id", "'view' AS event_type",
+        "CAST(id AS DOUBLE) AS value", "'{}' AS props",
+    )
+    events.repartition(6).write.parquet(str(tmp_path / "events.parquet"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        stream = fx.event_stream(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    counts = []
+    query = stream.writeStream.foreachBatch(lambda df, i: counts.append((df.select(F.input_file_name()).distinct().count(), df.count())))
+    query.trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start().awaitTermination()
+    assert len(counts) == 3 and sum(n for _, n in counts) == 4000
+    assert min(files for files, _ in counts) >= 6  # one file, so one task, before
