@@ -13,7 +13,7 @@ pieces of at most `PIECE` merged elements: for each diagonal d = k * PIECE a
 binary search finds the split (i, j), i + j = d, of A and B; a split that
 would part an A end from the equal B end right after it moves by one. Pieces
 are independent rows of Spark, written by the encoding task (each row holds
-at most PIECE tokens) and dealt over tasks by (document, piece); each finds
+at most PIECE tokens) in small row groups, which tasks share; each finds
 its common ends and writes its links and the text of its groups in three
 fragments: the head (the group that started in an earlier piece), the body
 (complete groups) and the tail (a group that continues). Fragments are
@@ -39,16 +39,21 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .bpe import ByteBPE
-from .scratch import column, freeze, freeze_python, partitions_for
+from .scratch import column, freeze, freeze_python
 
 # Merged elements per piece; pair counts broadcast up to this many rows;
 # bytes of text encoded at once (the encoders hold several times that).
 PIECE = 1 << 11
 BROADCAST_PAIRS = 1 << 20
 ENCODE_BYTES = 1 << 20
+# Tokens whose links and fragments are held as Python values at once.
+SLICE_TOKENS = 1 << 16
+# Row groups of the stored pieces.
+GROUP_BYTES = 4 << 20
 
 PIECES = (
     "key long, doc_id long, n_a long, n_b long, total long, piece int, "
@@ -203,18 +208,71 @@ def piece_groups(a_ids, a_ends, b_ids, b_ends, total):
     # lists are sorted, so a group's tokens are one run of each.
     a_g = np.searchsorted(common, a_ends, side="left")
     b_g = np.searchsorted(common, b_ends, side="left")
-    a_el = _elements(a_ids, a_cut, "|", np.zeros(len(a_ids), bool))
-    b_el = _elements(b_ids, b_cut, ";", b_ends == total)
-    groups = np.unique(np.concatenate([a_g, b_g]))
-    a_lo, a_hi = np.searchsorted(a_g, groups, "left").tolist(), np.searchsorted(a_g, groups, "right").tolist()
-    b_lo, b_hi = np.searchsorted(b_g, groups, "left").tolist(), np.searchsorted(b_g, groups, "right").tolist()
+    elements = _elements(a_ids, a_cut, "|", np.zeros(len(a_ids), bool)) + _elements(b_ids, b_cut, ";", b_ends == total)
+    # All tokens by group, A before B. Only the first and the last group can
+    # have parts in other pieces; those between are one text.
+    place = np.concatenate([2 * a_g, 2 * b_g + 1])
+    order = np.argsort(place, kind="stable")
+    place, last = place[order], len(common)
     frags = []
-    for g, al, ah, bl, bh in zip(groups.tolist(), a_lo, a_hi, b_lo, b_hi):
-        frags.append((g, 0, "".join(a_el[al:ah])))
-        frags.append((g, 1, "".join(b_el[bl:bh])))
+    spans = [(0, 0, 0, 1), (0, 1, 1, 2)]
+    if last:
+        spans += [(1, 0, 2, 2 * last), (last, 0, 2 * last, 2 * last + 1), (last, 1, 2 * last + 1, 2 * last + 2)]
+    for g, side, low, high in spans:
+        lo, hi = np.searchsorted(place, [low, high])
+        if hi > lo:
+            frags.append((g, side, "".join([elements[i] for i in order[lo:hi].tolist()])))
     return links, len(common), frags
 
 
+def _token_slices(batch: pa.RecordBatch, limit: int | None = None):
+    """Consecutive rows of about `limit` tokens of both lists."""
+    limit = limit or SLICE_TOKENS
+    sizes = pc.add(pc.list_value_length(batch.column("a_ids")), pc.list_value_length(batch.column("b_ids")))
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False))
+    first = done = 0
+    while first < batch.num_rows:
+        last = max(first + 1, int(np.searchsorted(ends, done + limit, "right")))
+        yield batch.slice(first, last - first)
+        first, done = last, int(ends[last - 1])
+
+
+def _lists(counts: list[int], kind: pa.ListType, columns: list) -> pa.Array:
+    """Lists of structs from flat columns and the length of each list."""
+    fields = [kind.value_type.field(i) for i in range(kind.value_type.num_fields)]
+    flat = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields)], fields=fields)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), flat, type=kind)
+
+
+def _piece_batch(enc: "Encoders", batch: pa.RecordBatch) -> pa.RecordBatch:
+    cols = {n: batch.column(n) for n in ("total", "a_start", "b_start", "a_ids", "b_ids")}
+    cuts, n_links, n_frags = [], [], []
+    links_a, links_b, groups, sides, texts = [], [], [], [], []
+    for r in range(batch.num_rows):
+        a_ids, b_ids = (np.asarray(cols[n][r].values.to_numpy(zero_copy_only=False)) for n in ("a_ids", "b_ids"))
+        a_ends = cols["a_start"][r].as_py() + np.cumsum(enc.a_len[a_ids])
+        b_ends = cols["b_start"][r].as_py() + np.cumsum(enc.b_len[b_ids])
+        links, n_cuts, frags = piece_groups(a_ids, a_ends, b_ids, b_ends, cols["total"][r].as_py())
+        cuts.append(n_cuts)
+        n_links.append(len(links))
+        n_frags.append(len(frags))
+        for a, b in links:
+            links_a.append(a)
+            links_b.append(b)
+        for g, side, text in frags:
+            groups.append(g)
+            sides.append(side)
+            texts.append(text)
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column("key"), batch.column("piece"), pa.array(cuts, pa.int64()),
+            _lists(n_links, _PARTS_ARROW.field("links").type, [links_a, links_b]),
+            _lists(n_frags, _PARTS_ARROW.field("frags").type, [groups, sides, texts]),
+        ],
+        schema=_PARTS_ARROW,
+    )
+
+
 def piece_results(parts: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """Links and group fragments of every piece; token ends are rebuilt from
     the piece's first byte and each id's byte length (only ids are stored)."""
@@ -222,20 +280,8 @@ def piece_results(parts: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches):
         enc = Encoders(a_path, b_path)
         for batch in batches:
-            cols = {n: batch.column(n) for n in ("key", "total", "piece", "a_start", "b_start", "a_ids", "b_ids")}
-            out = {n: [] for n in ("key", "piece", "n_cuts", "links", "frags")}
-            for r in range(batch.num_rows):
-                arr = lambda n: np.asarray(cols[n][r].values.to_numpy(zero_copy_only=False))
-                a_ids, b_ids = arr("a_ids"), arr("b_ids")
-                a_ends = cols["a_start"][r].as_py() + np.cumsum(enc.a_len[a_ids])
-                b_ends = cols["b_start"][r].as_py() + np.cumsum(enc.b_len[b_ids])
-                links, n_cuts, frags = piece_groups(a_ids, a_ends, b_ids, b_ends, cols["total"][r].as_py())
-                out["key"].append(cols["key"][r].as_py())
-                out["piece"].append(cols["piece"][r].as_py())
-                out["n_cuts"].append(n_cuts)
-                out["links"].append([{"a": a, "b": b} for a, b in links])
-                out["frags"].append([{"g": g, "side": s, "text": t} for g, s, t in frags])
-            yield pa.RecordBatch.from_pydict(out, schema=_PARTS_ARROW)
+            for part in _token_slices(batch):
+                yield _piece_batch(enc, part)
 
     return parts.mapInArrow(run, PARTS)
 
@@ -244,9 +290,9 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
           piece: int = PIECE) -> DataFrame:
     """Per document row: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     src = docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text"))
-    stored = freeze_python(encoded(src, a_path, b_path, piece), "align-pieces-in")
+    # Small row groups, so that tasks can share a file's pieces without a shuffle of the ids.
+    stored = freeze_python(encoded(src, a_path, b_path, piece), "align-pieces-in", **{"parquet.block.size": GROUP_BYTES})
     spread = stored.filter("n_a > 0").select("key", "total", "piece", "a_start", "b_start", "a_ids", "b_ids")
-    spread = spread.repartition(partitions_for(stored), "key", "piece")
     done = freeze_python(piece_results(spread, a_path, b_path), "align-pieces")
     # Groups before a piece: running sum over the pieces of a document (few rows each).
     before = Window.partitionBy("key").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
@@ -257,8 +303,8 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     text = frags.groupBy("key").agg(
         F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("g", "side", "piece", "text"))), lambda s: s["text"]), ""), 256).alias("groups_sha256"),
     )
-    links = freeze(done.select("key", F.explode("links").alias("l")).select("key", F.col("l.a").alias("a"), F.col("l.b").alias("b")), "align-links")
-    per_doc = links.groupBy("key", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    links = done.select("key", F.explode("links").alias("l")).select("key", F.col("l.a").alias("a"), F.col("l.b").alias("b"))
+    per_doc = freeze(links.groupBy("key", "a", "b").agg(F.count(F.lit(1)).alias("n")), "align-links")
     counts = freeze(per_doc.groupBy("a", "b").agg(F.sum("n").alias("count")), "align-counts")
     best = counts.groupBy("b").agg(F.max("count").alias("top"))
     rated = counts.join(best, "b").select("a", "b", "count", (F.col("count") == F.col("top")).alias("is_best"))

@@ -12,7 +12,7 @@ BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20
 
 
-def freeze_python(df: DataFrame, label: str) -> DataFrame:
+def freeze_python(df: DataFrame, label: str, **options) -> DataFrame:
     """`freeze` for plans that send whole texts to Python: batches stay small.
 
     A batch lies in the executor's off-heap memory and in the worker at once,
@@ -22,7 +22,7 @@ def freeze_python(df: DataFrame, label: str) -> DataFrame:
     before = conf.get(BATCH_SETTING)
     conf.set(BATCH_SETTING, str(BATCH_BYTES))
     try:
-        return freeze(df, label)
+        return freeze(df, label, **options)
     finally:
         conf.set(BATCH_SETTING, before)
 

@@ -53,12 +53,12 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-def freeze(df: DataFrame, label: str = "frozen") -> DataFrame:
-    """Write `df` once and read it back (runs a job).
+def freeze(df: DataFrame, label: str = "frozen", **options) -> DataFrame:
+    """Write `df` once, with the writer's `options`, and read it back (runs a job).
 
     Cuts lineage, survives lost executors, and fixes values that a second
     evaluation could change, such as partition numbers.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -45,3 +45,24 @@ def test_align_against_brute_force(spark):
 def test_align_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert alignment.align(empty, A, B).count() == 0
+
+
+def test_links_and_fragments_are_built_in_slices(monkeypatch):
+    import pyarrow as pa
+
+    enc = alignment.Encoders(A, B)
+    docs = pa.RecordBatch.from_pydict({"key": [0, 1, 2], "doc_id": [7, 8, 9], "text": ["word and words " * 300, "", "end of it"]})
+    pieces = pa.Table.from_batches(alignment._encode_batch(enc, docs, 50)).to_batches()[0]
+    slices = list(alignment._token_slices(pieces, 200))
+    tokens = [sum(len(x) for n in ("a_ids", "b_ids") for x in s.column(n).to_pylist()) for s in slices]
+    assert sum(s.num_rows for s in slices) == pieces.num_rows and max(tokens) <= 200  # one slice before
+    parts = pa.Table.from_batches([alignment._piece_batch(enc, s) for s in slices])
+    whole = pa.Table.from_batches([alignment._piece_batch(enc, pieces)])
+    assert parts.to_pylist() == whole.to_pylist()
+
+
+def test_complete_groups_of_a_piece_are_one_text():
+    ends = np.arange(1, 2001)
+    links, cuts, frags = alignment.piece_groups(ends, ends, ends, ends, 2000)
+    assert (len(links), cuts, len(frags)) == (2000, 2000, 3)  # 4,000 fragments before
+    assert "".join(t for _, _, t in sorted(frags)) == "".join(f"{i}|{i}" + (";" if i < 2000 else "") for i in ends)
