@@ -14,6 +14,9 @@ from ..functions.text import tokens, with_instruction
 
 # Seven digits stay within an int.
 HASH_DIGITS = 7
+# Words and rows counted at once; one row of more words is counted alone.
+COUNT_WORDS = 1 << 19
+COUNT_ROWS = 1 << 10
 
 Embedder = Callable[[list[str]], Sequence[Sequence[float]]]
 
@@ -61,13 +64,25 @@ def word_slots(text: Column, dim: int) -> Column:
 
 
 def unit_counts(slots: pa.Array, dim: int) -> pa.Array:
-    """Slot counts of every row, scaled to unit length; rows without words are zero."""
+    """Slot counts of every row, scaled to unit length; rows without words are zero.
+
+    Rows are counted some at a time, so that what is held besides the batch and
+    its vectors does not grow with them.
+    """
     slots = slots.fill_null([]) if slots.null_count else slots
-    row = np.repeat(np.arange(len(slots)), slots.value_lengths().to_numpy())
-    flat = row * dim + slots.flatten().to_numpy()
-    counts = np.bincount(flat, minlength=len(slots) * dim).reshape(len(slots), dim).astype(np.float64)
-    norms = np.sqrt((counts * counts).sum(1, keepdims=True))
-    unit = np.divide(counts, norms, out=counts, where=norms > 0).astype(np.float32)
+    ends = np.cumsum(slots.value_lengths().to_numpy())
+    unit = np.zeros((len(slots), dim), np.float32)
+    first = done = 0
+    while first < len(slots):
+        last = min(int(np.searchsorted(ends, done + COUNT_WORDS, "right")), first + COUNT_ROWS)
+        last = min(max(last, first + 1), len(slots))
+        part = slots.slice(first, last - first)
+        row = np.repeat(np.arange(len(part)) * dim, part.value_lengths().to_numpy())
+        row += part.flatten().to_numpy()
+        counts = np.bincount(row, minlength=len(part) * dim).reshape(len(part), dim).astype(np.float64)
+        norms = np.sqrt((counts * counts).sum(1, keepdims=True))
+        unit[first:last] = np.divide(counts, norms, out=counts, where=norms > 0)
+        first, done = last, int(ends[last - 1])
     offsets = np.arange(len(slots) + 1, dtype=np.int32) * dim
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(unit.ravel()))
 
@@ -77,4 +92,6 @@ def _hashed(df: DataFrame, text: Column, embedding_col: str, dim: int) -> DataFr
     def vector(slots: pa.Array) -> pa.Array:
         return unit_counts(slots, dim)
 
-    return df.withColumn(embedding_col, vector(word_slots(text, dim)))
+    # Slots travel in the narrowest type that holds them.
+    kind = "array<smallint>" if dim <= 1 << 15 else "array<int>"
+    return df.withColumn(embedding_col, vector(word_slots(text, dim).cast(kind)))

@@ -238,3 +238,20 @@ def test_cell_search_sends_no_vectors_through_a_shuffle(spark):
     out = ivf._schema(c.withColumnRenamed("chunk_id", "query_id"), c.schema["chunk_id"].dataType)
     plan = ivf._scored(index, block, np.arange(8), 5, True, True, spark, out)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "CoGroup" not in plan
+
+
+def test_long_batches_are_counted_in_parts(monkeypatch):
+    import pyarrow as pa
+    from lorewell.operators import embed
+
+    rnd = np.random.default_rng(2)
+    rows = [rnd.integers(0, 16, n).tolist() for n in (0, 5, 900, 3, 0, 70, 1)]
+    slots = pa.array(rows, pa.list_(pa.int16()))
+    whole = embed.unit_counts(slots, 16)
+    longest, count = [], np.bincount
+    monkeypatch.setattr(embed, "COUNT_WORDS", 80)
+    monkeypatch.setattr(embed.np, "bincount", lambda x, **kw: (longest.append(len(x)), count(x, **kw))[1])
+    assert embed.unit_counts(slots, 16).equals(whole)
+    assert sorted(longest)[-2] <= 80  # all words at once before
+    want = np.stack([count(r, minlength=16) / max(np.linalg.norm(count(r, minlength=16)), 1e-9) if len(r) else np.zeros(16) for r in map(np.array, rows)])
+    assert np.allclose(np.stack(whole.to_numpy(zero_copy_only=False)), want, atol=1e-6)
