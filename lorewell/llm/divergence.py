@@ -83,7 +83,7 @@ def _f(p: str, q: str) -> Column:
 
 
 def group_sums(base: DataFrame, min_df: int = MIN_DF) -> tuple[DataFrame, DataFrame]:
-    """Sparse kept-term counts per (lang, source, term), and V per lang.
+    """Sparse kept-term counts per (lang, source, term), stored, and V per lang.
 
     `base` has columns lang, source, terms (array of strings), all non-null.
     """
@@ -95,11 +95,14 @@ def group_sums(base: DataFrame, min_df: int = MIN_DF) -> tuple[DataFrame, DataFr
         model = CountVectorizer(
             inputCol="terms", outputCol="vec", minDF=float(min_df), vocabSize=VOCAB_SIZE
         ).fit(part)
-        vocab = model.vocabulary
-        sizes.append((lang, len(vocab)))
-        if not vocab:
+        # The vocabulary is read back from the stored model, not through Python.
+        path = scratch_path(spark, "divergence-model")
+        model.write().save(path)
+        saved = spark.read.parquet(f"{path}/data")
+        sizes.append((lang, saved.select(F.size("vocabulary")).first()[0]))
+        if not sizes[-1][1]:
             continue
-        words = spark.createDataFrame(list(enumerate(vocab)), "idx int, term string").withColumn("lang", F.lit(lang))
+        words = saved.select(F.posexplode("vocabulary").alias("idx", "term")).withColumn("lang", F.lit(lang))
         cells = (
             model.transform(part)
             .select("lang", "source", F.from_json(F.to_json(F.struct(F.col("vec").alias("v"))), _SPARSE).alias("x"))
@@ -109,6 +112,8 @@ def group_sums(base: DataFrame, min_df: int = MIN_DF) -> tuple[DataFrame, DataFr
             .join(words, ["lang", "idx"])
             .select("lang", "source", "term", "count")
         )
+        # Stored, so that only one language's model is alive.
+        cells = freeze(cells, "divergence-cells")
         sums = cells if sums is None else sums.unionByName(cells)
     vocab_sizes = spark.createDataFrame(sizes, "lang string, V long")
     if sums is None:
@@ -133,7 +138,7 @@ def audit(
     # An empty language is written as the default partition and read as null.
     base = spark.read.schema(base.schema).parquet(path).withColumn("lang", F.coalesce("lang", F.lit("")))
     sums, vocab = group_sums(base, min_df)
-    cells = freeze(sums, "divergence-cells")
+    cells = sums
     totals = cells.groupBy("lang", "source").agg(F.sum("count").alias("N"))
     groups = freeze(
         base.select("lang", "source").distinct().join(totals, ["lang", "source"], "left")

@@ -9,7 +9,7 @@ from ..sources.scratch import freeze
 __all__ = ["freeze", "freeze_python", "partitions_for", "free_name", "column"]
 
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def freeze_python(df: DataFrame, label: str, **options) -> DataFrame:

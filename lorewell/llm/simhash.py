@@ -33,7 +33,7 @@ CELLS = 17**QUARTERS
 # Fingerprints of one side of a tile, and rows of a compared block.
 TILE = 8192
 BLOCK = 256
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 
 def fingerprints_of(texts: pa.Array, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:

@@ -167,6 +167,9 @@ def score_batch(
     if planes and _matches(block.codes, codes) < len(block.vectors) * len(corpus):
         _score_buckets(best, block, corpus, ids, codes)
         return
+    if planes and best.distinct:
+        once = _once(corpus, ids)
+        ids, corpus, codes = ids.take(pa.array(once)), corpus[once], codes[:, once]
     for start in range(0, len(corpus), PART_ROWS):
         part, part_ids = corpus[start : start + PART_ROWS], ids[start : start + PART_ROWS]
         part_codes = codes[:, start : start + PART_ROWS] if planes else None
@@ -176,6 +179,20 @@ def score_batch(
             _score_part(best, block, queries[first : first + step], part, single, reach, part_ids, part_codes)
 
 
+def _once(corpus: np.ndarray, ids: pa.Array) -> np.ndarray:
+    """Rows of a batch in order of id, without repeats of both id and vector."""
+    same = np.zeros(len(corpus) + 1, bool)
+    same[1:-1] = pc.equal(ids[1:], ids[:-1]).fill_null(False).to_numpy(zero_copy_only=False)
+    repeated = np.flatnonzero(same[1:] | same[:-1])
+    keep = np.ones(len(corpus), bool)
+    if len(repeated):
+        group = np.cumsum(~same[:-1])[repeated]
+        _, first = np.unique(np.column_stack([group, corpus[repeated]]), axis=0, return_index=True)
+        keep[repeated] = False
+        keep[repeated[first]] = True
+    return np.flatnonzero(keep)
+
+
 def _score_part(best, block, q, part, single, reach, ids, codes) -> None:
     """Queries `q` against one part of the corpus."""
     margin = block.slack * block.norms[q] * reach + 2 * 10.0**-SCORE_DECIMALS

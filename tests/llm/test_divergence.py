@@ -90,3 +90,16 @@ def test_empty_language_keeps_its_groups(spark):
     docs = spark.createDataFrame(rows, "text string, lang string, source string")
     got = sorted(tuple(r) for r in divergence.audit(docs).collect())
     assert got == brute(rows) and {r[0] for r in got} == {""} and len([r for r in got if r[2] == "pair"]) == 6
+
+
+def test_the_vocabulary_does_not_pass_through_python(spark, monkeypatch):
+    from pyspark.ml.feature import CountVectorizerModel
+
+    def never(self):
+        raise AssertionError("the vocabulary was fetched")
+
+    monkeypatch.setattr(CountVectorizerModel, "vocabulary", property(never))
+    rows = [("en", s, ["a", "b", s]) for s in ("x", "y", "z")] + [("", "x", [])]
+    sums, sizes = divergence.group_sums(spark.createDataFrame(rows, "lang string, source string, terms array<string>"))
+    assert sorted(tuple(r) for r in sums.collect()) == [("en", s, t, 1) for s in "xyz" for t in "ab"]
+    assert sorted(tuple(r) for r in sizes.collect()) == [("", 0), ("en", 2)]

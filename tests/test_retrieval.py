@@ -255,3 +255,13 @@ def test_long_batches_are_counted_in_parts(monkeypatch):
     assert sorted(longest)[-2] <= 80  # all words at once before
     want = np.stack([count(r, minlength=16) / max(np.linalg.norm(count(r, minlength=16)), 1e-9) if len(r) else np.zeros(16) for r in map(np.array, rows)])
     assert np.allclose(np.stack(whole.to_numpy(zero_copy_only=False)), want, atol=1e-6)
+
+
+def test_repeated_chunks_take_no_places_in_dense_buckets(spark):
+    rnd = np.random.default_rng(9)
+    corpus = rnd.normal(size=(60, 16))
+    rows = [(i, [float(x) for x in corpus[i]]) for i in range(60)]
+    c = spark.createDataFrame(rows + rows, "chunk_id long, embedding array<double>").coalesce(1)
+    q = spark.createDataFrame(rows, "query_id long, query_vector array<double>")
+    found = knn.nearest(q, c, 5, exclude_same_id=True, lsh=(40, 2)).collect()
+    assert len(found) == 300 and len({(r.query_id, r.chunk_id) for r in found}) == 300
