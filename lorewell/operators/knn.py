@@ -42,12 +42,23 @@ SCORE_DECIMALS = 9
 
 
 def matrix(column: pa.Array) -> np.ndarray:
+    """The vectors of a column as rows: in single precision if they are stored so, else in double."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    flat = flat if flat.dtype == np.float32 else flat.astype(np.float64)
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
 
+def double(vectors: np.ndarray) -> np.ndarray:
+    return vectors.astype(np.float64, copy=False)
+
+
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    """Euclidean lengths, summed in double precision without a copy of the vectors."""
+    return np.sqrt(np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64))
+
+
 class Planes:
     """Signs against random hyperplanes: one bucket number per table."""
 
@@ -57,6 +68,7 @@ class Planes:
         self.kind = np.min_scalar_type((1 << bits) - 1)
 
     def buckets(self, vectors: np.ndarray) -> np.ndarray:
+        vectors = double(vectors)
         return np.stack([(((vectors @ n) > 0) @ self.weights).astype(self.kind) for n in self.normals])
 
 
@@ -148,8 +160,8 @@ class Block:
     codes: np.ndarray | None = None
 
     def __post_init__(self):
-        self.single = self.vectors.astype(np.float32)
-        self.norms = np.linalg.norm(self.vectors, axis=1)
+        self.single = self.vectors.astype(np.float32, copy=False)
+        self.norms = lengths(self.vectors)
         self.slack = 1.1 * (self.vectors.shape[1] + 4) * 2.0**-24
 
 
@@ -160,20 +172,28 @@ def score_batch(
 
     `among` are the queries that search this batch (default: all).
     """
-    by_id = pc.sort_indices(ids)
-    ids, corpus = ids.take(by_id), corpus[by_id.to_numpy()]
+    _score_rows(best, block, *_by_id(corpus, ids, planes), among)
+
+
+def _by_id(corpus: np.ndarray, ids: pa.Array, planes: Planes | None) -> tuple:
+    """Vectors, ids and buckets of a corpus batch in order of id."""
+    order = pc.sort_indices(ids)
+    ids, corpus = ids.take(order), corpus[order.to_numpy()]
+    return corpus, ids, planes.buckets(corpus) if planes else None
+
+
+def _score_rows(best, block, corpus, ids, codes, among=None) -> None:
     queries = np.arange(len(block.vectors)) if among is None else among
-    codes = planes.buckets(corpus) if planes else None
-    if planes and _matches(block.codes, codes) < len(block.vectors) * len(corpus):
+    if codes is not None and _matches(block.codes, codes) < len(block.vectors) * len(corpus):
         _score_buckets(best, block, corpus, ids, codes)
         return
-    if planes and best.distinct:
+    if codes is not None and best.distinct:
         once = _once(corpus, ids)
         ids, corpus, codes = ids.take(pa.array(once)), corpus[once], codes[:, once]
     for start in range(0, len(corpus), PART_ROWS):
         part, part_ids = corpus[start : start + PART_ROWS], ids[start : start + PART_ROWS]
-        part_codes = codes[:, start : start + PART_ROWS] if planes else None
-        single, reach = part.astype(np.float32), np.linalg.norm(part, axis=1).max()
+        part_codes = codes[:, start : start + PART_ROWS] if codes is not None else None
+        single, reach = part.astype(np.float32, copy=False), lengths(part).max()
         step = max(1, SCORE_CELLS // len(part))
         for first in range(0, len(queries), step):
             _score_part(best, block, queries[first : first + step], part, single, reach, part_ids, part_codes)
@@ -214,13 +234,14 @@ def _score_part(best, block, q, part, single, reach, ids, codes) -> None:
             if codes is not None:
                 match = (block.codes[:, r] == codes[:, c]).any(0)
                 r, c = r[match], c[match]
-            score = np.round(np.einsum("ij,ij->i", block.vectors[r], part[c]), SCORE_DECIMALS)
+            score = np.round(np.einsum("ij,ij->i", double(block.vectors[r]), double(part[c])), SCORE_DECIMALS)
             high = score >= best.floor[r]
             best.take(r[high], c[high], score[high], ids)
     step = max(1, WHOLE_CELLS // len(part))
+    part = double(part) if len(whole) else part
     for i in range(0, len(whole), step):
         r = whole[i : i + step]
-        scores = np.round(block.vectors[r] @ part.T, SCORE_DECIMALS)
+        scores = np.round(double(block.vectors[r]) @ part.T, SCORE_DECIMALS)
         able = None
         if codes is not None:
             able = np.zeros(scores.shape, bool)
@@ -247,11 +268,11 @@ def _score_buckets(best, block, corpus, ids, codes) -> None:
         for code in np.intersect1d(q_sorted, c_sorted):
             q_at = q_order[slice(*np.searchsorted(q_sorted, [int(code), int(code) + 1]))]
             c_at = c_order[slice(*np.searchsorted(c_sorted, [int(code), int(code) + 1]))]
-            part, part_ids = corpus[c_at], ids.take(pa.array(c_at))
+            part, part_ids = double(corpus[c_at]), ids.take(pa.array(c_at))
             step = max(1, WHOLE_CELLS // len(c_at))
             for i in range(0, len(q_at), step):
                 r = q_at[i : i + step]
-                best.offer(np.round(block.vectors[r] @ part.T, SCORE_DECIMALS), r, part_ids)
+                best.offer(np.round(double(block.vectors[r]) @ part.T, SCORE_DECIMALS), r, part_ids)
 
 
 def nearest(
@@ -323,25 +344,28 @@ def _shared(left: DataFrame, planes: Planes | None):
 def _search(blocks: list, right: DataFrame, k: int, out, planes, skip_same) -> DataFrame:
     """The k best rows of each corpus task for the queries of every block.
 
-    A task keeps its share of the corpus (one input split) and takes the blocks one by one.
+    A task goes through its share of the corpus once, one batch after the other, each against all
+    blocks; it holds the blocks, their best rows so far and one batch, never its share.
     """
     names = out.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = batches if len(blocks) == 1 else list(batches)
-        for shared in blocks:
-            ids, vectors, codes = shared.value
-            block = Block(ids, vectors, codes) if len(ids) else None
-            best = None
-            for batch in held:
-                if not batch.num_rows or block is None:
-                    continue
-                chunk_ids = batch.column("chunk_id")
-                if best is None:
-                    best = Best(k, chunk_ids.type, ids if skip_same else None, len(ids))
-                score_batch(best, block, matrix(batch.column("v")), chunk_ids, planes)
-            if best is not None:
-                yield from _result(best, ids, names).to_batches()
+        searches: list[tuple[Block, Best]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            chunk_ids = batch.column("chunk_id")
+            if not searches:
+                for ids, vectors, codes in (shared.value for shared in blocks):
+                    if len(ids):
+                        best = Best(k, chunk_ids.type, ids if skip_same else None, len(ids))
+                        searches.append((Block(ids, vectors, codes), best))
+            rows = _by_id(matrix(batch.column("v")), chunk_ids, planes)
+            for block, best in searches:
+                _score_rows(best, block, *rows)
+        while searches:
+            block, best = searches.pop(0)
+            yield from _result(best, block.ids, names).to_batches()
 
     return right.mapInArrow(run, out)
 

@@ -265,3 +265,53 @@ def test_repeated_chunks_take_no_places_in_dense_buckets(spark):
     q = spark.createDataFrame(rows, "query_id long, query_vector array<double>")
     found = knn.nearest(q, c, 5, exclude_same_id=True, lsh=(40, 2)).collect()
     assert len(found) == 300 and len({(r.query_id, r.chunk_id) for r in found}) == 300
+
+
+def test_a_search_task_never_holds_its_share_of_the_corpus():
+    import gc
+    import weakref
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    rnd = np.random.default_rng(2)
+    queries, corpus = rnd.normal(size=(40, 8)), rnd.normal(size=(600, 8))
+    blocks = [SimpleNamespace(value=(pa.array(range(i, i + 20)), queries[i : i + 20], None)) for i in (0, 20)]
+    out = T.StructType([T.StructField(n, T.LongType()) for n in ("query_id", "chunk_id", "score")])
+    live, most = [], 0
+
+    def batches():
+        nonlocal most
+        for i in range(0, 600, 50):
+            values = pa.ListArray.from_arrays(pa.array(np.arange(0, 401, 8, dtype=np.int32)), pa.array(corpus[i : i + 50].ravel()))
+            batch = pa.RecordBatch.from_arrays([pa.array(range(i, i + 50)), values], ["chunk_id", "v"])
+            live.append(weakref.ref(batch))
+            yield batch
+            del batch, values
+            gc.collect()
+            most = max(most, sum(r() is not None for r in live))
+
+    right = SimpleNamespace(mapInArrow=lambda run, schema: run)
+    run = knn._search(blocks, right, 3, out, None, False)
+    found = {(q, c) for b in run(batches()) for q, c in zip(b["query_id"].to_pylist(), b["chunk_id"].to_pylist())}
+    best = np.argsort(-(queries @ corpus.T), axis=1)[:, :3]
+    assert found == {(q, int(c)) for q in range(40) for c in best[q]}
+    assert most <= 2
+
+
+def test_single_precision_vectors_are_not_copied_to_double():
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(9)
+    queries = pa.array([list(v) for v in rnd.normal(size=(70, 16))], pa.list_(pa.float32()))
+    corpus = pa.array([list(v) for v in rnd.normal(size=(500, 16))], pa.list_(pa.float32()))
+    vectors = knn.matrix(queries)
+    block = knn.Block(pa.array(range(70)), vectors)
+    assert vectors.dtype == np.float32 and block.single is vectors
+    ids = pa.array(range(500))
+    best = knn.Best(4, ids.type, None, 70)
+    knn.score_batch(best, block, knn.matrix(corpus), ids)
+    scores = np.round(vectors.astype(float) @ knn.matrix(corpus).astype(float).T, 9)
+    want = {(q, int(c), scores[q, c]) for q in range(70) for c in np.argsort(-scores[q], kind="stable")[:4]}
+    assert set(zip(*best.prune().to_pydict().values())) == want
