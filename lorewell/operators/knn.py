@@ -3,7 +3,9 @@
 A task scores its share of the corpus against a block of queries by matrix
 products in single precision; pairs that may still reach a query's k best are
 scored again in double precision, and the k best per query are kept. Only those leave the
-task, so neither the pairs nor a query's candidates are ever gathered.
+task, so neither the pairs nor a query's candidates are ever gathered. An exact search
+starts from a floor per query, taken from a bounded sample of the corpus; rows
+below it cannot be among the k best.
 """
 
 from __future__ import annotations
@@ -33,6 +35,9 @@ PART_ROWS = 2048
 SCORE_CELLS = 2 << 20
 WHOLE_CELLS = 1 << 20
 PAIR_ROWS = 8192
+# Corpus rows, and bytes of them, whose scores give every query its first floor.
+SAMPLE_ROWS = 1 << 13
+SAMPLE_BYTES = 16 << 20
 # Rows kept before the first cut to k per query.
 PRUNE_ROWS = 1 << 14
 # Products of lengths up to this are safe in single precision.
@@ -222,7 +227,7 @@ def _score_part(best, block, q, part, single, reach, ids, codes) -> None:
     whole = q[~rough]
     if rough.any():
         some = q if rough.all() else q[rough]
-        near = np.flatnonzero((block.single[some] @ single.T >= least[rough, None]).ravel())
+        near = _marked(block.single[some] @ single.T >= least[rough, None])
         row, col = np.divmod(near, len(part))
         # Queries with many rows near the floor (ties) are scored whole.
         many = np.bincount(row, minlength=len(some)) > 4 * best.keep + 64
@@ -251,6 +256,15 @@ def _score_part(best, block, q, part, single, reach, ids, codes) -> None:
         best.offer(scores, r, ids, able)
 
 
+def _marked(mask: np.ndarray) -> np.ndarray:
+    """Flat positions of the set cells of a sparse mask, ascending; looks at eight cells at a time."""
+    flat = mask.ravel()
+    if flat.size % 8:
+        return np.flatnonzero(flat)
+    at = (np.flatnonzero(flat.view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+    return at[flat[at]]
+
+
 def _matches(q_codes: np.ndarray, c_codes: np.ndarray) -> int:
     """Pairs that share a bucket, counted once in each table."""
     total = 0
@@ -312,6 +326,9 @@ def nearest(
     )
     bytes_per_vector = 8 * (size["dim"] or 1) + (size["id_bytes"] or 0)
     planes = Planes(size["dim"] or 1, *lsh, seed) if lsh else None
+    if not planes:
+        rows = max(1, min(SAMPLE_ROWS, SAMPLE_BYTES // bytes_per_vector))
+        left = with_floors(left, right, k + exclude_same_id, rows)
     if size["n"] * bytes_per_vector <= broadcast_bytes:
         found = _by_broadcast(left, right, k, out, planes, exclude_same_id)
     else:
@@ -321,6 +338,42 @@ def nearest(
     return top_per_group(found, ["query_id"], order, k, "rank")
 
 
+def with_floors(left: DataFrame, right: DataFrame, keep: int, rows: int) -> DataFrame:
+    """The queries with `floor`, a score that at least `keep` rows of the corpus reach.
+
+    It is the `keep`-th best score among at most `rows` corpus rows of different ids, less the bound of
+    its rounding. Every corpus row is still scored: a search only starts with this floor instead of none.
+    """
+    picked = right.filter(F.col("chunk_id").isNotNull()).orderBy(F.xxhash64("chunk_id")).limit(rows)
+    table = picked.dropDuplicates(["chunk_id"]).select("v").toArrow()
+    sample = matrix(table["v"])
+    sample = sample[lengths(sample) < FLOAT_SAFE].astype(np.float32)
+    shared = left.sparkSession.sparkContext.broadcast(sample)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            queries = matrix(batch.column("v")) if batch.num_rows else np.zeros((0, 1))
+            yield batch.append_column("floor", pa.array(first_floors(queries, shared.value, keep)))
+
+    return left.mapInArrow(run, T.StructType([*left.schema, T.StructField("floor", T.DoubleType())]))
+
+
+def first_floors(queries: np.ndarray, sample: np.ndarray, keep: int) -> np.ndarray:
+    floor = np.full(len(queries), -np.inf)
+    if len(sample) < keep or not len(queries):
+        return floor
+    reach = lengths(sample).max()
+    step = max(1, SCORE_CELLS // len(sample))
+    for i in range(0, len(queries), step):
+        block = Block(None, queries[i : i + step])
+        with np.errstate(invalid="ignore", over="ignore"):
+            scores = np.partition(block.single @ sample.T, len(sample) - keep, axis=1)[:, len(sample) - keep]
+            least = scores - (block.slack * block.norms * reach + 2 * 10.0**-SCORE_DECIMALS)
+            safe = np.isfinite(least) & (block.norms * reach < FLOAT_SAFE)
+        floor[i : i + step] = np.where(safe, least, -np.inf)
+    return floor
+
+
 def _result(best: Best, query_ids: pa.Array, names: Sequence[str]) -> pa.Table:
     kept = best.prune()
     return pa.table(
@@ -338,7 +391,11 @@ def _shared(left: DataFrame, planes: Planes | None):
     table = left.toArrow()
     query_ids, queries = table["query_id"].combine_chunks(), matrix(table["v"])
     codes = planes.buckets(queries) if planes and len(queries) else None
-    return left.sparkSession.sparkContext.broadcast((query_ids, queries, codes))
+    return left.sparkSession.sparkContext.broadcast((query_ids, queries, codes, *_floors(table)))
+
+
+def _floors(table: pa.Table) -> list[np.ndarray]:
+    return [table["floor"].to_numpy()] if "floor" in table.column_names else []
 
 
 def _search(blocks: list, right: DataFrame, k: int, out, planes, skip_same) -> DataFrame:
@@ -356,9 +413,11 @@ def _search(blocks: list, right: DataFrame, k: int, out, planes, skip_same) -> D
                 continue
             chunk_ids = batch.column("chunk_id")
             if not searches:
-                for ids, vectors, codes in (shared.value for shared in blocks):
+                for ids, vectors, codes, *floors in (shared.value for shared in blocks):
                     if len(ids):
                         best = Best(k, chunk_ids.type, ids if skip_same else None, len(ids))
+                        if floors:
+                            best.floor = floors[0].copy()
                         searches.append((Block(ids, vectors, codes), best))
             rows = _by_id(matrix(batch.column("v")), chunk_ids, planes)
             for block, best in searches:
@@ -404,5 +463,6 @@ def _shared_blocks(mine: DataFrame, first: int, last: int, planes: Planes | None
     for b in range(first, last):
         part = table.filter(pa.array(block == b))
         ids, queries = part["query_id"].combine_chunks(), matrix(part["v"])
-        out.append(sc.broadcast((ids, queries, planes.buckets(queries) if planes and len(queries) else None)))
+        codes = planes.buckets(queries) if planes and len(queries) else None
+        out.append(sc.broadcast((ids, queries, codes, *_floors(part))))
     return out

@@ -315,3 +315,44 @@ def test_single_precision_vectors_are_not_copied_to_double():
     scores = np.round(vectors.astype(float) @ knn.matrix(corpus).astype(float).T, 9)
     want = {(q, int(c), scores[q, c]) for q in range(70) for c in np.argsort(-scores[q], kind="stable")[:4]}
     assert set(zip(*best.prune().to_pydict().values())) == want
+
+
+def test_first_floors_are_reached_and_keep_most_rows_out(spark):
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(31)
+    corpus, queries = rnd.normal(size=(6000, 16)).astype(np.float32), rnd.normal(size=(50, 16)).astype(np.float32)
+    floors = knn.first_floors(queries, corpus[::4], 6)
+    exact = np.round(queries.astype(float) @ corpus[::4].astype(float).T, 9)
+    assert (floors <= np.sort(exact, axis=1)[:, -6]).all() and (floors > np.sort(exact, axis=1)[:, -8]).all()
+    taken = {}
+    for name, start in (("without", np.full(50, -np.inf)), ("with", floors)):
+        block, best = knn.Block(pa.array(range(50)), queries), knn.Best(5, pa.int64(), None, 50)
+        best.floor, n, take = start.copy(), [0], best.take
+        best.take = lambda q, at, score, ids: (n.__setitem__(0, n[0] + len(q)), take(q, at, score, ids))
+        for i in range(0, 6000, 500):
+            knn.score_batch(best, block, corpus[i : i + 500], pa.array(range(i, i + 500)))
+        taken[name] = (n[0], best.prune().to_pydict())
+    assert taken["with"][1] == taken["without"][1]
+    assert taken["with"][0] < taken["without"][0] / 2
+    # Fewer rows than wanted, and vectors that are no numbers, give no floor.
+    assert (knn.first_floors(queries, corpus[:5], 6) == -np.inf).all()
+    assert knn.first_floors(np.full((1, 16), np.nan, np.float32), corpus, 6)[0] == -np.inf
+
+
+def test_floors_hold_for_repeated_and_missing_ids(spark, monkeypatch):
+    rnd = np.random.default_rng(32)
+    vectors = rnd.normal(size=(300, 8)).round(3)
+    rows = [(int(i % 200) if i % 17 else None, [float(x) for x in vectors[i % 150]]) for i in range(300)]
+    c = spark.createDataFrame(rows, "chunk_id long, embedding array<double>").repartition(5)
+    q = c.select(F.col("chunk_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    # A matrix of one row each: ids repeat, so ranks are compared on the pooled rows.
+    got = {}
+    for rows_in_sample in (100, 0):
+        if not rows_in_sample:
+            monkeypatch.setattr(knn, "with_floors", lambda left, *_: left)
+        for blocks in ({}, {"broadcast_bytes": 0, "group_bytes": 4096}):
+            found = knn.nearest(q, c, 4, exclude_same_id=True, **blocks)
+            got[rows_in_sample, bool(blocks)] = sorted((tuple(r) for r in found.collect()), key=key)
+    assert got[100, False] == got[0, False] and got[100, True] == got[0, True]
