@@ -5,12 +5,13 @@ Method. Per language, Spark ML's `CountVectorizer` with `minDF` documents and
 the largest vocabulary size keeps every term found in at least `minDF`
 documents and turns each document into an exact sparse count vector. Sparse
 vectors are summed per (lang, source) group, Summarizer-style but sparse: the
-vector's indices and values are read natively (its JSON form), exploded and
-summed by a map-side combined aggregation, so a group never holds a dense
-vector. Pairs of sources are evaluated sparsely, on classes of counts: terms
+vector's indices and values are read natively (as the struct it is stored as),
+exploded and summed by a map-side combined aggregation, so a group never holds
+a dense vector. Terms travel as their numbers in the vocabulary; only the rows
+of the result look up their texts. Pairs of sources are evaluated sparsely, on classes of counts: terms
 of one count in a group share their p, so a pair's sum needs the joint
 histogram of counts of the terms both sources hold (a self-join on the term,
-aggregated before its shuffle), each source's own histogram for the terms
+each two sources once, aggregated before its shuffle), each source's own histogram for the terms
 only it holds, and one constant for the terms neither holds.
 
 Arithmetic is exact (decimal products, integer division):
@@ -52,44 +53,52 @@ MIN_DF = 3
 TOP_TERMS = 200
 VOCAB_SIZE = 2**31 - 1
 
-_SPARSE = "struct<v:struct<type:tinyint,size:int,indices:array<int>,values:array<double>>>"
-
+# Counts below this are multiplied by SCALE in 64 bits, larger ones as decimals.
+_SMALL = 9_000_000_000
 
 # The ASCII characters outside terms, by the rule of TERM.
-_DELIMITERS = "".join(chr(c) for c in range(0x80) if not (0x41 <= c <= 0x5A or 0x61 <= c <= 0x7A))
+_DELIMITERS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def terms(text: Column) -> Column:
     """The terms of a text: maximal runs matching TERM, A-Z lower-cased.
 
-    One character map turns every character outside TERM into a space and A-Z
-    into a-z; a split on the space then gives the runs (empty ones dropped).
+    Texts of ASCII characters are lower-cased as a whole, others by a map of
+    A-Z; a split at runs of other characters then gives the terms.
     """
-    mapped = F.translate(F.coalesce(text, F.lit("")), _DELIMITERS + UPPER, " " * len(_DELIMITERS) + LOWER)
-    return F.array_remove(F.split(mapped, " "), "")
+    whole = F.coalesce(text, F.lit(""))
+    folded = F.when(F.octet_length(whole) == F.char_length(whole), F.lower(whole)).otherwise(F.translate(whole, UPPER, LOWER))
+    return F.array_remove(F.split(folded, _DELIMITERS), "")
 
 
 def _p(count: str, total: str, vocab: str) -> Column:
     """1 + floor(SCALE * (count + 1) / (total + vocab)), exactly; columns by name."""
     return F.expr(
-        f"CASE WHEN {total} + {vocab} > 0 THEN 1 + (CAST({SCALE} AS DECIMAL(38,0)) * CAST({count} + 1 AS DECIMAL(38,0))) "
-        f"div CAST({total} + {vocab} AS DECIMAL(38,0)) END"
+        f"CASE WHEN {total} + {vocab} > 0 THEN 1 + CASE WHEN {count} < {_SMALL}L "
+        f"THEN ({SCALE}L * ({count} + 1L)) div ({total} + {vocab}) "
+        f"ELSE (CAST({SCALE} AS DECIMAL(38,0)) * CAST({count} + 1 AS DECIMAL(38,0))) div CAST({total} + {vocab} AS DECIMAL(38,0)) END END"
     )
 
 
 def _f(p: str, q: str) -> Column:
-    """floor((p - q)^2 / q), exactly; columns by name."""
-    return F.expr(f"(CAST({p} - {q} AS DECIMAL(38,0)) * CAST({p} - {q} AS DECIMAL(38,0))) div CAST({q} AS DECIMAL(38,0))")
+    """floor((p - q)^2 / q), exactly; columns by name. p and q are 1 to SCALE + 1, so 64 bits hold the square."""
+    return F.expr(f"(({p} - {q}) * ({p} - {q})) div {q}")
 
 
 def group_sums(base: DataFrame, min_df: int = MIN_DF) -> tuple[DataFrame, DataFrame]:
-    """Sparse kept-term counts per (lang, source, term), stored, and V per lang.
+    """Sparse kept-term counts per (lang, source, term), and V per lang."""
+    sums, vocab_sizes, words = numbered_sums(base, min_df)
+    return sums.join(words, ["lang", "idx"]).select("lang", "source", "term", "count"), vocab_sizes
+
+
+def numbered_sums(base: DataFrame, min_df: int = MIN_DF) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Counts per (lang, source, idx), V per lang, and the terms (lang, idx, term), stored.
 
     `base` has columns lang, source, terms (array of strings), all non-null.
     """
     spark = base.sparkSession
     langs = [r[0] for r in base.select("lang").distinct().orderBy("lang").collect()]
-    sums, sizes = None, []
+    sums, words, sizes = None, None, []
     for lang in langs:
         part = base.filter(F.col("lang") == F.lit(lang))
         model = CountVectorizer(
@@ -102,23 +111,24 @@ def group_sums(base: DataFrame, min_df: int = MIN_DF) -> tuple[DataFrame, DataFr
         sizes.append((lang, saved.select(F.size("vocabulary")).first()[0]))
         if not sizes[-1][1]:
             continue
-        words = saved.select(F.posexplode("vocabulary").alias("idx", "term")).withColumn("lang", F.lit(lang))
+        terms_of = saved.select(F.lit(lang).alias("lang"), F.posexplode("vocabulary").alias("idx", "term"))
         cells = (
             model.transform(part)
-            .select("lang", "source", F.from_json(F.to_json(F.struct(F.col("vec").alias("v"))), _SPARSE).alias("x"))
-            .select("lang", "source", F.explode(F.arrays_zip("x.v.indices", "x.v.values")).alias("e"))
-            .groupBy("lang", "source", F.col("e.indices").alias("idx"))
-            .agg(F.sum(F.col("e.values").cast("long")).alias("count"))
-            .join(words, ["lang", "idx"])
-            .select("lang", "source", "term", "count")
+            .select("source", F.unwrap_udt("vec").alias("v"))
+            .select("source", F.inline(F.arrays_zip(F.col("v.indices").alias("idx"), F.col("v.values").alias("n"))))
+            .groupBy("source", "idx")
+            .agg(F.sum(F.col("n").cast("long")).alias("count"))
+            .select(F.lit(lang).alias("lang"), "source", "idx", "count")
         )
         # Stored, so that only one language's model is alive.
         cells = freeze(cells, "divergence-cells")
         sums = cells if sums is None else sums.unionByName(cells)
+        words = terms_of if words is None else words.unionByName(terms_of)
     vocab_sizes = spark.createDataFrame(sizes, "lang string, V long")
     if sums is None:
-        sums = spark.createDataFrame([], "lang string, source string, term string, count long")
-    return sums, vocab_sizes
+        sums = spark.createDataFrame([], "lang string, source string, idx int, count long")
+        words = spark.createDataFrame([], "lang string, idx int, term string")
+    return sums, vocab_sizes, words
 
 
 def audit(
@@ -137,59 +147,62 @@ def audit(
     base.write.partitionBy("lang").parquet(path)
     # An empty language is written as the default partition and read as null.
     base = spark.read.schema(base.schema).parquet(path).withColumn("lang", F.coalesce("lang", F.lit("")))
-    sums, vocab = group_sums(base, min_df)
-    cells = sums
+    cells, vocab, words = numbered_sums(base, min_df)
     totals = cells.groupBy("lang", "source").agg(F.sum("count").alias("N"))
+    # A group's number stands for its language and source in the joins.
     groups = freeze(
         base.select("lang", "source").distinct().join(totals, ["lang", "source"], "left")
         .join(vocab, "lang", "left")
-        .select("lang", "source", F.coalesce("N", F.lit(0)).alias("N"), F.coalesce("V", F.lit(0)).alias("V")),
+        .select("lang", "source", F.coalesce("N", F.lit(0)).alias("N"), F.coalesce("V", F.lit(0)).alias("V"))
+        .withColumn("g", F.monotonically_increasing_id()),
         "divergence-groups",
     )
-    grid = cells.join(groups, ["lang", "source"]).withColumn("p", _p("count", "N", "V"))
+    cells = cells.join(groups.select("lang", "source", "g"), ["lang", "source"]).select("lang", "idx", "g", "count")
 
     # Part `pair`: every ordered pair of sources of a language (the contract's output).
     # Terms of equal count in a group have equal p, so each pair's sum runs
     # over classes of counts: joint classes of the terms both sources hold,
     # each source's own classes for terms only it holds, and one constant
     # for the terms neither holds. Nothing grows with pairs times terms.
-    left = groups.select("lang", "source", F.col("N").alias("N1"), "V", _p("0", "N", "V").alias("p01"))
-    right = groups.select("lang", F.col("source").alias("other"), F.col("N").alias("N2"), _p("0", "N", "V").alias("p02"))
-    pairs = freeze(left.join(right, "lang").filter("source != other"), "divergence-pairs")
-    keys = ["lang", "source", "other"]
-    hist = freeze(cells.groupBy("lang", "source", F.col("count").alias("c")).agg(F.count(F.lit(1)).alias("h")), "divergence-hist")
-    mine = cells.select("lang", "term", "source", F.col("count").alias("cs"))
-    theirs = cells.select("lang", "term", F.col("source").alias("other"), F.col("count").alias("co"))
-    joint = freeze(
-        mine.join(theirs, ["lang", "term"]).filter("source != other")
+    left = groups.select("lang", "source", "g", F.col("N").alias("N1"), "V", _p("0", "N", "V").alias("p01"))
+    right = groups.select("lang", F.col("source").alias("other"), F.col("g").alias("o"), F.col("N").alias("N2"), _p("0", "N", "V").alias("p02"))
+    pairs = freeze(left.join(right, "lang").filter("g != o"), "divergence-pairs")
+    keys = ["g", "o"]
+    hist = freeze(cells.groupBy("g", F.col("count").alias("c")).agg(F.count(F.lit(1)).alias("h")), "divergence-hist")
+    mine = cells.select("lang", "idx", "g", F.col("count").alias("cs"))
+    theirs = cells.select("lang", "idx", F.col("g").alias("o"), F.col("count").alias("co"))
+    once = freeze(
+        mine.join(theirs, ["lang", "idx"]).filter("g < o")
         .groupBy(*keys, "cs", "co").agg(F.count(F.lit(1)).alias("j")),
         "divergence-joint",
     )
+    turned = once.select(F.col("o").alias("g"), F.col("g").alias("o"), F.col("co").alias("cs"), F.col("cs").alias("co"), "j")
+    joint = once.unionByName(turned)
     both = (
         joint.join(pairs, keys)
         .withColumn("pa", _p("cs", "N1", "V")).withColumn("pb", _p("co", "N2", "V"))
         .select(*keys, (F.col("j") * _f("pa", "pb")).alias("x"), F.col("j").alias("n"))
     )
-    rows_of = joint.groupBy(*keys, F.col("cs").alias("c")).agg(F.sum("j").alias("in_other"))
+    rows_of = freeze(joint.groupBy(*keys, F.col("cs").alias("c")).agg(F.sum("j").alias("shared")), "divergence-shared")
     only_mine = (
-        pairs.join(hist, ["lang", "source"]).join(rows_of, [*keys, "c"], "left")
+        pairs.join(hist, "g").join(rows_of, [*keys, "c"], "left")
         .withColumn("pa", _p("c", "N1", "V"))
-        .select(*keys, ((F.col("h") - F.coalesce("in_other", F.lit(0))) * _f("pa", "p02")).alias("x"), F.lit(0).alias("n"))
+        .select(*keys, ((F.col("h") - F.coalesce("shared", F.lit(0))) * _f("pa", "p02")).alias("x"), F.lit(0).alias("n"))
     )
-    cols_of = joint.groupBy(*keys, F.col("co").alias("c")).agg(F.sum("j").alias("in_mine"))
+    cols_of = rows_of.select(F.col("o").alias("g"), F.col("g").alias("o"), "c", "shared")
     only_theirs = (
-        pairs.join(hist.withColumnRenamed("source", "other"), ["lang", "other"]).join(cols_of, [*keys, "c"], "left")
+        pairs.join(hist.withColumnRenamed("g", "o"), "o").join(cols_of, [*keys, "c"], "left")
         .withColumn("pb", _p("c", "N2", "V"))
-        .select(*keys, ((F.col("h") - F.coalesce("in_mine", F.lit(0))) * _f("p01", "pb")).alias("x"), F.lit(0).alias("n"))
+        .select(*keys, ((F.col("h") - F.coalesce("shared", F.lit(0))) * _f("p01", "pb")).alias("x"), F.lit(0).alias("n"))
     )
-    sizes = hist.groupBy("lang", "source").agg(F.sum("h").alias("size"))
+    sizes = hist.groupBy("g").agg(F.sum("h").alias("size"))
     seen = both.unionByName(only_mine).unionByName(only_theirs).groupBy(*keys).agg(
         F.sum("x").alias("f_seen"), F.sum("n").alias("shared")
     )
     counted = (
         pairs.join(seen, keys, "left")
-        .join(sizes.select("lang", "source", F.col("size").alias("size1")), ["lang", "source"], "left")
-        .join(sizes.select("lang", F.col("source").alias("other"), F.col("size").alias("size2")), ["lang", "other"], "left")
+        .join(sizes.withColumnRenamed("size", "size1"), "g", "left")
+        .join(sizes.select(F.col("g").alias("o"), F.col("size").alias("size2")), "o", "left")
     )
     absent = F.col("V") - F.coalesce("size1", F.lit(0)) - F.coalesce("size2", F.lit(0)) + F.coalesce("shared", F.lit(0))
     pair_rows = counted.select(
@@ -199,15 +212,20 @@ def audit(
         ).cast("long").alias("value"),
     )
 
-    # Part `term`: the group's terms above the language's own distribution.
-    lang_cells = cells.groupBy("lang", "term").agg(F.sum("count").alias("count"))
-    lang_totals = groups.groupBy("lang").agg(F.sum("N").alias("N"), F.first("V").alias("V"))
-    lang_p = lang_cells.join(lang_totals, "lang").select("lang", "term", _p("count", "N", "V").alias("q"))
-    term_rows = (
-        grid.join(lang_p, ["lang", "term"])
+    # Part `term`: the group's terms above the language's own distribution. Only rows
+    # whose value ranks high enough, with all of an equal value, look up their terms.
+    lang_totals = groups.groupBy("lang").agg(F.sum("N").alias("LN"), F.first("V").alias("LV"))
+    rated = (
+        cells.withColumn("lc", F.sum("count").over(Window.partitionBy("lang", "idx")))
+        .join(groups.select("g", "source", "N", "V"), "g").join(lang_totals, "lang")
+        .withColumn("p", _p("count", "N", "V")).withColumn("q", _p("lc", "LN", "LV"))
         .filter("count > 0 AND p > q")
-        .select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"),
-                _f("p", "q").cast("long").alias("value"))
+        .select("lang", "source", "g", "idx", _f("p", "q").alias("value"))
+    )
+    high = Window.partitionBy("g").orderBy(F.col("value").desc())
+    near = rated.withColumn("_r", F.rank().over(high)).filter(F.col("_r") <= top)
+    term_rows = near.join(words, ["lang", "idx"]).select(
+        "lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value"
     )
     order = Window.partitionBy("lang", "source", "part").orderBy(
         F.col("value").desc(), F.encode("item", "UTF-8").asc()

@@ -103,3 +103,19 @@ def test_the_vocabulary_does_not_pass_through_python(spark, monkeypatch):
     sums, sizes = divergence.group_sums(spark.createDataFrame(rows, "lang string, source string, terms array<string>"))
     assert sorted(tuple(r) for r in sums.collect()) == [("en", s, t, 1) for s in "xyz" for t in "ab"]
     assert sorted(tuple(r) for r in sizes.collect()) == [("", 0), ("en", 2)]
+
+
+def test_counts_beyond_64_bit_products_stay_exact(spark):
+    rows = [(c, n, v) for c in (0, 5, 8_999_999_999, 9_000_000_000, 4 * 10**15) for n, v in ((4 * 10**15, 7), (1, 0), (10**10, 3)) if c <= n]
+    got = spark.createDataFrame(rows, "c long, n long, v long").select("c", "n", "v", divergence._p("c", "n", "v").alias("p")).collect()
+    assert all(r.p == 1 + 10**9 * (r.c + 1) // (r.n + r.v) for r in got if r.p) and len(got) == len(rows)
+
+
+def test_many_equal_values_at_the_last_rank_and_terms_by_number(spark):
+    # 300 terms of equal value in each source: ranks fall to the items, and no vector passes through JSON.
+    rows = [(" ".join(f"{s}{i:03d}" for i in range(300)), "en", s) for s in "ab" for _ in range(3)]
+    rows += [("Straße ÉTÉ zeta ABC abc", "de", "c")] * 3
+    docs = spark.createDataFrame(rows, "text string, lang string, source string")
+    out = divergence.audit(docs)
+    assert sorted(tuple(r) for r in out.collect()) == brute(rows)
+    assert "to_json" not in out._jdf.queryExecution().toString()
