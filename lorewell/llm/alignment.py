@@ -12,12 +12,13 @@ Merge path. Merging the two end lists (A first on equal offsets) is cut into
 pieces of at most `PIECE` merged elements: for each diagonal d = k * PIECE a
 binary search finds the split (i, j), i + j = d, of A and B; a split that
 would part an A end from the equal B end right after it moves by one. Pieces
-are independent rows of Spark, written by the encoding task (each row holds
-at most PIECE tokens) in small row groups, which tasks share; each finds
-its common ends and writes its links and the text of its groups in three
+are independent rows of at most PIECE merged elements, taken up by the encoding
+task as they come and never stored; each finds
+its common ends and writes its links, equal ones counted, and the text of its groups in three
 fragments: the head (the group that started in an earlier piece), the body
-(complete groups) and the tail (a group that continues). Fragments are
-stitched per document in group order, A part before B part.
+(complete groups) and the tail (a group that continues). A document of one
+piece is hashed where it is; fragments of others are stitched per document in
+group order, A part before B part.
 
 Counts: an (A id, B id) pair's count is how many links hold it, corpus-wide.
 Per document: n_a, n_b, n_groups, n_links, n_best (links whose count is the
@@ -36,6 +37,7 @@ columns never clash. Very long texts are encoded whole; their merge is split.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -52,15 +54,8 @@ BROADCAST_PAIRS = 1 << 20
 ENCODE_BYTES = 1 << 20
 # Tokens whose links and fragments are held as Python values at once.
 SLICE_TOKENS = 1 << 16
-# Row groups of the stored pieces.
-GROUP_BYTES = 4 << 20
-
-PIECES = (
-    "key long, doc_id long, n_a long, n_b long, total long, piece int, "
-    "a_start long, b_start long, a_ids array<int>, b_ids array<int>"
-)
 PARTS = (
-    "key long, piece int, n_cuts long, links array<struct<a:int,b:int>>, "
+    "key long, doc_id long, n_a long, n_b long, piece int, pieces int, n_cuts long, links array<struct<a:int,b:int,n:int>>, "
     "frags array<struct<g:long,side:int,text:string>>"
 )
 
@@ -138,19 +133,6 @@ def splits(a: np.ndarray, b: np.ndarray, piece: int = PIECE) -> tuple[list[int],
     return cut_i, cut_j
 
 
-def encoded(docs: DataFrame, a_path: str, b_path: str, piece: int = PIECE) -> DataFrame:
-    """One row per merge-path piece of a document, with its slices of both token
-    lists (a document without tokens keeps one row, piece 0, empty lists)."""
-
-    def run(batches):
-        enc = Encoders(a_path, b_path)
-        for batch in batches:
-            yield from _encode_batch(enc, batch, piece)
-
-    keyed = docs.select(F.monotonically_increasing_id().alias("key"), column("doc_id").cast("long"), column("text").cast("string"))
-    return keyed.mapInArrow(run, PIECES)
-
-
 def _slices(texts: list[str | None], limit: int = ENCODE_BYTES):
     """Row ranges of about `limit` characters of text each (one long text alone)."""
     start, size = 0, 0
@@ -165,7 +147,7 @@ def _slices(texts: list[str | None], limit: int = ENCODE_BYTES):
 
 def _encode_batch(enc: "Encoders", batch: pa.RecordBatch, piece: int):
     all_keys, all_ids, all_texts = (batch.column(k).to_pylist() for k in range(3))
-    names = ("key", "doc_id", "n_a", "n_b", "total", "piece", "a_start", "b_start", "a_ids", "b_ids")
+    names = ("key", "doc_id", "n_a", "n_b", "total", "piece", "pieces", "a_start", "b_start", "a_ids", "b_ids")
     for lo, hi in _slices(all_texts):
         keys, ids, texts = all_keys[lo:hi], all_ids[lo:hi], all_texts[lo:hi]
         rows = {k: [] for k in names}
@@ -174,7 +156,7 @@ def _encode_batch(enc: "Encoders", batch: pa.RecordBatch, piece: int):
             bounds = list(zip(ci, ci[1:], cj, cj[1:])) or [(0, 0, 0, 0)]
             for k, (i0, i1, j0, j1) in enumerate(bounds):
                 for name, value in zip(names, (
-                    key, d, len(a_ids), len(b_ids), int(a_ends[-1]) if len(a_ends) else 0, k,
+                    key, d, len(a_ids), len(b_ids), int(a_ends[-1]) if len(a_ends) else 0, k, len(bounds),
                     int(a_ends[i0 - 1]) if i0 else 0, int(b_ends[j0 - 1]) if j0 else 0,
                     a_ids[i0:i1], b_ids[j0:j1],
                 )):
@@ -184,31 +166,44 @@ def _encode_batch(enc: "Encoders", batch: pa.RecordBatch, piece: int):
 
 _PIECES_ARROW = pa.schema([
     ("key", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("total", pa.int64()),
-    ("piece", pa.int32()), ("a_start", pa.int64()), ("b_start", pa.int64()),
+    ("piece", pa.int32()), ("pieces", pa.int32()), ("a_start", pa.int64()), ("b_start", pa.int64()),
     ("a_ids", pa.list_(pa.int32())), ("b_ids", pa.list_(pa.int32())),
 ])
 _PARTS_ARROW = pa.schema([
-    ("key", pa.int64()), ("piece", pa.int32()), ("n_cuts", pa.int64()),
-    ("links", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
+    ("key", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),
+    ("piece", pa.int32()), ("pieces", pa.int32()), ("n_cuts", pa.int64()),
+    ("links", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int32())]))),
     ("frags", pa.list_(pa.struct([("g", pa.int64()), ("side", pa.int32()), ("text", pa.string())]))),
 ])
 
 
-def _elements(ids: np.ndarray, last_in_group: np.ndarray, end_sep: str, final: np.ndarray) -> list[str]:
-    sep = np.where(final, "", np.where(last_in_group, end_sep, ",")).tolist()
-    return [i + p for i, p in zip(map(str, ids.tolist()), sep)]
+@lru_cache(maxsize=8)
+def _decimals(sep: str, size: int) -> np.ndarray:
+    """The decimal texts of the ids below `size`, each with a separator."""
+    return np.array([f"{i}{sep}" for i in range(size)], object)
+
+
+def _elements(ids: np.ndarray, last_in_group: np.ndarray, end_sep: str) -> np.ndarray:
+    size = 1 << int(ids.max(initial=0)).bit_length()
+    return np.where(last_in_group, _decimals(end_sep, size)[ids], _decimals(",", size)[ids])
 
 
 def piece_groups(a_ids, a_ends, b_ids, b_ends, total):
     """Links and the fragments (local group, side, text) of one piece."""
+    a, b, n_cuts, frags = _groups(a_ids, a_ends, b_ids, b_ends, total)
+    return list(zip(a.tolist(), b.tolist())), n_cuts, frags
+
+
+def _groups(a_ids, a_ends, b_ids, b_ends, total):
     common = np.intersect1d(a_ends, b_ends, assume_unique=True)
     a_cut, b_cut = np.isin(a_ends, common), np.isin(b_ends, common)
-    links = list(zip(a_ids[a_cut].tolist(), b_ids[b_cut].tolist()))
     # Local group of a token: cuts of this piece strictly before its end. Both
     # lists are sorted, so a group's tokens are one run of each.
     a_g = np.searchsorted(common, a_ends, side="left")
     b_g = np.searchsorted(common, b_ends, side="left")
-    elements = _elements(a_ids, a_cut, "|", np.zeros(len(a_ids), bool)) + _elements(b_ids, b_cut, ";", b_ends == total)
+    elements = np.concatenate([_elements(a_ids, a_cut, "|"), _elements(b_ids, b_cut, ";")])
+    if len(b_ends) and b_ends[-1] == total:
+        elements[-1] = str(int(b_ids[-1]))
     # All tokens by group, A before B. Only the first and the last group can
     # have parts in other pieces; those between are one text.
     place = np.concatenate([2 * a_g, 2 * b_g + 1])
@@ -221,8 +216,8 @@ def piece_groups(a_ids, a_ends, b_ids, b_ends, total):
     for g, side, low, high in spans:
         lo, hi = np.searchsorted(place, [low, high])
         if hi > lo:
-            frags.append((g, side, "".join([elements[i] for i in order[lo:hi].tolist()])))
-    return links, len(common), frags
+            frags.append((g, side, "".join(elements[order[lo:hi]].tolist())))
+    return a_ids[a_cut], b_ids[b_cut], len(common), frags
 
 
 def _token_slices(batch: pa.RecordBatch, limit: int | None = None):
@@ -244,78 +239,83 @@ def _lists(counts: list[int], kind: pa.ListType, columns: list) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), flat, type=kind)
 
 
+_NONE = np.zeros(0, np.int64)
+
+
 def _piece_batch(enc: "Encoders", batch: pa.RecordBatch) -> pa.RecordBatch:
     cols = {n: batch.column(n) for n in ("total", "a_start", "b_start", "a_ids", "b_ids")}
     cuts, n_links, n_frags = [], [], []
-    links_a, links_b, groups, sides, texts = [], [], [], [], []
+    links_a, links_b, links_n, groups, sides, texts = [], [], [], [], [], []
     for r in range(batch.num_rows):
         a_ids, b_ids = (np.asarray(cols[n][r].values.to_numpy(zero_copy_only=False)) for n in ("a_ids", "b_ids"))
         a_ends = cols["a_start"][r].as_py() + np.cumsum(enc.a_len[a_ids])
         b_ends = cols["b_start"][r].as_py() + np.cumsum(enc.b_len[b_ids])
-        links, n_cuts, frags = piece_groups(a_ids, a_ends, b_ids, b_ends, cols["total"][r].as_py())
+        a, b, n_cuts, frags = _groups(a_ids, a_ends, b_ids, b_ends, cols["total"][r].as_py())
+        pairs, n = np.unique(a.astype(np.int64) << 32 | b, return_counts=True)
         cuts.append(n_cuts)
-        n_links.append(len(links))
+        n_links.append(len(pairs))
         n_frags.append(len(frags))
-        for a, b in links:
-            links_a.append(a)
-            links_b.append(b)
+        links_a.append(pairs >> 32)
+        links_b.append(pairs & 0xFFFFFFFF)
+        links_n.append(n)
         for g, side, text in frags:
             groups.append(g)
             sides.append(side)
             texts.append(text)
     return pa.RecordBatch.from_arrays(
         [
-            batch.column("key"), batch.column("piece"), pa.array(cuts, pa.int64()),
-            _lists(n_links, _PARTS_ARROW.field("links").type, [links_a, links_b]),
+            *(batch.column(n) for n in ("key", "doc_id", "n_a", "n_b", "piece", "pieces")), pa.array(cuts, pa.int64()),
+            _lists(n_links, _PARTS_ARROW.field("links").type, [np.concatenate([_NONE, *c]) for c in (links_a, links_b, links_n)]),
             _lists(n_frags, _PARTS_ARROW.field("frags").type, [groups, sides, texts]),
         ],
         schema=_PARTS_ARROW,
     )
 
 
-def piece_results(parts: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """Links and group fragments of every piece; token ends are rebuilt from
-    the piece's first byte and each id's byte length (only ids are stored)."""
+def piece_results(docs: DataFrame, a_path: str, b_path: str, piece: int = PIECE) -> DataFrame:
+    """Links and group fragments of every merge-path piece of a document (one
+    without tokens keeps one row, piece 0, empty lists). Pieces go on in slices
+    of few tokens; token ends are rebuilt from a piece's first byte and each
+    id's byte length."""
 
     def run(batches):
         enc = Encoders(a_path, b_path)
         for batch in batches:
-            for part in _token_slices(batch):
-                yield _piece_batch(enc, part)
+            for pieces in _encode_batch(enc, batch, piece):
+                for part in _token_slices(pieces):
+                    yield _piece_batch(enc, part)
 
-    return parts.mapInArrow(run, PARTS)
+    keyed = docs.select(F.monotonically_increasing_id().alias("key"), column("doc_id").cast("long"), column("text").cast("string"))
+    return keyed.mapInArrow(run, PARTS)
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text",
           piece: int = PIECE) -> DataFrame:
     """Per document row: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     src = docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text"))
-    # Small row groups, so that tasks can share a file's pieces without a shuffle of the ids.
-    stored = freeze_python(encoded(src, a_path, b_path, piece), "align-pieces-in", **{"parquet.block.size": GROUP_BYTES})
-    spread = stored.filter("n_a > 0").select("key", "total", "piece", "a_start", "b_start", "a_ids", "b_ids")
-    done = freeze_python(piece_results(spread, a_path, b_path), "align-pieces")
+    # Only what the pieces give is stored, once: it fixes the documents' keys.
+    done = freeze_python(piece_results(src, a_path, b_path, piece), "align-pieces", compression="zstd")
+    joined = lambda frags: F.sha2(F.array_join(F.transform(F.array_sort(frags), lambda s: s["text"]), ""), 256)
     # Groups before a piece: running sum over the pieces of a document (few rows each).
     before = Window.partitionBy("key").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    done = done.withColumn("g0", F.coalesce(F.sum("n_cuts").over(before), F.lit(0)))
-    frags = done.select("key", "piece", "g0", F.explode("frags").alias("f")).select(
+    split = done.filter("pieces > 1").withColumn("g0", F.coalesce(F.sum("n_cuts").over(before), F.lit(0)))
+    frags = split.select("key", "piece", "g0", F.explode("frags").alias("f")).select(
         "key", (F.col("g0") + F.col("f.g")).alias("g"), F.col("f.side").alias("side"), "piece", F.col("f.text").alias("text")
     )
-    text = frags.groupBy("key").agg(
-        F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("g", "side", "piece", "text"))), lambda s: s["text"]), ""), 256).alias("groups_sha256"),
-    )
-    links = done.select("key", F.explode("links").alias("l")).select("key", F.col("l.a").alias("a"), F.col("l.b").alias("b"))
-    per_doc = freeze(links.groupBy("key", "a", "b").agg(F.count(F.lit(1)).alias("n")), "align-links")
-    counts = freeze(per_doc.groupBy("a", "b").agg(F.sum("n").alias("count")), "align-counts")
+    text = frags.groupBy("key").agg(joined(F.collect_list(F.struct("g", "side", "piece", "text"))).alias("stitched"))
+    links = done.select("key", F.inline("links"))
+    counts = freeze(links.groupBy("a", "b").agg(F.sum("n").alias("count")), "align-counts")
     best = counts.groupBy("b").agg(F.max("count").alias("top"))
     rated = counts.join(best, "b").select("a", "b", "count", (F.col("count") == F.col("top")).alias("is_best"))
     if rated.count() <= BROADCAST_PAIRS:
         rated = F.broadcast(rated)
-    summed = per_doc.join(rated, ["a", "b"]).groupBy("key").agg(
+    summed = links.join(rated, ["a", "b"]).groupBy("key").agg(
         F.sum("n").alias("n_links"),
         F.sum(F.when(F.col("is_best"), F.col("n")).otherwise(0)).alias("n_best"),
         F.sum(F.col("n") * F.col("count")).alias("count_sum"),
     )
-    out = stored.filter("piece = 0").select("key", "doc_id", "n_a", "n_b").join(summed, "key", "left").join(text, "key", "left")
+    own = F.when(F.expr("pieces = 1 AND n_a > 0"), joined(F.col("frags"))).alias("own")
+    out = done.filter("piece = 0").select("key", "doc_id", "n_a", "n_b", own).join(summed, "key", "left").join(text, "key", "left")
     zero = F.lit(0).cast("long")
     return out.select(
         "doc_id", "n_a", "n_b",
@@ -323,5 +323,5 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
         F.coalesce(F.col("n_links"), zero).cast("long").alias("n_links"),
         F.coalesce(F.col("n_best"), zero).cast("long").alias("n_best"),
         F.coalesce(F.col("count_sum"), zero).cast("long").alias("count_sum"),
-        F.coalesce(F.col("groups_sha256"), F.lit("")).alias("groups_sha256"),
+        F.coalesce("own", "stitched", F.lit("")).alias("groups_sha256"),
     )

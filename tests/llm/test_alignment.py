@@ -66,3 +66,20 @@ def test_complete_groups_of_a_piece_are_one_text():
     links, cuts, frags = alignment.piece_groups(ends, ends, ends, ends, 2000)
     assert (len(links), cuts, len(frags)) == (2000, 2000, 3)  # 4,000 fragments before
     assert "".join(t for _, _, t in sorted(frags)) == "".join(f"{i}|{i}" + (";" if i < 2000 else "") for i in ends)
+
+
+def test_nothing_is_stored_but_the_counted_links_and_fragments(spark, monkeypatch):
+    stored, freeze = [], alignment.freeze_python
+
+    def watch(df, label, **options):
+        stored.append((label, df.columns, freeze(df, label, **options)))
+        return stored[-1][2]
+
+    monkeypatch.setattr(alignment, "freeze_python", watch)
+    df = spark.createDataFrame([(1, "the the the the " * 40), (2, None), (3, "one two")], "doc_id long, text string")
+    alignment.align(df, A, B, piece=64).collect()
+    assert [s[0] for s in stored] == ["align-pieces"] and "a_ids" not in stored[0][1]
+    rows = stored[0][2].collect()
+    assert {r.doc_id: r.pieces for r in rows}[3] == 1 and {r.doc_id: r.pieces for r in rows}[1] > 1
+    assert all(len({(x.a, x.b) for x in r.links}) == len(r.links) for r in rows)
+    assert max(x.n for r in rows for x in r.links) > 5
