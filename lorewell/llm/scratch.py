@@ -4,28 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..sources.scratch import freeze
+from ..sources.scratch import freeze, freeze_python
 
 __all__ = ["freeze", "freeze_python", "partitions_for", "free_name", "column"]
 
-BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 2 << 20
-
-
-def freeze_python(df: DataFrame, label: str, **options) -> DataFrame:
-    """`freeze` for plans that send whole texts to Python: batches stay small.
-
-    A batch lies in the executor's off-heap memory and in the worker at once,
-    and both allocate up to twice its size.
-    """
-    conf = df.sparkSession.conf
-    before = conf.get(BATCH_SETTING)
-    conf.set(BATCH_SETTING, str(BATCH_BYTES))
-    try:
-        return freeze(df, label, **options)
-    finally:
-        conf.set(BATCH_SETTING, before)
-
 
 def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from ..sources.scratch import freeze
+from ..sources.scratch import freeze, freeze_python
 from .ranking import top_per_group
 
 # Queries up to this size are sent to every executor at once; larger sets go in
@@ -449,7 +449,7 @@ def _by_blocks(left, right, k, out, planes, skip_same, n_blocks: int, group_byte
     for first, last in passes(n_blocks, group_bytes):
         mine = stored.filter((F.col("block") >= first) & (F.col("block") < last))
         shared = _shared_blocks(mine, first, last, planes)
-        best = freeze(top_per_group(_search(shared, right, k, out, planes, skip_same), ["query_id"], order, k, "_r").drop("_r"), "nearest")
+        best = freeze_python(top_per_group(_search(shared, right, k, out, planes, skip_same), ["query_id"], order, k, "_r").drop("_r"), "nearest")
         for one in shared:
             one.destroy()
         found = best if found is None else found.unionByName(best)

@@ -14,7 +14,7 @@ from ..operators.embed import Embedder, embed_text
 from ..operators.joins import lookup_join, salted_join
 from ..operators.knn import nearest
 from ..operators.mmr import mmr_rerank
-from ..sources.scratch import freeze
+from ..sources.scratch import freeze, freeze_python
 
 TextModel = Callable[[list[str]], list[str]]
 
@@ -45,10 +45,10 @@ def retrieve(
     to compute, and their number decides how the texts are looked up.
     """
     ranked = nearest(queries, corpus, mmr_fetch if use_mmr else k, **search)
-    ranked = freeze(ranked, "ranked")
+    ranked = freeze_python(ranked, "ranked")
     if use_mmr:
         with_vectors = lookup_join(ranked, corpus.select("chunk_id", "embedding"), "chunk_id")
-        ranked = freeze(mmr_rerank(with_vectors, k, mmr_balance), "reranked")
+        ranked = freeze_python(mmr_rerank(with_vectors, k, mmr_balance), "reranked")
     found = lookup_join(ranked, corpus.select("chunk_id", "doc_uri", "text"), "chunk_id")
     return found.select("query_id", "rank", "score", "chunk_id", "doc_uri", "text")
 
@@ -114,7 +114,7 @@ def answer_batch(
         config.query_instruction if make_embedder else None, make_embedder,
         config.corpus.embed_batch,
     )
-    queries = freeze(embedded.select("query_id", "query_vector"), "queries")
+    queries = freeze_python(embedded.select("query_id", "query_vector"), "queries")
     found = retrieve(
         queries, corpus, config.k, config.use_mmr, config.mmr_fetch, config.mmr_balance
     )

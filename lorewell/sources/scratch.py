@@ -9,6 +9,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 2 << 20
+
 _local_folder: list[str] = []
 _made: list[str] = []
 
@@ -62,3 +65,18 @@ def freeze(df: DataFrame, label: str = "frozen", **options) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def freeze_python(df: DataFrame, label: str, **options) -> DataFrame:
+    """`freeze` for plans that send texts or vectors to Python: batches stay small.
+
+    A batch lies in the executor's off-heap memory and in the worker at once,
+    and both allocate up to twice its size.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(BATCH_SETTING)
+    conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        return freeze(df, label, **options)
+    finally:
+        conf.set(BATCH_SETTING, before)

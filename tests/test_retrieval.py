@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from checks.queries import knn_exact_top5, knn_lsh
 from lorewell.operators import knn, mmr
 from lorewell.operators.embed import embed_text
+from lorewell.plans import answering
 
 
 def frame(spark, vectors, name):
@@ -354,3 +355,24 @@ def test_results_are_the_same_with_and_without_floors(spark, monkeypatch, repeat
             got.append(sorted(tuple(r) for r in knn.nearest(q, c, 4, exclude_same_id=True, **blocks).collect()))
     assert got[0] == got[2] and got[1] == got[3] and got[0]
     assert len(used) == (0 if repeated else 2)
+
+
+def test_searches_and_embeddings_get_small_batches(spark, monkeypatch):
+    from lorewell.sources import scratch
+
+    batch_bytes, write, before = {}, scratch.freeze, spark.conf.get(scratch.BATCH_SETTING)
+
+    def watch(df, label="frozen", **options):
+        batch_bytes[label] = int(spark.conf.get(scratch.BATCH_SETTING))
+        return write(df, label, **options)
+
+    monkeypatch.setattr(scratch, "freeze", watch)
+    rows = [(f"c{i}", f"u{i}", f"word{i} text", [float(i % 7), float(i % 5), 1.0]) for i in range(40)]
+    corpus = spark.createDataFrame(rows, "chunk_id string, doc_uri string, text string, embedding array<float>")
+    queries = corpus.select(F.col("chunk_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    found = answering.retrieve(queries, corpus, 3, use_mmr=True, broadcast_bytes=0, group_bytes=256)
+    assert found.count() == 120
+    assert {label: batch_bytes.get(label) for label in ("nearest", "ranked", "reranked")} == dict.fromkeys(
+        ("nearest", "ranked", "reranked"), scratch.BATCH_BYTES
+    )
+    assert spark.conf.get(scratch.BATCH_SETTING) == before
