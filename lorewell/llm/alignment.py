@@ -84,7 +84,8 @@ class Encoders:
         """Per text: (A ids, A ends, B ids, B ends), empty when not aligned."""
         live = [i for i, t in enumerate(texts) if t]
         a_enc = self.a.encode([" " + texts[i] for i in live], added_as_text=True)
-        b_enc = self.b.encode([texts[i] for i in live])
+        # Tasks fill the cores; threads of their own would only wait for each other.
+        b_enc = self.b.encode([texts[i] for i in live], num_threads=1)
         empty = (np.zeros(0, np.int32), np.zeros(0, np.int64)) * 2
         out = [empty] * len(texts)
         for i, ea, eb in zip(live, a_enc, b_enc):
@@ -177,15 +178,10 @@ _PARTS_ARROW = pa.schema([
 ])
 
 
-@lru_cache(maxsize=8)
-def _decimals(sep: str, size: int) -> np.ndarray:
-    """The decimal texts of the ids below `size`, each with a separator."""
-    return np.array([f"{i}{sep}" for i in range(size)], object)
-
-
-def _elements(ids: np.ndarray, last_in_group: np.ndarray, end_sep: str) -> np.ndarray:
-    size = 1 << int(ids.max(initial=0)).bit_length()
-    return np.where(last_in_group, _decimals(end_sep, size)[ids], _decimals(",", size)[ids])
+@lru_cache(maxsize=2)
+def _decimals(size: int) -> np.ndarray:
+    """The decimal texts of the ids below `size`, followed by `,`, then by `|`, then by `;`."""
+    return np.array([f"{i}{sep}" for sep in ",|;" for i in range(size)], object)
 
 
 def piece_groups(a_ids, a_ends, b_ids, b_ends, total):
@@ -195,29 +191,33 @@ def piece_groups(a_ids, a_ends, b_ids, b_ends, total):
 
 
 def _groups(a_ids, a_ends, b_ids, b_ends, total):
-    common = np.intersect1d(a_ends, b_ends, assume_unique=True)
-    a_cut, b_cut = np.isin(a_ends, common), np.isin(b_ends, common)
-    # Local group of a token: cuts of this piece strictly before its end. Both
-    # lists are sorted, so a group's tokens are one run of each.
-    a_g = np.searchsorted(common, a_ends, side="left")
-    b_g = np.searchsorted(common, b_ends, side="left")
-    elements = np.concatenate([_elements(a_ids, a_cut, "|"), _elements(b_ids, b_cut, ";")])
+    # Both lists ascend, so the B end that may equal an A end is found by search.
+    meets = np.searchsorted(b_ends, a_ends)
+    a_cut, b_cut = np.zeros(len(a_ends), bool), np.zeros(len(b_ends), bool)
+    a_cut[: np.searchsorted(meets, len(b_ends))] = True
+    a_cut[a_cut] = b_ends[meets[a_cut]] == a_ends[a_cut]
+    a_at = np.flatnonzero(a_cut)
+    b_at = meets[a_at]
+    b_cut[b_at] = True
+    # All tokens by group, A before B. A group's tokens are one run of each list,
+    # so a token moves on by the other list's tokens of the groups before.
+    n = len(a_at)
+    a_first, b_first = (np.concatenate([[0], at + 1, [size]]) for at, size in ((a_at, len(a_ids)), (b_at, len(b_ids))))
+    size = 1 << max(16, int(max(a_ids.max(initial=0), b_ids.max(initial=0))).bit_length())
+    code = np.empty(len(a_ids) + len(b_ids), np.int64)
+    code[np.arange(len(a_ids)) + b_first[np.cumsum(a_cut) - a_cut]] = a_ids + size * a_cut.astype(np.int64)
+    code[np.arange(len(b_ids)) + a_first[np.cumsum(b_cut) - b_cut + 1]] = b_ids + 2 * size * b_cut.astype(np.int64)
+    elements = _decimals(size)[code].tolist()
     if len(b_ends) and b_ends[-1] == total:
         elements[-1] = str(int(b_ids[-1]))
-    # All tokens by group, A before B. Only the first and the last group can
-    # have parts in other pieces; those between are one text.
-    place = np.concatenate([2 * a_g, 2 * b_g + 1])
-    order = np.argsort(place, kind="stable")
-    place, last = place[order], len(common)
-    frags = []
-    spans = [(0, 0, 0, 1), (0, 1, 1, 2)]
-    if last:
-        spans += [(1, 0, 2, 2 * last), (last, 0, 2 * last, 2 * last + 1), (last, 1, 2 * last + 1, 2 * last + 2)]
-    for g, side, low, high in spans:
-        lo, hi = np.searchsorted(place, [low, high])
-        if hi > lo:
-            frags.append((g, side, "".join(elements[order[lo:hi]].tolist())))
-    return a_ids[a_cut], b_ids[b_cut], len(common), frags
+    # Only the first and the last group can have parts in other pieces; those between are one text.
+    start = a_first[:-1] + b_first[:-1]
+    middle = start + np.diff(a_first)
+    spans = [(0, 0, 0, middle[0]), (0, 1, middle[0], start[1] if n else len(elements))]
+    if n:
+        spans += [(1, 0, start[1], start[n]), (n, 0, start[n], middle[n]), (n, 1, middle[n], len(elements))]
+    frags = [(g, side, "".join(elements[lo:hi])) for g, side, lo, hi in spans if hi > lo]
+    return a_ids[a_cut], b_ids[b_cut], n, frags
 
 
 def _token_slices(batch: pa.RecordBatch, limit: int | None = None):

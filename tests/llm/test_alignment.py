@@ -83,3 +83,33 @@ def test_nothing_is_stored_but_the_counted_links_and_fragments(spark, monkeypatc
     assert {r.doc_id: r.pieces for r in rows}[3] == 1 and {r.doc_id: r.pieces for r in rows}[1] > 1
     assert all(len({(x.a, x.b) for x in r.links}) == len(r.links) for r in rows)
     assert max(x.n for r in rows for x in r.links) > 5
+
+
+def plain_groups(a_ids, a_ends, b_ids, b_ends, total):
+    common = sorted(set(a_ends.tolist()) & set(b_ends.tolist()))
+    group = lambda end: sum(c < end for c in common)
+    texts = {}
+    for side, ids, ends, sep in ((0, a_ids, a_ends, "|"), (1, b_ids, b_ends, ";")):
+        for i, end in zip(ids.tolist(), ends.tolist()):
+            last = "" if side and end == total else sep if end in common else ","
+            texts[group(end), side] = texts.get((group(end), side), "") + f"{i}{last}"
+    body = "".join(texts.pop((g, side)) for g in range(1, len(common)) for side in (0, 1))
+    head = [(0, side, texts.pop((0, side))) for side in (0, 1) if (0, side) in texts]
+    tail = [(g, side, text) for (g, side), text in sorted(texts.items())]
+    links = [(int(a_ids[a_ends == c][0]), int(b_ids[b_ends == c][0])) for c in common]
+    return links, len(common), head + [(1, 0, body)] * bool(body) + tail
+
+
+def test_groups_of_pieces_are_those_of_a_plain_search():
+    rnd = np.random.default_rng(5)
+    alignment._decimals.cache_clear()
+    for case in range(300):
+        top = 2 ** int(rnd.integers(1, 16))
+        a_ends, b_ends = (np.sort(rnd.choice(60, int(n), replace=False)) for n in rnd.integers(0, 30, 2))
+        if case % 2:  # the last piece of a document
+            a_ends, b_ends = np.append(a_ends, 60), np.append(b_ends, 60)
+        a_ids, b_ids = (rnd.integers(0, top, len(x)).astype(np.int32) for x in (a_ends, b_ends))
+        args = (a_ids, a_ends, b_ids, b_ends, 60)
+        assert alignment.piece_groups(*args) == plain_groups(*args), case
+    # The texts of the ids are made once, whatever the largest id of a piece.
+    assert alignment._decimals.cache_info().misses == 1
